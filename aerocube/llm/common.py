@@ -57,3 +57,17 @@ def n_words(text: Column) -> Column:
 def digest(text: Column) -> Column:
     """Lowercase hex SHA-256 of the UTF-8 bytes."""
     return F.sha2(text, 256)
+
+
+def beta_trials(rows: DataFrame) -> float:
+    """Prior trials of a beta-binomial, by moments: how much rates k / n spread around their priors beyond binomial
+    noise, from rows (n, k, prior). Between 1 and 999; 999 where nothing tells."""
+    pq = F.col("prior") * (1 - F.col("prior"))
+    got = (
+        rows.filter("n > 0")
+        .agg(F.sum((F.col("k") - F.col("n") * F.col("prior")) ** 2).alias("seen"), F.sum(F.col("n") * pq).alias("noise"), F.sum(F.col("n") * (F.col("n") - 1) * pq).alias("more"))
+        .first()  # one row
+    )
+    if not got["more"]:
+        return 999.0
+    return 1 / min(max((got["seen"] - got["noise"]) / got["more"], 0.001), 0.5) - 1

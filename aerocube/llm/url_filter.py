@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import beta_trials
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: (verdict, host and path prefix)
 RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/")]
@@ -35,18 +37,6 @@ def rule_for(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return text, verdict
 
 
-def _strength(rows: DataFrame) -> float:
-    """Prior trials of a level, from its rows (n, k, prior): by how much rates spread beyond binomial noise."""
-    pq = F.col("prior") * (1 - F.col("prior"))
-    got = rows.filter("n > 0").agg(
-        F.sum((F.col("k") - F.col("n") * F.col("prior")) ** 2).alias("seen"), F.sum(F.col("n") * pq).alias("noise"), F.sum(F.col("n") * (F.col("n") - 1) * pq).alias("more")
-    ).first()  # one row
-    if not got["more"]:
-        return 999.0
-    rho = (got["seen"] - got["noise"]) / got["more"]
-    return 1 / min(max(rho, 0.001), 0.5) - 1
-
-
 def host_reputation(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
     """host, n, k, mean, lower for each host of pages (id, host).
 
@@ -65,7 +55,7 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
     suffixes = suffixes.withColumn("prior", F.lit(rate))
 
     def shrunk(rows: DataFrame) -> tuple[DataFrame, float]:
-        m = _strength(rows)
+        m = beta_trials(rows)
         return rows.withColumn("mean", (F.col("prior") * m + F.col("k")) / (F.col("n") + m)), m
 
     suffixes, _ = shrunk(suffixes)

@@ -206,23 +206,31 @@ def hypsometric_height(spark, d):
     return meteo.hypsometric_height(rows, ["l_orderkey"], "l_linenumber", "t", "p", "p0", "z").select(*LINE, F.round("height", 4).alias("h"))
 
 
-LAT, LON = (F.col("l_suppkey") % 160 - 80).cast("double"), (F.col("l_partkey") % 340 - 170).cast("double")
+
+
+def _at():
+    return (F.col("l_suppkey") % 160 - 80).cast("double"), (F.col("l_partkey") % 340 - 170).cast("double")
+
+
 SLAT, SLON = "CAST(l_suppkey % 160 - 80 AS DOUBLE)", "CAST(l_partkey % 340 - 170 AS DOUBLE)"
 
 
 @query(f"SELECT l_orderkey, l_linenumber, round({HAVERSINE}, 3) AS m FROM (SELECT l_orderkey, l_linenumber, {SLAT} AS lat, {SLON} AS lon, CAST(10 AS DOUBLE) AS slat, CAST(20 AS DOUBLE) AS slon FROM lineitem)")
 def haversine_m(spark, d):
-    return _on_lines(spark, d, m=F.round(geo.haversine_m(LAT, LON, F.lit(10.0), F.lit(20.0)), 3))
+    lat, lon = _at()
+    return _on_lines(spark, d, m=F.round(geo.haversine_m(lat, lon, F.lit(10.0), F.lit(20.0)), 3))
 
 
 @query()
 def vincenty_m(spark, d):
-    return _on_lines(spark, d, m=geo.vincenty_m(LAT, LON, F.lit(10.0), F.lit(20.0)))
+    lat, lon = _at()
+    return _on_lines(spark, d, m=geo.vincenty_m(lat, lon, F.lit(10.0), F.lit(20.0)))
 
 
 @query(_sql(deg=f"round((degrees(atan2(sin(radians(20 - {SLON})) * cos(radians(10)), cos(radians({SLAT})) * sin(radians(10)) - sin(radians({SLAT})) * cos(radians(10)) * cos(radians(20 - {SLON})))) + 360) % 360, 6)"))
 def bearing_deg(spark, d):
-    return _on_lines(spark, d, deg=r6(geo.bearing_deg(LAT, LON, F.lit(10.0), F.lit(20.0)) % 360))
+    lat, lon = _at()
+    return _on_lines(spark, d, deg=r6(geo.bearing_deg(lat, lon, F.lit(10.0), F.lit(20.0)) % 360))
 
 
 @query(_sql(lat="round(90 - (l_suppkey % 1080 + 0.5e0) / 6, 6)", lon="round(180 / round_even(1080 * cos(radians(90 - (l_suppkey % 1080 + 0.5e0) / 6)), 0) * (l_partkey % 2160 - 1079.5e0), 6)"))
@@ -233,7 +241,8 @@ def sinusoidal_latlon(spark, d):
 
 @query()
 def utm_forward(spark, d):
-    east, north = geo.utm_forward(LAT, LON)
+    lat, lon = _at()
+    east, north = geo.utm_forward(lat, lon)
     return _on_lines(spark, d, east=F.round(east, 3), north=F.round(north, 3))
 
 
@@ -242,7 +251,8 @@ _ZONE = f"CAST(CASE WHEN {SLON} < 0 THEN trunc((180 + {SLON}) / 6) + 1 ELSE trun
 
 @query(_sql(zone=_ZONE, band="CASE " + " ".join(f"WHEN {SLAT} >= {s} THEN '{b}'" for b, s in reversed(geo.SOUTH_BANDS + geo.NORTH_BANDS)) + " END", south=f"CASE WHEN {SLAT} < 0 THEN 'S' ELSE 'N' END"))
 def utm_lon_zone(spark, d):
-    return _on_lines(spark, d, zone=geo.utm_zone(LON), band=geo.lat_band(LAT), south=geo.hemisphere(geo.lat_band(LAT)))
+    lat, lon = _at()
+    return _on_lines(spark, d, zone=geo.utm_zone(lon), band=geo.lat_band(lat), south=geo.hemisphere(geo.lat_band(lat)))
 
 
 @query(
@@ -260,13 +270,15 @@ _BELOW = f"CASE WHEN {SLAT} <= 0 THEN {SLAT} * 4 - 1 ELSE floor({SLAT} * 4) END"
 
 @query(_sql(down=f"({_BELOW}) / 4", up=f"(({_BELOW}) + 1) / 4"))
 def grid_snap(spark, d):
-    return _on_lines(spark, d, down=geo.grid_snap(LAT, F.lit(4), False), up=geo.grid_snap(LAT, F.lit(4), True))
+    lat, lon = _at()
+    return _on_lines(spark, d, down=geo.grid_snap(lat, F.lit(4), False), up=geo.grid_snap(lat, F.lit(4), True))
 
 
 @query(_sql(zone=f"CAST(trunc(floor((90 - {SLAT}) / 0.25e0 * (360 / 0.25e0)) + (180 + {SLON}) / 0.25e0 + 1) AS INT)"))
 def zone_id(spark, d):
+    lat, lon = _at()
     step, size = F.lit(1 / 256), F.lit(64)
-    return _on_lines(spark, d, zone=geo.zone_id(LAT, LON, step, size, size))
+    return _on_lines(spark, d, zone=geo.zone_id(lat, lon, step, size, size))
 
 
 @query("SELECT CAST(i AS INT) AS level, power(2e0, -(8 + i)) AS step FROM range(0, 11) t(i)")
@@ -282,9 +294,10 @@ def bilinear(spark, d):
 
 @query(_sql(inside=f"{SLON} >= -60 AND {SLAT} >= -30 AND {SLON} < 60 - ({SLAT} + 30) AND {SLAT} < 30 + 0 * {SLON}"))
 def point_in_polygon(spark, d):
+    lat, lon = _at()
     corners = [(-60.0, -30.0), (60.0, -30.0), (0.0, 30.0), (-60.0, 30.0)]
     polygon = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in corners])
-    return _on_lines(spark, d, inside=geo.point_in_polygon(LON, LAT, polygon))
+    return _on_lines(spark, d, inside=geo.point_in_polygon(lon, lat, polygon))
 
 
 @query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'available' WHEN o_orderkey % 3 = 1 THEN 'error' ELSE 'in-progress' END AS c FROM orders")

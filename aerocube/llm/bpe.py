@@ -2,26 +2,30 @@
 
 Words are runs between ASCII white space; the tokenizer drops white space and never looks across it, so a word's ids
 don't depend on its neighbours. Documents are packed into blocks of some megabytes of text: a block holds its distinct
-words once and each position as a number among them. The blocks' words meet, by word, in one table of distinct words,
-where each is encoded once; its ids go back to the blocks that asked and from there to each position.
+words once, dealt into parts by their hash, and each position as a number among them. The parts meet, by hash, in a table of
+distinct words that lies spread over tasks; each word is encoded there once, and the ids of each part go back to its block
+and so to each position. Words, numbers and ids travel compressed, so all of it moves less than the texts.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import work_table
+from .common import shared_folder
 
-#: Bytes of text in a block.
-BLOCK = 16_000_000
+#: Bytes of text in a block. Words that a task's table holds before it starts a new one.
+BLOCK, TABLE = 16_000_000, 2_000_000
 
 
 def _tokenizer(path: str):
@@ -33,91 +37,137 @@ def _tokenizer(path: str):
     return tokenizer
 
 
-def _pack(ids: list, texts: list[list[bytes]], number: int) -> pa.RecordBatch:
-    lens = np.fromiter(map(len, texts), "int32", len(texts))
-    flat = np.array([w for t in texts for w in t], dtype=object)
-    code, words = pd.factorize(flat)
-    return pa.record_batch(
-        {
-            "block": pa.array([number], pa.int64()),
-            "rows": pa.array([ids]),
-            "lens": pa.array([lens]),
-            "codes": pa.array([code.astype("<i4").tobytes()], pa.large_binary()).cast(pa.binary()),
-            "words": pa.array([[w.decode() for w in words]], pa.list_(pa.string())),
-        }
-    )
+def _zip(data: bytes) -> bytes:
+    return zstandard.compress(data, 3)
+
+
+def _unzip(data: bytes) -> bytes:
+    return zstandard.decompress(data)
+
+
+def _planes(numbers: np.ndarray) -> bytes:
+    """Numbers below 2^32 as all their first bytes, all their second ones and so on, which packs well."""
+    return numbers.astype("<i4").view("u1").reshape(-1, 4).T.tobytes()
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, "u1").reshape(4, -1).T).view("<i4").ravel()
+
+
+class _Block:
+    """Documents' words as numbers; a new word gets the next number."""
 
+    def __init__(self):
+        self.rows, self.lens, self.codes, self.words, self.size = [], [], [], {}, 0
 
-def pack_blocks(docs: DataFrame, text: str, size: int = BLOCK) -> DataFrame:
-    """Blocks of docs (row, text): (block, rows, lens, codes, words). A text over `size` is a block of its own."""
+    def add(self, row, raw: bytes) -> None:
+        words = self.words
+        codes = [words.setdefault(w, len(words)) for w in raw.split()]
+        self.rows.append(row)
+        self.lens.append(len(codes))
+        self.codes.append(np.array(codes, "<i4"))
+        self.size += len(raw)
+
+    def packed(self, number: int, parts: int, kind: pa.DataType) -> pa.RecordBatch:
+        """Words are numbered by falling frequency, for short codes, and listed part by part; `order`: their numbers there."""
+        part = np.fromiter((xxhash.xxh3_64_intdigest(w) % parts for w in self.words), "int64", len(self.words))
+        names = list(self.words)
+        order = sorted(range(len(names)), key=lambda i: (part[i], names[i]))
+        codes = np.concatenate(self.codes)
+        new = np.empty(len(order), "<i4")
+        new[np.argsort(-np.bincount(codes, minlength=len(order)), kind="stable")] = np.arange(len(order))
+        cut = np.searchsorted(part[order], np.arange(parts + 1))
+        words = [names[i] for i in order]
+        lists = [{"part": p, "words": _zip(b" ".join(words[a:b]))} for p, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if b > a]
+        planes = [_planes(x) for x in (new[codes] if order else codes, new[order])]
+        columns = {"block": pa.array([number], pa.int64()), "rows": pa.array([self.rows], pa.list_(kind)), "lens": pa.array([self.lens], pa.list_(pa.int32()))}
+        columns |= {k: pa.array([_zip(x)], pa.binary()) for k, x in zip(("codes", "order"), planes, strict=True)}
+        return pa.record_batch(columns | {"lists": pa.array([lists], pa.list_(pa.struct([("part", pa.int32()), ("words", pa.binary())])))})
+
+
+def pack_blocks(docs: DataFrame, parts: int, size: int = BLOCK) -> DataFrame:
+    """Blocks of docs (row, text). A text over `size` is in one block with those before it; none is cut."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, ids, texts, held = TaskContext.get().partitionId() << 32, [], [], 0
+        number, block, kind = TaskContext.get().partitionId() << 32, _Block(), pa.null()
         for batch in batches:
-            for row, t in zip(batch.column("row"), batch.column("text"), strict=True):
-                raw = (t.as_py() or "").encode()
-                ids.append(row.as_py())
-                texts.append(raw.split())
-                held += len(raw)
-                if held >= size:
-                    yield _pack(ids, texts, number)
-                    number, ids, texts, held = number + 1, [], [], 0
-        if ids:
-            yield _pack(ids, texts, number)
-
-    rows = docs.select(F.col("row"), F.col(text).alias("text"))
-    kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(pack, f"block long, rows array<{kind}>, lens array<int>, codes binary, words array<string>")
-
-
-def encode(docs: DataFrame, id_: str, text: str, tokenizer_path: str, block: int = BLOCK) -> DataFrame:
+            kind = batch.schema.field("row").type
+            for row, text in zip(batch.column("row"), batch.column("text"), strict=True):
+                block.add(row.as_py(), (text.as_py() or "").encode())
+                if block.size >= size:
+                    yield block.packed(number, parts, kind)
+                    number, block = number + 1, _Block()
+        if block.rows:
+            yield block.packed(number, parts, kind)
+
+    row = docs.schema["row"].dataType.simpleString()
+    return docs.mapInArrow(pack, f"block long, rows array<{row}>, lens array<int>, codes binary, order binary, lists array<struct<part: int, words: binary>>")
+
+
+def encode(docs: DataFrame, id_: str, text: str, tokenizer_path: str, block: int = BLOCK, parts: int | None = None) -> DataFrame:
     """(id, ids array<int>) for each row of docs: what the tokenizer gives for the whole text, without added tokens.
 
     tokenizer_path: a JSON file of the tokenizers library, the same on every executor, whose pre-tokenizer drops white
     space. Null and empty texts have no ids; repeated rows and ids stay, each with its ids; an empty table gives
     no rows. Blocks are written to the shared folder once, so block numbers hold when executors are lost. A word is
-    in a block once, so a very common word is no more than a row per block.
+    in a block once, so a very common word is no more than a row per block. parts: hash parts of the words, by default four
+    times the shuffle partitions.
     """
+    parts = parts or 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    @pandas_udf("array<int>")
-    def encode_words(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        tokenizer = _tokenizer(tokenizer_path)
-        for words in batches:
-            yield pd.Series([x.ids for x in tokenizer.encode_batch_fast(words.tolist(), add_special_tokens=False)])
+    def encode_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokenizer, table = _tokenizer(tokenizer_path), {}
+        for batch in batches:
+            answers = []
+            for packed in batch.column("words").to_pylist():
+                words = _unzip(packed).split(b" ")
+                if fresh := [w for w in words if w not in table]:
+                    if len(table) > TABLE:
+                        table, fresh = {}, words
+                    found = tokenizer.encode_batch_fast([w.decode() for w in fresh], add_special_tokens=False)
+                    table.update((w, np.array(x.ids, "<i4").tobytes()) for w, x in zip(fresh, found, strict=True))
+                ids = [table[w] for w in words]
+                sizes = np.fromiter(map(len, ids), "<i4", len(ids)) // 4
+                answers.append(_zip(np.array([len(ids)], "<i4").tobytes() + sizes.tobytes() + b"".join(ids)))
+            yield pa.record_batch([batch.column("block"), batch.column("part"), pa.array(answers, pa.binary())], ["block", "part", "ids"])
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
                 one = batch.slice(k, 1)
-                at = np.asarray(one.column("at").flatten())
-                order = np.empty(len(at), "int64")
-                order[at] = np.arange(len(at))
-                codes = np.frombuffer(one.column("codes")[0].as_buffer(), "<i4")
-                lens = np.asarray(one.column("lens").flatten())
-                ends = np.concatenate([[0], np.cumsum(lens, dtype="int64")])
+                got = [np.frombuffer(_unzip(x), "<i4") for x in one.column("ids")[0].as_py()]
+                size = np.concatenate([g[1 : 1 + g[0]] for g in got] or [np.zeros(0, "<i4")])
+                values = np.concatenate([g[1 + g[0] :] for g in got] or [np.zeros(0, "<i4")])
+                first = np.concatenate([[0], np.cumsum(size, dtype="int64")])
+                codes, order = (_from_planes(_unzip(one.column(c)[0].as_py())) for c in ("codes", "order"))
+                place = np.empty(len(order), "<i4")
+                place[order] = np.arange(len(order))
+                codes = place[codes] if len(codes) else codes
+                ends = np.concatenate([[0], np.cumsum(np.asarray(one.column("lens").flatten()), dtype="int64")])
                 rows = one.column("rows").flatten()
-                word_ids = one.column("ids").flatten()
-                first = np.asarray(word_ids.offsets, dtype="int64")
-                values = np.asarray(word_ids.values)
-                size = np.diff(first)
-                step = max(1, len(rows) // max(1, len(codes) // 4_000_000))
-                for a in range(0, len(rows), step):  # some millions of words at once
-                    b = min(a + step, len(rows))
-                    c = order[codes[ends[a] : ends[b]]]
+                a = 0
+                while a < len(rows):  # some words at once
+                    b = max(a + 1, int(np.searchsorted(ends, ends[a] + 250_000, "right")) - 1)
+                    c = codes[ends[a] : ends[b]]
                     n = size[c]
-                    total = np.concatenate([[0], np.cumsum(n)])
+                    total = np.concatenate([[0], np.cumsum(n, dtype="int64")])
                     flat = values[np.repeat(first[c] - total[:-1], n) + np.arange(total[-1])] if len(c) else values[:0]
                     offsets = total[ends[a : b + 1] - ends[a]]
                     yield pa.record_batch({"row": rows.slice(a, b - a), "ids": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))})
-
-    blocks = work_table(pack_blocks(docs.select(F.col(id_).alias("row"), F.col(text).alias("text")), "text", block))
-    asked = blocks.select("block", F.posexplode("words").alias("at", "word")).repartition("word")
-    table = asked.select("word").distinct().withColumn("ids", encode_words("word"))
-    answers = asked.join(table, "word").groupBy("block").agg(F.collect_list(F.struct("at", "ids")).alias("got"))
-    answers = answers.select("block", F.col("got.at").alias("at"), F.col("got.ids").alias("ids"))
-    joined = blocks.drop("words").join(answers, "block", "left")
-    none = F.array().cast("array<int>")
-    joined = joined.select("rows", "lens", "codes", F.coalesce("at", none).alias("at"), F.coalesce("ids", F.array().cast("array<array<int>>")).alias("ids"))
+                    a = b
+
+    # a table in buckets of blocks, so that the ids come to where the codes lie and the codes aren't shuffled
+    spark, name = docs.sparkSession, f"blocks_{uuid.uuid4().hex}"
+    packed = pack_blocks(docs.select(F.col(id_).alias("row"), F.col(text).alias("text")), parts, block)
+    path = f"{shared_folder(spark)}/tables/{name}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    packed.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(buckets, "block").saveAsTable(name)
+    blocks = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the files stay
+    asked = blocks.select("block", F.explode("lists").alias("x")).select("block", "x.part", "x.words").repartition("part")
+    answers = asked.mapInArrow(encode_parts, "block long, part int, ids binary")
+    answers = answers.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("part", "ids"))).alias("got"))
+    joined = blocks.drop("lists").join(answers, "block", "left").select("rows", "lens", "codes", "order", F.coalesce("got.ids", F.array().cast("array<binary>")).alias("ids"))
     kind = docs.schema[id_].dataType.simpleString()
     return joined.mapInArrow(unpack, f"row {kind}, ids array<int>").withColumnRenamed("row", id_)
 

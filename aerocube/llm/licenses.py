@@ -80,7 +80,7 @@ def scan_licenses(files: DataFrame, templates=TEMPLATES, least: float = LEAST, f
     `inherited` from the license file in the nearest directory at or above; else null, as license, score and
     license_dir. A license file is one with an own license and at most file_words words; of several in one directory
     the best match holds for it. A null path lies in the root; null texts have no lines. Repeated rows are judged
-    each. Columns of files keep their names but for the four added. An empty table gives no rows.
+    each. Columns of files keep their names; those called like the four are replaced. An empty table gives no rows.
     """
     rows = files.select("*", F.coalesce(parent(F.col("path")), F.lit("")).alias("__dir"), header_lines(F.col("text")).alias("__lines"))
     lined = rows.filter(F.size("__lines") > 0)
@@ -99,7 +99,7 @@ def scan_licenses(files: DataFrame, templates=TEMPLATES, least: float = LEAST, f
     own, near_ = F.col("__own").isNotNull(), F.col("__near").isNotNull()
     held = F.coalesce("__own", F.col("__near.held"))
     return rows.select(
-        *[F.col(f"`{c}`") for c in files.columns],
+        *[F.col(f"`{c}`") for c in files.columns if c not in ("license", "score", "origin", "license_dir")],
         held["license"].alias("license"),
         (-held["s"]).alias("score"),
         F.when(own, "own").when(near_, "inherited").alias("origin"),

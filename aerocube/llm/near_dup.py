@@ -5,9 +5,9 @@
    values are folded into an odd sketch, 1024 parity bits (Mitzenmacher, Pagh, Pham 2014): the XOR of two sketches has a bit
    for about each value that differs, so its population count estimates high similarities closely. Pairs whose
    estimate is 0.2 below the wanted similarity (over 7 deviations) are dropped.
-3. What remains is confirmed on full sets. In large groups not all pairs are formed: members of a band are held
-   against one centre per round; those confirmed share a component, and only pairs across components go on. All
-   such pairs are formed and confirmed once their number is linear in the input, so no link is lost.
+3. What remains is confirmed on full sets. First each band's members are held against its smallest id; those confirmed share
+   a component, and only pairs across components go on. In crowded bands an exact prefix filter finds them (see
+   _crowded_pairs), so that no link between components is lost and no group's pairs are all formed.
 4. Components of the confirmed links, by alternating large-star and small-star rounds (Kiveris et al. 2014).
 """
 
@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from .common import held, small, work_table
 
 BANDS, ROWS, BITS = 48, 5, 1024
+#: Of bands with at most so many members all pairs across components are formed.
+CROWD = 16
 VALUES = BANDS * ROWS
 ONE = np.uint64(0x9E3779B97F4A7C15)
 #: Texts that are worked on at once hold so many bytes.
@@ -166,6 +168,49 @@ def connected_components(edges: DataFrame) -> DataFrame:
         before = after
 
 
+def _crowded_pairs(crowded: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that hold all links among the members (rep, component) of crowded bands.
+
+    A prefix filter: shingles are put in one order, rare ones (among these members) first. A set of n that is linked to a
+    smaller one of m overlaps it in at least v = p (n + m) / (100 + p) shingles, so one of its first n - v + 1 shingles is
+    among the smaller one's first m - 2 p m / (100 + p) + 1. The larger looks at each cell of sizes it may be linked to;
+    shingles that one member alone has take places but needn't be looked up. Where members share most shingles but are too
+    different to be linked, these first shingles are their own edits, so few meet. Of those that meet, one is
+    always outside the place's largest component; only such pairs are formed.
+    """
+    docs = crowded.select(F.col("rep").alias("of"), "component").distinct()
+    each = full.join(docs, "of").select("of", "component", "size", F.explode("shingles").alias("x"))
+    common = each.groupBy("x").agg(F.count("*").alias("df"))
+    several = F.collect_list(F.when(F.col("df") > 1, F.struct("df", "x")))
+    order = work_table(each.join(common, "x").groupBy("of", "component", "size").agg(F.count_if(F.col("df") == 1).alias("alone"), F.sort_array(several).alias("shared")))
+    n, p = F.col("size"), F.lit(percent)
+    up = lambda a, b: F.floor((a + b - 1) / b)  # noqa: E731  a / b, rounded up
+    cell = lambda c: F.floor(F.ln(c) / float(np.log(1.02)))
+
+    def first(rows: DataFrame, least_overlap: Column) -> DataFrame:
+        take = F.greatest((n - least_overlap + 1 - F.col("alone")).cast("int"), F.lit(0))
+        found = rows.select("cell", "of", "component", "size", "alone", F.posexplode(F.slice("shared", F.lit(1), take)["x"]).alias("i", "x"))
+        return found.withColumn("at", F.col("alone") + F.col("i")).drop("alone", "i")
+
+    smallest = F.greatest(up(p * n, F.lit(100)), F.lit(1))
+    larger = order.withColumn("cell", F.explode(F.sequence(cell(smallest), cell(n))))
+    low = F.greatest(smallest, F.floor(F.pow(F.lit(1.02), F.col("cell").cast("double")) - 1e-6))
+    left = first(larger, up(p * (n + low), F.lit(100 + percent)))
+    right = first(order.withColumn("cell", cell(n)), up(2 * p * n, F.lit(100 + percent)))
+    sides = left.withColumn("large", F.lit(True)).unionByName(right.withColumn("large", F.lit(False)))
+    sides = work_table(sides)
+    counts = sides.groupBy("cell", "x", "component").agg(F.count("*").alias("k"))
+    mixed = counts.groupBy("cell", "x").agg(F.count("*").alias("several"), F.max_by("component", F.struct("k", "component")).alias("main")).filter("several > 1").drop("several")
+    sides = work_table(sides.join(mixed, ["cell", "x"]))
+    name = lambda rows, k: rows.select("cell", "x", F.col("of").alias(k), F.col("component").alias(f"c{k}"), F.col("size").alias(f"n{k}"), F.col("at").alias(f"at{k}"), (F.col("component") == F.col("main")).alias(f"m{k}"))
+    left, right = name(sides.filter("large"), "a"), name(sides.filter("not large"), "b")
+    # by the first shingle that both have, what follows it holds the overlap
+    linkable = F.expr(f"ca <> cb and (nb < na or (nb = na and b < a)) and {100 + percent} * least(na - ata, nb - atb) >= {percent} * (na + nb)")
+    one = left.filter("not ma").join(right, ["cell", "x"]).filter(linkable).select("a", "b")
+    other = left.filter("ma").join(right.filter("not mb"), ["cell", "x"]).filter(linkable).select("a", "b")
+    return one.union(other)
+
+
 def near_duplicates(docs: DataFrame, id_: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8, most_broadcast: int = 1_000_000) -> DataFrame:
     """(id, n_shingles, component_id, kept) for each row of docs.
 
@@ -176,7 +221,6 @@ def near_duplicates(docs: DataFrame, id_: str = "doc_id", text: str = "text", wo
     no rows; other columns don't matter. most_broadcast: ids that are broadcast to fetch texts to confirm; more are
     shuffled.
     """
-    spark = docs.sparkSession
     percent = round(similarity * 100)
     base = docs.select(F.col(id_).alias("id"), F.col(text).alias("text"))
     rows = work_table(sketches(base, words))
@@ -201,36 +245,17 @@ def near_duplicates(docs: DataFrame, id_: str = "doc_id", text: str = "text", wo
         both = F.size(F.array_intersect("xa", "xb"))
         return pairs.filter(100 * both >= percent * (F.col("na") + F.col("nb") - both)).select("a", "b").distinct()
 
-    links = None  # confirmed so far
-    linear = 4 * (members.count() + 1000)
-    pairs_before = None
-    for turn in range(8):
-        if links is None:
-            placed = members.withColumn("component", F.col("rep"))
-        else:
-            known = connected_components(links).withColumnRenamed("id", "rep")
-            placed = work_table(members.join(known, "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component")))
-        # pairs across components, counted without forming them
-        counts = placed.groupBy("key", "component").agg(F.count("*").cast("double").alias("n"))
-        across = counts.groupBy("key").agg(((F.sum("n") ** 2 - F.sum(F.col("n") ** 2)) / 2).alias("pairs")).filter("pairs > 0.5")
-        pairs_now = across.agg(F.sum("pairs")).first()[0] or 0.0  # one row
-        if not pairs_now:
-            break
-        open_ = placed.join(across.select("key"), "key", "left_semi")
-        if pairs_now <= linear or pairs_now == pairs_before or turn == 7:
-            left, right = open_.select("key", F.col("rep").alias("a"), F.col("component").alias("ca")), open_.select("key", F.col("rep").alias("b"), F.col("component").alias("cb"))
-            fresh = confirmed(left.join(right, "key").filter("a < b and ca <> cb").select("a", "b"))
-            last = True
-        else:
-            centres = open_.groupBy("key").agg(F.min_by(F.struct("rep", "component"), F.xxhash64("rep", F.lit(turn))).alias("c")).select("key", "c.rep", "c.component").withColumnsRenamed({"rep": "b", "component": "cb"})
-            fresh = confirmed(open_.join(centres, "key").filter("rep <> b and component <> cb").select(F.col("rep").alias("a"), "b"))
-            last = False
-        links = work_table(fresh if links is None else fresh.union(links))
-        pairs_before = pairs_now
-        if last:
-            break
-    if links is None:
-        links = spark.createDataFrame([], classes.select(F.col("rep").alias("a"), F.col("rep").alias("b")).schema)
+    start = members.withColumn("component", F.col("rep"))
+    centres = start.groupBy("key").agg(F.min("rep").alias("b"))  # the first of a group is often what the others were made from
+    links = work_table(confirmed(start.join(centres, "key").filter("rep <> b").select(F.col("rep").alias("a"), "b")))
+    known = connected_components(links).withColumnRenamed("id", "rep")
+    placed = work_table(members.join(known, "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component")))
+    mixed = placed.groupBy("key").agg(F.count("*").alias("together"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
+    across = work_table(placed.join(mixed.select("key", "together"), "key"))
+    few = across.filter(F.col("together") <= CROWD).select("key", "rep", "component")
+    few = few.withColumnsRenamed({"rep": "a", "component": "ca"}).join(few.withColumnsRenamed({"rep": "b", "component": "cb"}), "key").filter("a < b and ca <> cb").select("a", "b")
+    many = _crowded_pairs(across.filter(F.col("together") > CROWD), full, percent)
+    links = work_table(confirmed(few.union(many)).union(links))
     found = connected_components(links)
     found = classes.select(*key, "rep").join(found.withColumnRenamed("id", "rep"), "rep", "left").select(*key, F.coalesce("component", "rep").alias("component_id"))
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))

@@ -2,7 +2,7 @@
 
 Each text has base figures and rules. Failures are counted by host (the column `source`), each host's rate is shrunk by
 a beta prior fitted to the spread of all hosts' rates, and a host is rejected if the lower bound of its posterior rate
-is over `limit`: then more than that share of what it publishes is bad, and its other documents go with it.
+and its own rate are over `limit`: then more than that share of what it publishes is bad, and its other documents go with it.
 """
 
 from __future__ import annotations
@@ -79,29 +79,29 @@ def bad_hosts(judged: DataFrame, limit: float = LIMIT) -> DataFrame:
     m = beta_trials(hosts)
     mean = (F.col("prior") * m + F.col("k")) / (F.col("n") + m)
     lower = mean - Z * F.sqrt(mean * (1 - mean) / (F.col("n") + m + 1))
-    return hosts.filter(lower > limit).select(F.col("source").alias("bad_source"), F.lit(True).alias("bad"))
+    # more must fail than the limit by the host's own count too: a bad corpus alone condemns none
+    return hosts.filter((lower > limit) & (F.col("k") > F.col("n") * limit)).select(F.col("source").alias("__bad_source"), F.lit(True).alias("__bad"))
 
 
-def judge(docs: DataFrame, text: str = "text", source: str = "source", limit: float = LIMIT, most_hosts: int = 100_000) -> DataFrame:
-    """docs with the column `quality`: the figures, base_failed and kept.
+def judge(docs: DataFrame, text: str = "text", source: str = "source", limit: float = LIMIT, most_hosts: int = 100_000, into: str = "quality") -> DataFrame:
+    """docs with the column `into`: a struct of the figures, base_failed and kept.
 
     A null or empty text has no words and fails. Long texts are counted whole; ties don't arise; repeated rows each
-    count. An empty table gives no rows. Columns of docs keep their names; one called `quality` is replaced.
+    count. An empty table gives no rows. Columns of docs keep their names; one called `into` is replaced.
     """
-    got = docs.withColumn("quality", figures(F.col(text)))
-    table = work_table(got.drop("__source").withColumn("__source", F.col(source)))
-    flat = table.select(F.col("__source").alias("source"), "quality.*")
+    table = work_table(docs.withColumn("__source", F.col(source)).withColumn(into, figures(F.col(text))))
+    flat = table.select(F.col("__source").alias("source"), f"{into}.*")
     bad = bad_hosts(flat.select("source", rule_failed().alias("failed")), limit)
     bad = small(work_table(bad), most_hosts)  # beyond that many rejected hosts both sides are shuffled
-    table = table.join(bad, F.col("__source").eqNullSafe(F.col("bad_source")), "left")
-    failed = F.transform(F.array("quality"), lambda q: (q["n_words"] < 50) | (100 * q["n_repeat_words"] > 50 * q["n_words"]))[0]
-    judged = F.col("quality").withField("base_failed", failed).withField("kept", ~failed & F.col("bad").isNull())
-    return table.withColumn("quality", judged).drop("__source", "bad_source", "bad")
+    table = table.join(bad, F.col("__source").eqNullSafe(F.col("__bad_source")), "left")
+    failed = F.transform(F.array(into), lambda q: (q["n_words"] < 50) | (100 * q["n_repeat_words"] > 50 * q["n_words"]))[0]
+    judged = F.col(into).withField("base_failed", failed).withField("kept", ~failed & F.col("__bad").isNull())
+    return table.withColumn(into, judged).drop("__source", "__bad_source", "__bad")
 
 
 def keep_good(docs: DataFrame, **options) -> DataFrame:
     """The rows of docs that the rules and their hosts' verdicts keep, columns as before."""
-    return judge(docs, **options).filter("quality.kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return judge(docs, into="__quality", **options).filter("__quality.kept").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op7_host_rules(spark, sf_dir: str) -> DataFrame:
@@ -109,8 +109,8 @@ def op7_host_rules(spark, sf_dir: str) -> DataFrame:
     # only the figures are kept for the second look, not the text
     table = work_table(docs.select("doc_id", "source", figures(F.col("text")).alias("q")).select("doc_id", "source", "q.*"))
     bad = small(work_table(bad_hosts(table.select("source", rule_failed().alias("failed")))), 100_000)
-    return table.join(bad, F.col("source").eqNullSafe(F.col("bad_source")), "left").select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed().alias("base_failed"), (~base_failed() & F.col("bad").isNull()).alias("kept")
+    return table.join(bad, F.col("source").eqNullSafe(F.col("__bad_source")), "left").select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed().alias("base_failed"), (~base_failed() & F.col("__bad").isNull()).alias("kept")
     )
 
 
@@ -128,7 +128,7 @@ h AS (SELECT source, CAST(count(*) AS DOUBLE) AS n, CAST(sum(CAST(base_failed OR
 h1 AS (SELECT *, (SELECT sum(k) / sum(n) FROM h) AS prior FROM h),
 m AS (SELECT CASE WHEN coalesce(sum(n * (n - 1) * prior * (1 - prior)), 0) = 0 THEN 999.0e0 ELSE 1e0 / least(greatest(
   (sum(power(k - n * prior, 2)) - sum(n * prior * (1 - prior))) / sum(n * (n - 1) * prior * (1 - prior)), 0.001e0), 0.5e0) - 1e0 END AS m FROM h1),
-bad AS (SELECT source FROM (SELECT *, (prior * m + k) / (n + m) AS mean FROM h1, m) WHERE mean - 1.645 * sqrt(mean * (1 - mean) / (n + m + 1)) > 0.5)"""
+bad AS (SELECT source FROM (SELECT *, (prior * m + k) / (n + m) AS mean FROM h1, m) WHERE mean - 1.645 * sqrt(mean * (1 - mean) / (n + m + 1)) > 0.5 AND k > n * 0.5)"""
 
 ORACLE = f"""WITH {FIGURES_SQL}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

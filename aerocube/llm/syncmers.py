@@ -1,6 +1,6 @@
 """Document fingerprints of closed syncmers, with DataFrame functions only.
 
-Tokens are words, cut every 16 code points. A window of K tokens is kept as an anchor if the token with the least hash is its
+Tokens are words, cut every 4 code points. A window of K tokens is kept as an anchor if the token with the least hash is its
 first or its last one. That depends on the window alone, so what stands around it, or where it stands, changes nothing, and
 texts that share a passage share its anchors, in the same order. About 2 in K windows are kept.
 """
@@ -12,8 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-TOKEN = r"([^\x20\x09-\x0D]{1,16})"
-K = 5
+TOKEN = r"([^\x20\x09-\x0D]{1,4})"
+K = 4
 
 
 def _let(value: Column, then: Callable[[Column], Column]) -> Column:
@@ -44,49 +44,49 @@ def fingerprint(found: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Anchors that both have over those that the one with more has, each counted once; 1 if neither has any."""
+    """The mean of the two shares of anchors, each counted once, that the other has too; 1 if neither has any, 0 if one
+    has none."""
 
     def of(p: Column) -> Column:
-        most = F.greatest(F.size(F.array_distinct(p["a"])), F.size(F.array_distinct(p["b"])))
-        return F.when(most == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(p["a"], p["b"])) / most)
+        n, a, b = F.size(F.array_intersect(p["a"], p["b"])), F.size(F.array_distinct(p["a"])), F.size(F.array_distinct(p["b"]))
+        return F.when((a == 0) & (b == 0), F.lit(1.0)).otherwise(F.coalesce((F.try_divide(n, a) + F.try_divide(n, b)) / 2, F.lit(0.0)))
 
     return _let(F.struct(a.alias("a"), b.alias("b")), of)
 
 
-def with_next(docs: DataFrame, id_: str, carried: Callable[[DataFrame], DataFrame], buckets: int | None = None) -> DataFrame:
+def with_next(docs: DataFrame, id_: str, buckets: int | None = None) -> DataFrame:
     """docs (id, text) in descending order of ids, with the struct `next` of the following row's columns.
 
     After the last row comes the first; rows of one id are ordered by their text's hash; null ids come last. Ids are
     cut into ranges at their approximate percentiles and sorted within each; each range also gets a copy of the first
-    row of the range below, so nothing passes through one task. carried: adds the columns that are worth computing before
-    the shuffle. buckets: ranges, by default twice the shuffle partitions.
+    row of the range below, so nothing passes through one task. buckets: ranges, by default twice the shuffle partitions.
     """
     spark = docs.sparkSession
     n = buckets or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts = docs.agg(F.percentile_approx(id_, [i / n for i in range(1, n)] or [0.5], 10 * n)).first()[0] or []  # n numbers
     order = F.struct(F.col(id_).alias("id"), F.bitwise_not(F.xxhash64("text")).alias("h"))
     below = F.size(F.filter(F.array(*[F.lit(c) for c in sorted(set(cuts))]), lambda c: c < F.col(id_))) if cuts else F.lit(0)
-    rows = docs.withColumn("range", F.coalesce(F.when(F.col(id_).isNotNull(), below), F.lit(0))).withColumn("order", order)
-    firsts = rows.groupBy("range").agg(F.max("order").alias("order"))
-    along = Window.orderBy("range")  # one row per range
-    around = F.coalesce(F.lead("range").over(along), F.min("range").over(Window.partitionBy()))
-    firsts = firsts.select("range", F.col("order").alias("first"), around.alias("to"))
-    copies = rows.join(F.broadcast(firsts), "range").filter(F.col("order").eqNullSafe(F.col("first"))).drop("first")
-    copies = copies.withColumn("range", F.col("to")).drop("to").withColumn("copy", F.lit(True))
-    every = carried(rows.withColumn("copy", F.lit(False)).unionByName(copies))
-    columns = [c for c in every.columns if c not in ("range", "order", "copy")]
-    down = Window.partitionBy("range").orderBy("copy", F.desc("order"))
-    return every.withColumn("next", F.lead(F.struct(*columns)).over(down)).filter(~F.col("copy")).select(*columns, "next")
+    rows = docs.withColumn("__range", F.coalesce(F.when(F.col(id_).isNotNull(), below), F.lit(0))).withColumn("__order", order)
+    firsts = rows.groupBy("__range").agg(F.max("__order").alias("__order"))
+    along = Window.orderBy("__range")  # one row per range
+    around = F.coalesce(F.lead("__range").over(along), F.min("__range").over(Window.partitionBy()))
+    firsts = firsts.select("__range", F.col("__order").alias("__first"), around.alias("__to"))
+    copies = rows.join(F.broadcast(firsts), "__range").filter(F.col("__order").eqNullSafe(F.col("__first"))).drop("__first")
+    copies = copies.withColumn("__range", F.col("__to")).drop("__to").withColumn("__copy", F.lit(True))
+    every = rows.withColumn("__copy", F.lit(False)).unionByName(copies)
+    columns = [c for c in every.columns if c not in ("__range", "__order", "__copy")]
+    down = Window.partitionBy("__range").orderBy("__copy", F.desc("__order"))
+    return every.withColumn("next", F.lead(F.struct(*columns)).over(down)).filter(~F.col("__copy")).select(*columns, "next")
 
 
 def op2_syncmers(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = with_next(docs, "doc_id", lambda d: d.withColumn("own", anchors(F.col("text"))))
+    rows = with_next(docs, "doc_id")
     n = F.length("text")
     third = F.floor(n / 3).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - third), F.substring(F.col("next.text"), F.lit(1), third))
-    rows = rows.select("doc_id", n.cast("long").alias("n_chars"), "own", F.col("next.own").alias("then"), edited.alias("edited"))
-    rows = rows.select("doc_id", "n_chars", "own", "then", F.sha2("edited", 256).alias("edited_sha256"), anchors(F.col("edited")).alias("new"))
+    rows = rows.select("doc_id", n.cast("long").alias("n_chars"), "text", edited.alias("edited"), F.col("next.text").alias("then"))
+    rows = rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), *[anchors(F.col(c)).alias(k) for c, k in (("text", "own"), ("edited", "new"), ("then", "then"))])
     return rows.select(
         "doc_id", "n_chars", "edited_sha256", fingerprint(F.col("own")).alias("fingerprint"), fingerprint(F.col("new")).alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("new")).alias("near_edited"), likeness(F.col("own"), F.col("then")).alias("near_next"),

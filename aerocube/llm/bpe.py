@@ -9,18 +9,17 @@ and so to each position. Words, numbers and ids travel compressed, so all of it
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
 from .common import shared_folder
 
@@ -175,30 +174,16 @@ def encode(docs: DataFrame, id_: str, text: str, tokenizer_path: str, block: int
 def decode(encoded: DataFrame, ids: str, tokenizer_path: str) -> DataFrame:
     """encoded with the column `decoded`: the pieces of the ids, joined by a space (the tokenizer has no decoder).
 
-    The join of ids to pieces runs where the rows lie: the pieces' side is as large as the vocabulary, whatever the
-    input. An id without a piece gives nothing; null ids give an empty text.
+    The join of ids to pieces runs where the rows lie: the vocabulary, whose size is fixed whatever the input, is one
+    constant array, and an id is a place in it. An id without a piece gives nothing; null ids give an empty text.
     """
-
-    @pandas_udf("string")
-    def pieces(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        vocabulary = _tokenizer(tokenizer_path).get_vocab(with_added_tokens=True)
-        table = np.full(max(vocabulary.values()) + 1, "", dtype=object)
-        for piece, i in vocabulary.items():
-            table[i] = piece
-        there = np.zeros(len(table), bool)
-        there[list(vocabulary.values())] = True
-
-        def text(i) -> str:
-            if i is None or not len(i):
-                return ""
-            i = np.asarray(i)
-            i = i[(i >= 0) & (i < len(table))]
-            return " ".join(table[i[there[i]]].tolist())
-
-        for batch in batches:
-            yield batch.map(text, na_action=None)
-
-    return encoded.withColumn("decoded", pieces(F.col(ids)))
+    vocabulary = _tokenizer(tokenizer_path).get_vocab(with_added_tokens=True)
+    table: list[str | None] = [None] * (max(vocabulary.values()) + 1)
+    for piece, i in vocabulary.items():
+        table[i] = piece
+    pieces = F.from_json(F.lit(json.dumps(table)), "array<string>")  # Spark folds it into a constant
+    found = F.array_join(F.transform(ids, lambda i: F.get(pieces, i)), " ")
+    return encoded.withColumn("decoded", F.coalesce(found, F.lit("")))
 
 
 def op4_bpe(spark, sf_dir: str) -> DataFrame:

@@ -87,6 +87,7 @@ def wps_pep_process(spark, d):
     """The two averages by name, over one request."""
     s = samples(spark, d).withColumn("t_start", F.col("t").cast("timestamp")).withColumn("t_end", F.col("t_start"))
     got = subset.get_coverage(s, "A", subset.Subset((-60, 60), (-30, 30), "1996-01-01", "1998-12-31"))
-    runs = {"spatialAverage": [F.lit(None).cast("int").alias("row"), F.lit(None).cast("int").alias("col")], "temporalAverage": [F.col("row"), F.col("col")]}
-    parts = [got.groupBy(*keys).agg(r6(F.avg("value")).alias("value")).select(F.lit(name).alias("process"), "row", "col", "value") for name, keys in runs.items()]
-    return parts[0].unionByName(parts[1])
+    mean, nowhere = r6(F.avg("value")).alias("value"), F.lit(None).cast("int")
+    spatial = got.agg(mean).select(F.lit("spatialAverage").alias("process"), nowhere.alias("row"), nowhere.alias("col"), "value")
+    temporal = got.groupBy("row", "col").agg(mean).select(F.lit("temporalAverage").alias("process"), "row", "col", "value")
+    return spatial.unionByName(temporal)

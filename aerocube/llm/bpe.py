@@ -9,7 +9,9 @@ and so to each position. Words, numbers and ids travel compressed, so all of it
 
 from __future__ import annotations
 
+import functools
 import json
+import os
 import uuid
 from collections.abc import Iterator
 
@@ -27,7 +29,10 @@ from .common import shared_folder
 BLOCK, TABLE = 16_000_000, 2_000_000
 
 
+@functools.cache
 def _tokenizer(path: str):
+    """Loaded once a worker. Its own threads stay off: Spark's tasks already take all cores."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
@@ -71,13 +76,14 @@ class _Block:
         """Words are numbered by falling frequency, for short codes, and listed part by part; `order`: their numbers there."""
         part = np.fromiter((xxhash.xxh3_64_intdigest(w) % parts for w in self.words), "int64", len(self.words))
         names = list(self.words)
-        order = sorted(range(len(names)), key=lambda i: (part[i], names[i]))
+        self.words.clear()
+        by_part = np.argsort(part, kind="stable")
+        cut = np.searchsorted(part[by_part], np.arange(parts + 1))
+        order = [i for a, b in zip(cut[:-1], cut[1:], strict=True) for i in sorted(by_part[a:b].tolist(), key=names.__getitem__)]
         codes = np.concatenate(self.codes)
         new = np.empty(len(order), "<i4")
         new[np.argsort(-np.bincount(codes, minlength=len(order)), kind="stable")] = np.arange(len(order))
-        cut = np.searchsorted(part[order], np.arange(parts + 1))
-        words = [names[i] for i in order]
-        lists = [{"part": p, "words": _zip(b" ".join(words[a:b]))} for p, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if b > a]
+        lists = [{"part": p, "words": _zip(b" ".join([names[i] for i in order[a:b]]))} for p, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if b > a]
         planes = [_planes(x) for x in (new[codes] if order else codes, new[order])]
         columns = {"block": pa.array([number], pa.int64()), "rows": pa.array([self.rows], pa.list_(kind)), "lens": pa.array([self.lens], pa.list_(pa.int32()))}
         columns |= {k: pa.array([_zip(x)], pa.binary()) for k, x in zip(("codes", "order"), planes, strict=True)}

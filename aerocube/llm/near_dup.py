@@ -31,7 +31,7 @@ CROWD = 16
 VALUES = BANDS * ROWS
 ONE = np.uint64(0x9E3779B97F4A7C15)
 #: Texts that are worked on at once hold so many bytes.
-AT_ONCE = 4_000_000
+AT_ONCE = 2_000_000
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:

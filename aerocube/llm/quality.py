@@ -9,10 +9,10 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.functions import pandas_udf
 
 from .common import beta_trials, small, work_table
 
@@ -20,7 +20,7 @@ SYMBOLS, SPACES = "#*$%&|<>", " \t\n\x0b\x0c\r"
 FIGURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 LIMIT, Z = 0.5, 1.645
 #: Words of text that are worked on at once.
-AT_ONCE = 500_000
+AT_ONCE = 200_000
 
 
 def _repeats(docs: list[list[bytes]]) -> np.ndarray:
@@ -42,14 +42,14 @@ def _repeats(docs: list[list[bytes]]) -> np.ndarray:
     return np.bincount(doc[covered], minlength=len(docs))
 
 
-@pandas_udf(T.StructType([T.StructField(x, T.LongType()) for x in FIGURES]))
-def figures(texts: pd.Series) -> pd.DataFrame:
+@F.arrow_udf(T.StructType([T.StructField(x, T.LongType()) for x in FIGURES]))
+def figures(texts: pa.Array) -> pa.Array:
     rows, repeats, held, n_held = [], [], [], 0
-    for text in texts.fillna(""):
+    for value in texts:
+        text = value.as_py() or ""
         raw = text.encode()
         words = raw.split()  # at ASCII white space
-        lines = raw.split(b"\n")
-        full = [x for x in lines if x.strip()]
+        full = [x for x in raw.split(b"\n") if x.strip()]
         rows.append((len(words), len(text) - sum(map(text.count, SPACES)), sum(map(text.count, SYMBOLS)), len(full), len(full) - len(set(full))))
         held.append(words)
         n_held += len(words)
@@ -57,7 +57,8 @@ def figures(texts: pd.Series) -> pd.DataFrame:
             repeats.append(_repeats(held))
             held, n_held = [], 0
     repeats.append(_repeats(held))
-    return pd.DataFrame(rows, columns=FIGURES[:-1]).assign(n_repeat_words=np.concatenate(repeats))
+    plain = [pa.array(x, pa.int64()) for x in zip(*rows, strict=True)] or [pa.array([], pa.int64())] * (len(FIGURES) - 1)
+    return pa.StructArray.from_arrays([*plain, pa.array(np.concatenate(repeats), pa.int64())], list(FIGURES))
 
 
 def base_failed() -> Column:

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import work_table
+
 #: License ids and the sentences that name them.
 TEMPLATES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -83,18 +85,20 @@ def scan_licenses(files: DataFrame, templates=TEMPLATES, least: float = LEAST, f
     each. Columns of files keep their names; those called like the four are replaced. An empty table gives no rows.
     """
     rows = files.select("*", F.coalesce(parent(F.col("path")), F.lit("")).alias("__dir"), header_lines(F.col("text")).alias("__lines"))
-    lined = rows.filter(F.size("__lines") > 0)
-    counted = lined.select(F.explode("__lines").alias("line")).groupBy("line").agg(F.count("*").alias("files"))
+    short = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")) <= file_words, F.lit(False))
+    narrow = work_table(rows.select("__dir", "__lines", short.alias("__short")))  # texts are read once for all that follows
+    lined = narrow.filter(F.size("__lines") > 0)
+    counted = work_table(lined.select(F.explode("__lines").alias("line")).groupBy("line").agg(F.count("*").alias("files")))
     scored = score_lines(counted, templates, least)
-    # a file's lines, as a set, recur too: score each distinct set once
+    # a file's lines, as a set, recur too: score each distinct set once. Written, so that Spark can broadcast a small
+    # side, or split a set or directory that very many files share, when rows are joined
     groups = lined.select("__lines").distinct().select("__lines", F.explode("__lines").alias("line")).join(scored, "line")
-    groups = groups.groupBy("__lines").agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("__own"))
+    groups = work_table(groups.groupBy("__lines").agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("__own")))
     rows = rows.join(groups, "__lines", "left")
-    short = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")) <= file_words
-    holders = lined.filter(short).select("__dir", "__lines").distinct().join(groups, "__lines").groupBy("__dir").agg(F.min("__own").alias("held"))
-    places = rows.select("__dir").distinct().select("__dir", F.explode(ancestors(F.col("__dir"))).alias("above"))
+    holders = lined.filter("__short").select("__dir", "__lines").distinct().join(groups, "__lines").groupBy("__dir").agg(F.min("__own").alias("held"))
+    places = narrow.select("__dir").distinct().select("__dir", F.explode(ancestors(F.col("__dir"))).alias("above"))
     near = places.join(holders.withColumnRenamed("__dir", "above"), "above")
-    near = near.groupBy("__dir").agg(F.max(F.struct(F.length("above").alias("depth"), "above", "held")).alias("__near"))
+    near = work_table(near.groupBy("__dir").agg(F.max(F.struct(F.length("above").alias("depth"), "above", "held")).alias("__near")))
     rows = rows.join(near, "__dir", "left")
     own, near_ = F.col("__own").isNotNull(), F.col("__near").isNotNull()
     held = F.coalesce("__own", F.col("__near.held"))

@@ -67,7 +67,7 @@ TEMPLATES = [
 FULL_TEXTS = [(p.stem, p.read_text()) for p in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))]
 HEADER = r"(?i)licen[sc]|copyright|spdx|redistribut|permission is hereby|public domain"
 TERM = r"([a-z0-9]+)"
-LEAST, SHARE, FILE_WORDS = 0.8, 0.5, 40
+LEAST, SHARE = 0.8, 0.5
 #: Between paragraphs: lines without a letter or digit, so comment marks don't hide a blank line.
 GAP = r"\n[^\p{L}\p{N}]*\n"
 WRAP, SENTENCE = r"\n[^\p{L}\p{N}\n]*", r"(?<=[.!?])\s+(?=[\"'(<]?\p{Lu})"
@@ -197,7 +197,7 @@ def scan_licenses(files: DataFrame, templates=TEMPLATES, least: float = LEAST, s
     """
     text, path = F.col("text").cast("string"), F.col("path")
     rows = files.select("*", F.coalesce(parent(path), F.lit("")).alias("__dir"), F.md5(text).alias("__key"))
-    hit, named = text.rlike(HEADER), F.coalesce(n_words(text) <= FILE_WORDS, F.lit(False))
+    hit, named = text.rlike(HEADER), F.coalesce(path.rlike(NAMED) & ~path.rlike(CODE), F.lit(False))
     narrow = work_table(rows.select("__dir", named.alias("__named"), F.when(hit, F.col("__key")).alias("__key"), F.when(hit, text).alias("__text")))
     lined = narrow.filter("__key is not null")
     # a text's license depends on the text alone: score each distinct one once
@@ -211,7 +211,7 @@ def scan_licenses(files: DataFrame, templates=TEMPLATES, least: float = LEAST, s
     # written, so that Spark can broadcast a small side, or split a text or directory that very many files share
     groups = work_table(groups.select(F.col("key").alias("__key"), "__own", (F.col("words") >= share * F.col("n_words")).alias("__mostly")))
     rows = rows.join(groups.select("__key", "__own"), "__key", "left")
-    holders = lined.select("__dir", "__key", "__named").distinct().join(groups, "__key").filter("__named")
+    holders = lined.select("__dir", "__key", "__named").distinct().join(groups, "__key").filter("__named or __mostly")
     holders = holders.groupBy("__dir").agg(F.min("__own").alias("held"))
     places = narrow.select("__dir").distinct().select("__dir", F.explode(ancestors(F.col("__dir"))).alias("above"))
     near = places.join(holders.withColumnRenamed("__dir", "above"), "above")

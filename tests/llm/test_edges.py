@@ -117,19 +117,41 @@ def test_html(spark):
     shell = "<html><body><nav>home about</nav>{}<footer>foot</footer></body></html>"
     article = "<article><h1>T &amp; U</h1><p>one <b>t</b>wo<br>three<div class='comments'>c</div><form>f</form><aside>s</aside></article>"
     menu = "<div><p>this menu line is on every page of the whole site today</p></div>"
-    pages = [(1, "h", shell.format(article)), (2, "h", None), (3, None, ""), (1, "h", shell.format(article)), (4, "h", "<p>" + "w " * 200_000), (5, "h", "<div class=ad>x<article>in"), (6, "h", "<p>a</p><!-- <p>no</p> --><script>'</p>'</script><style>p{}</style>")]
+    pages = [(1, "h", shell.format(article)), (2, "h", None), (3, None, ""), (1, "h", shell.format(article)), (4, "g", "<p>" + "w " * 200_000), (5, "h", "<div class=ad>x<article>in"), (6, "h", "<p>a</p><!-- <p>no</p> --><script>'</p>'</script><style>p{}</style>")]
     pages += [(10 + i, "h", f"{menu}<p>{'abcdefgh'[i] * 9} has its own words on page {i} and more {i * 77}</p>") for i in range(4)] + [(20, "other", menu)]
-    df = spark.createDataFrame(pages, "page_id long, host string, html string").withColumn("text", F.lit("old")).withColumn("key", F.lit(1)).withColumn("found", F.lit(1))
-    got = html_text.extract_text(df, F.col("host"))
-    assert got.columns == ["page_id", "host", "html", "key", "found", "text"]
-    text = {r["page_id"]: r["text"] for r in got.collect()}
-    assert got.count() == len(pages)
-    assert text[1] == "T & U\none two three" and text[2] == text[3] == "" and text[5] == "in" and text[6] == "a"
-    assert len(text[4]) == 399_999
-    assert text[10] == "aaaaaaaaa has its own words on page 0 and more 0" and text[20].startswith("this menu")
+    df = spark.createDataFrame(pages, "page_id long, host string, html string").withColumn("text", F.lit("old")).withColumn("key", F.lit(1)).withColumn("runs", F.lit(1)).withColumn("shared", F.lit(1))
+    for most in (100, 0):  # broadcast and shuffled
+        got = html_text.extract_text(df, F.col("host"), most_broadcast=most)
+        assert got.columns == ["page_id", "host", "html", "key", "runs", "shared", "text"]
+        text = {r["page_id"]: r["text"] for r in got.collect()}
+        assert got.count() == len(pages)
+        assert text[1] == "T & U\none two three" and text[2] == text[3] == "" and text[5] == "in" and text[6] == "a"
+        assert len(text[4]) == 399_999
+        assert text[10] == "aaaaaaaaa has its own words on page 0 and more 0" and text[20].startswith("this menu")
     assert html_text.extract_text(df.filter("1 = 0"), F.col("host")).count() == 0
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    ("<nav>n</nav><article><h1>T</h1><p>one <b>two<br>three<p>four</article><footer>f</footer>", "T\none two three\nfour"),
+    ('<p>real main text here</p><script>var t="<article>x</article>"</script>', "real main text here"),
+    ("<p>real main text here</p><!-- <article> -->", "real main text here"),
+    ("<form action=x><nav>n</nav><h1>T</h1><p>some words of the page here</p><div class=comments>c</div></form>", "T\nsome words of the page here"),
+    ('<form><div class="search-layout"><article>body<p class="notice">of note</p><div class=notice>cookie</div></article></div></form>', "body\nof note"),
+    ("<main><h1>T</h1><article>a</article><p>b</p></main>", "T\na\nb"),
+    ("<aside><article>teaser</article></aside><p>loose text that is long</p>", "loose text that is long"),
+    ("<article>a<article class=comment>c</article>b</article>", "a\nb"),
+    ("<nav>x<p>main words here", "x\nmain words here"),
+    ("<head><title>t</title><meta x><p>body", "body"),
+    ('<p>foo <span class="ad">ad</span> bar</p>', "foo bar"),
+    ("<article><header><h1>T</h1></header><p>x</article>", "T\nx"),
+    ("<header>x</header><p>abc", "abc"),
+    ("<ul><li class=ad>x<li>y</ul>", "y"),
+    ("<b>" * 50_000 + "<p>" * 50_000 + "</i>" * 50_000 + "<div class=ad>" * 20_000 + "x", "x"),
+])
+def test_structure(page, text):
+    assert html_text.unique_text(page, []) == text
+
+
 def test_licenses(spark):
     mit, gpl = "Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3."
     rows = [("a/LICENSE", mit), ("a/b/LICENSE", gpl), ("a/x", "code"), ("a/b/c/y", "code"), ("z/w", "code"), ("z/own", f"long {GOOD}\n{mit}"), (None, None), ("a/x", "code"), ("q", ""), ("a/long", LONG), ("r/two", f"{gpl}\n{mit}"), ("r/sub/f", "x")]

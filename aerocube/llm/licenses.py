@@ -150,8 +150,10 @@ def score_blocks(texts: DataFrame, full=FULL_TEXTS, least: float = LEAST) -> Dat
     rows = [(t, w, [(None, 0.0)] + [(name, c[t] * w / norm) for (name, c), norm in zip(counts, norms, strict=True) if t in c]) for t, w in idf.items()]
     known = texts.sparkSession.createDataFrame(rows, "term string, idf double, of array<struct<license: string, tw: double>>")
     # outer, as for others Spark adds filters that compute the arrays again
-    found = texts.select("key", F.explode_outer(text_blocks(F.col("text"))).alias("u"))
-    terms = found.select("key", "u.kind", n_words(F.col("u.unit")).alias("words"), F.explode_outer(term_counts(F.col("u.unit"))).alias("t"))
+    # words and terms are made before the rows are, else Spark would count the words again for each term
+    made = F.transform(text_blocks(F.col("text")), lambda u: F.struct(u["kind"].alias("kind"), n_words(u["unit"]).alias("words"), term_counts(u["unit"]).alias("terms")))
+    found = texts.select("key", F.explode_outer(made).alias("u"))
+    terms = found.select("key", "u.kind", "u.words", F.explode_outer("u.terms").alias("t"))
     terms = terms.select("key", "kind", "words", "t.term", "t.tf").join(F.broadcast(known), "term", "left")  # a fixed table
     w = F.col("tf") * F.coalesce("idf", F.lit(math.log(1 + len(counts)) + 1))
     parts = terms.select("key", "kind", "words", w.alias("w"), F.explode_outer("of").alias("of"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -12,16 +13,22 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Work tables of this process, as (catalog name or None, folder), until free() removes them.
+_written: list[tuple[str | None, str]] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors see: spark.checkpoint.dir, or where that is unset (tests) a temporary one."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="aerocube-"))
-        return spark.sparkContext._jsc.sc().getCheckpointDir().get()
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    """The folder that all executors see: spark.checkpoint.dir. Where that is unset, a temporary one in local mode (tests),
+    an error on a cluster, whose executors wouldn't see it."""
+    folder, context = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext
+    known = context._jsc.sc().getCheckpointDir()
+    if not folder and known.isEmpty():
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="aerocube-")
+    if known.isEmpty():
+        context.setCheckpointDir(folder)
+    return folder or known.get()
 
 
 def work_table(df: DataFrame) -> DataFrame:
@@ -29,9 +36,36 @@ def work_table(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    _written.append((None, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucket_table(df: DataFrame, column: str) -> DataFrame:
+    """A work table in buckets of a column, as many as shuffle partitions; the catalog knows it until free() is called."""
+    spark, name = df.sparkSession, f"work_{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/tables/{name}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(buckets, column).saveAsTable(name)
+    _written.append((name, path))
+    return spark.table(name)
+
+
+def free(spark: SparkSession, *still_read: DataFrame) -> None:
+    """Removes all work tables that operators have written but those that the given DataFrames read.
+
+    For callers that have written out what the operators returned, such as between stages of a pipeline."""
+    kept = [f for df in still_read for f in df.inputFiles()]
+    for entry in list(_written):
+        name, path = entry
+        if any(path.rsplit("/", 1)[-1] in f for f in kept):
+            continue
+        if name:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        _written.remove(entry)
+
+
 def held(df: DataFrame) -> DataFrame:
     """checkpoint(), for the small tables of iterations."""
     shared_folder(df.sparkSession)

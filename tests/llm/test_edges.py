@@ -100,12 +100,27 @@ def test_bpe_equals_the_library(docs, none):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(PATH)
-    got = bpe.decode(bpe.encode(docs, "doc_id", "text", PATH, block=100_000), "ids", PATH).collect()
+    encoded = bpe.encode(docs, "doc_id", "text", PATH, block=100_000)
+    got = encoded.collect()
     want = [(r[0], tokenizer.encode(r[1] or "", add_special_tokens=False).ids) for r in ROWS]
     key = lambda x: (x[0] is None, x[0] or 0, x[1])
     assert sorted(((r["doc_id"], list(r["ids"])) for r in got), key=key) == sorted(want, key=key)
     assert all(r["decoded"] == tokenizer.decode(list(r["ids"]), skip_special_tokens=False) for r in got)
-    assert bpe.encode(none, "doc_id", "text", PATH).count() == 0
+    again = bpe.decode(encoded.filter("size(ids) < 1000").withColumnRenamed("decoded", "was"), "ids", PATH).collect()
+    assert len(again) == len(ROWS) - 2 and all(r["decoded"] == r["was"] for r in again)
+    assert bpe.encode(none, "doc_id", "text", PATH).count() == 0 and bpe.decode(none.select(F.array(F.lit(1)).alias("ids")), "ids", PATH).count() == 0
+
+
+def test_other_tokenizers_are_refused():
+    with pytest.raises(ValueError, match="decoder"):
+        bpe.checked_pieces(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_groups_of_blocks(docs, monkeypatch):
+    """Blocks that don't share a table of words give the same."""
+    want = sorted((r["doc_id"] or 0, r["decoded"]) for r in bpe.encode(docs, "doc_id", "text", PATH).collect())
+    monkeypatch.setattr(bpe, "SHARING", 2)
+    assert sorted((r["doc_id"] or 0, r["decoded"]) for r in bpe.encode(docs, "doc_id", "text", PATH, block=1000).collect()) == want
 
 
 def test_decode_skips_unknown(spark):

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerocube.llm import bpe, mixing, near_dup, quality
-from aerocube.llm.common import work_table
+from aerocube.llm.common import free, work_table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +33,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("word_bpe_49k.json")
-    got = bpe.decode(bpe.encode(docs, "doc_id", "text", path), "ids", path)
+    got = bpe.encode(docs, "doc_id", "text", path)
     return got.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
@@ -47,4 +47,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES:
         docs = work_table(stage(spark, docs, sf_dir))
+        free(spark, docs)  # what the stage and those before it have written
     return docs

@@ -30,14 +30,16 @@ def _role(role: Column) -> Column:
 def format_chats(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", learn: str = "assistant") -> DataFrame:
     """One row per conversation: its id, `formatted`, and `loss`: (start, length) in code points of the texts to learn.
 
-    Turns are sorted by turn (null first), ties by role and text. Null texts and roles are empty. Rows whose
-    conversation is null form one conversation. Only roles equal to `learn` are learnt, each text without its markers;
-    `loss` counts escaped characters, and unescaping what it covers gives the texts. Other columns don't matter.
+    Turns are sorted by turn (null first), ties by role and text. Null texts and roles are empty; very long texts stay
+    whole; repeated rows are turns of their own. Each row whose conversation is null is a conversation by itself, so no group
+    grows without bound. Only roles equal to `learn` are learnt, each text without its markers; `loss` counts escaped
+    characters, and unescaping what it covers gives the texts. Other columns, of any name, don't matter; an empty
+    table gives no rows.
     """
     empty = F.lit("")
-    turns = rows.groupBy(F.col(conv)).agg(
-        F.sort_array(F.collect_list(F.struct(F.col(turn).alias("turn"), F.coalesce(F.col(role), empty).alias("role"), F.coalesce(F.col(text), empty).alias("text")))).alias("turns")
-    )
+    each = rows.select(F.col(conv).alias("__conv"), F.struct(F.col(turn).alias("turn"), F.coalesce(F.col(role), empty).alias("role"), F.coalesce(F.col(text), empty).alias("text")).alias("said"))
+    turns = each.filter("__conv is not null").groupBy("__conv").agg(F.sort_array(F.collect_list("said")).alias("turns"))
+    turns = turns.unionByName(each.filter("__conv is null").select("__conv", F.array("said").alias("turns"))).withColumnRenamed("__conv", conv)
 
     def role_at(i: Column) -> Column:  # 0-based
         return F.get(F.col("turns"), i)["role"]

@@ -1,8 +1,8 @@
 """Near-duplicate documents: MinHash bands propose, odd sketches sieve, full shingle sets confirm.
 
 1. Each text becomes the set of its word shingles (64-bit hashes). Texts with equal sets form a class, of which one goes on.
-2. 240 MinHash values per class make 48 bands of 5: two sets of similarity 0.8 share no band once in 10^8 pairs. The
-   values are folded into an odd sketch, 1024 parity bits (Mitzenmacher, Pagh, Pham 2014): the XOR of two sketches has a bit
+2. MinHash values of each class make bands, so that two sets of the wanted similarity share none once in 10^8 pairs (for
+   0.8: 235 values in 47 bands of 5). The values are folded into an odd sketch, 1024 parity bits (Mitzenmacher, Pagh, Pham 2014): the XOR of two sketches has a bit
    for about each value that differs, so its population count estimates high similarities closely. Pairs whose
    estimate is 0.2 below the wanted similarity (over 7 deviations) are dropped.
 3. What remains is confirmed on full sets. First each band's members are held against its smallest id; those confirmed share
@@ -13,6 +13,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,10 +26,10 @@ from pyspark.sql import functions as F
 
 from .common import held, small, work_table
 
-BANDS, ROWS, BITS = 48, 5, 1024
+#: Bits of a sketch; MinHash values at most (more where even bands of one value need them); how seldom bands may miss a link.
+BITS, VALUES, MISSED = 1024, 256, 1e-8
 #: Of bands with at most so many members all pairs across components are formed.
 CROWD = 16
-VALUES = BANDS * ROWS
 ONE = np.uint64(0x9E3779B97F4A7C15)
 #: Texts that are worked on at once hold so many bytes.
 AT_ONCE = 2_000_000
@@ -41,9 +42,25 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-with np.errstate(over="ignore"):
-    _keys = _mixed(np.arange(1, 2 * VALUES + 1, dtype="uint64") * ONE)
-XORS, FACTORS = _keys[:VALUES], _keys[VALUES:] | np.uint64(1)
+def band_plan(similarity: float) -> tuple[int, int]:
+    """(bands, rows): as many rows a band as VALUES allow."""
+    plans = []
+    for rows in range(1, 17):
+        p = min(similarity, 1.0) ** rows
+        bands = 1 if p >= 1 else int(np.ceil(np.log(MISSED) / np.log1p(-p))) if p > 0 else VALUES + 1
+        plans.append((bands, rows))
+    fit = [x for x in plans if x[0] * x[1] <= VALUES]
+    if similarity <= 0 or not fit and plans[0][0] > 4 * VALUES:
+        raise ValueError("bands can't find links of so low a similarity")
+    return fit[-1] if fit else plans[0]
+
+
+@functools.cache
+def _hashes(values: int) -> tuple[np.ndarray, np.ndarray]:
+    """What makes each of the hash functions."""
+    with np.errstate(over="ignore"):
+        keys = _mixed(np.arange(1, 2 * values + 1, dtype="uint64") * ONE)
+    return keys[:values], keys[values:] | np.uint64(1)
 
 
 def shingle_sets(texts: list[str | None], words: int) -> list[np.ndarray]:
@@ -74,24 +91,25 @@ def shingle_sets(texts: list[str | None], words: int) -> list[np.ndarray]:
     return out
 
 
-def min_values(shingles: np.ndarray) -> np.ndarray:
+def min_values(shingles: np.ndarray, values: int) -> np.ndarray:
     """The least value of each of the hash functions."""
-    least = np.full(VALUES, np.iinfo("uint64").max)
+    xors, factors = _hashes(values)
+    least = np.full(values, np.iinfo("uint64").max)
     for a in range(0, len(shingles), 512):
-        np.minimum(least, ((shingles[a : a + 512, None] ^ XORS) * FACTORS).min(axis=0), out=least)
+        np.minimum(least, ((shingles[a : a + 512, None] ^ xors) * factors).min(axis=0), out=least)
     return least
 
 
-def _sketched(shingles: np.ndarray) -> tuple:
+def _sketched(shingles: np.ndarray, bands: int, rows: int) -> tuple:
     """Two hashes of the set, its band keys, its odd sketch."""
-    least = min_values(shingles)
-    number = np.arange(VALUES, dtype="uint64") * ONE
+    least = min_values(shingles, bands * rows)
+    number = np.arange(bands * rows, dtype="uint64") * ONE
     sample = _mixed(least + number)
-    bands = np.zeros(BANDS, "uint64")
-    for column in sample.reshape(BANDS, ROWS).T:
-        bands = _mixed(bands * ONE + column)
+    keys = np.zeros(bands, "uint64")
+    for column in sample.reshape(bands, rows).T:
+        keys = _mixed(keys * ONE + column)
     odd = (np.bincount(sample & np.uint64(BITS - 1), minlength=BITS) & 1).astype("uint8")
-    return shingles.sum(), np.bitwise_xor.reduce(_mixed(shingles)), bands.view("int64"), np.packbits(odd).view("int64")
+    return shingles.sum(), np.bitwise_xor.reduce(_mixed(shingles)), keys.view("int64"), np.packbits(odd).view("int64")
 
 
 def _by_size(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list]]:
@@ -105,14 +123,15 @@ def _by_size(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list
             a = b
 
 
-def sketches(docs: DataFrame, words: int) -> DataFrame:
+def sketches(docs: DataFrame, words: int, similarity: float = 0.8) -> DataFrame:
     """(id, n, h1, h2, keys, sketch) for each row of docs (id, text); keys and sketch are null for an empty set."""
+    bands, rows = band_plan(similarity)
 
     def work(batches):
         for ids, texts in _by_size(batches):
             sets = shingle_sets(texts, words)
             with np.errstate(over="ignore"):
-                made = [_sketched(s) if len(s) else (np.uint64(0), np.uint64(0), None, None) for s in sets]
+                made = [_sketched(s, bands, rows) if len(s) else (np.uint64(0), np.uint64(0), None, None) for s in sets]
             h1, h2 = (np.array([m[k] for m in made], "uint64").view("int64") for k in (0, 1))
             lists = [pa.array([m[k] for m in made], pa.list_(pa.int64())) for k in (2, 3)]
             yield pa.record_batch([ids, pa.array([len(s) for s in sets], pa.int64()), pa.array(h1), pa.array(h2), *lists], ["id", "n", "h1", "h2", "keys", "sketch"])
@@ -135,7 +154,7 @@ def sets(docs: DataFrame, words: int) -> DataFrame:
 
 def _alike(a: Column, b: Column, similarity: float) -> Column:
     """Whether two odd sketches may belong to sets of the similarity, with a margin of 0.2."""
-    differing = 2 * VALUES * (1 - max(similarity - 0.2, 0.0))
+    differing = 2 * int(np.prod(band_plan(similarity))) * (1 - max(similarity - 0.2, 0.0))
     most = BITS / 2 * (1 - float(np.exp(-2 * differing / BITS)))
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x) <= int(np.ceil(most))
 
@@ -223,7 +242,7 @@ def near_duplicates(docs: DataFrame, id_: str = "doc_id", text: str = "text", wo
     """
     percent = round(similarity * 100)
     base = docs.select(F.col(id_).alias("id"), F.col(text).alias("text"))
-    rows = work_table(sketches(base, words))
+    rows = work_table(sketches(base, words, similarity))
     key = ["n", "h1", "h2"]
     classes = work_table(rows.filter("n > 0 and id is not null").groupBy(*key).agg(F.min("id").alias("rep"), F.min_by(F.struct("keys", "sketch"), "id").alias("made")).select(*key, "rep", "made.*"))
     bands = classes.select(F.explode("keys").alias("key"), "rep")
@@ -259,15 +278,19 @@ def near_duplicates(docs: DataFrame, id_: str = "doc_id", text: str = "text", wo
     found = connected_components(links)
     found = classes.select(*key, "rep").join(found.withColumnRenamed("id", "rep"), "rep", "left").select(*key, F.coalesce("component", "rep").alias("component_id"))
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
+    # texts without words have no class: a null key keeps them all out of one task
+    rows = rows.select("id", "n", *[F.when(F.col("n") > 0, F.col(c)).alias(c) for c in ("h1", "h2")])
     return (
-        rows.select("id", *key).join(found, key, "left")
+        rows.join(found, key, "left")
         .select(F.col("id").alias(id_), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), own).alias("component_id"))
         .withColumn("kept", F.coalesce(F.col(id_) == F.col("component_id"), F.lit(True)))
     )
 
 
 def keep_one(docs: DataFrame, id_: str = "doc_id", text: str = "text", most_broadcast: int = 1_000_000, **options) -> DataFrame:
-    """docs without the rows that near_duplicates() doesn't keep; of rows that repeat an id, one stays."""
+    """docs without the rows that near_duplicates() doesn't keep; of rows that repeat an id, the one with the least hash of
+    its text and then of all its columns stays. Null and empty texts, and rows without an id, stay; columns and their names
+    are as before; an empty table gives no rows."""
     judged = near_duplicates(docs, id_, text, most_broadcast=most_broadcast, **options)
     lost = work_table(judged.filter(~F.col("kept")).select(F.col(id_).alias("__lost")).distinct())
     left = docs.join(small(lost, most_broadcast), F.col(id_) == F.col("__lost"), "left_anti")
@@ -276,7 +299,9 @@ def keep_one(docs: DataFrame, id_: str = "doc_id", text: str = "text", most_broa
         return left
     again = small(twice, most_broadcast)
     once = left.join(again, F.col(id_) == F.col("__twice"), "left_anti")
-    return once.unionByName(left.join(again, F.col(id_) == F.col("__twice"), "left_semi").dropDuplicates([id_]))
+    rest = left.join(again, F.col(id_) == F.col("__twice"), "left_semi")
+    first = rest.groupBy(F.col(f"`{id_}`").alias("__of")).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.struct(F.xxhash64(F.col(text)), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))).alias("__row"))
+    return once.unionByName(first.select("__row.*"))
 
 
 def op10_near_duplicates(spark, sf_dir: str) -> DataFrame:

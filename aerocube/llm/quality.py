@@ -80,7 +80,8 @@ def bad_hosts(judged: DataFrame, limit: float = LIMIT) -> DataFrame:
     m = beta_trials(hosts)
     mean = (F.col("prior") * m + F.col("k")) / (F.col("n") + m)
     lower = mean - Z * F.sqrt(mean * (1 - mean) / (F.col("n") + m + 1))
-    # more must fail than the limit by the host's own count too: a bad corpus alone condemns none
+    # more must fail than the limit by the host's own count too: where over half of a corpus fails, the prior alone would
+    # reject every host, also those of which nothing fails
     return hosts.filter((lower > limit) & (F.col("k") > F.col("n") * limit)).select(F.col("source").alias("__bad_source"), F.lit(True).alias("__bad"))
 
 

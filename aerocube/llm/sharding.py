@@ -9,12 +9,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import small, work_table
 
-def jump_shard(key: Column, shards: int, most_jumps: int = 256) -> Column:
+#: Jumps that are made before asking whether a key has more: it has ln(shards) on average.
+JUMPS = 64
+
+
+def jump_shard(key: Column, shards: int, jumps: int = JUMPS) -> Column:
     """The shard (0 to shards - 1) of a key.
 
-    Each jump at least adds one, so `shards` jumps are enough; a key has about ln(shards) of them, and
-    most_jumps only keeps the loop short for very many shards. A null key is a key like any other.
+    Each jump at least adds one, so `shards` jumps are enough. The first `jumps` are made for all keys, the others only
+    for a key that is still jumping. A null key is a key like any other.
     """
     key = F.coalesce(key.cast("string"), F.lit("\0null"))
 
@@ -27,11 +32,14 @@ def jump_shard(key: Column, shards: int, most_jumps: int = 256) -> Column:
         )
 
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit(True).alias("open"))
-    steps = F.sequence(F.lit(1), F.lit(min(shards, most_jumps)))
-    return F.aggregate(steps, start, jump, lambda s: s["at"].cast("int"))
+    first = F.aggregate(F.sequence(F.lit(1), F.lit(min(shards, jumps))), start, jump)
+    if shards <= jumps:
+        return first["at"].cast("int")
+    rest = F.sequence(F.lit(jumps + 1), F.lit(shards))
+    return F.transform(F.array(first), lambda s: F.when(s["open"], F.aggregate(rest, s, jump)["at"]).otherwise(s["at"]))[0].cast("int")
 
 
-def assign_shards(docs: DataFrame, key: str, text: str, shards: int, parts_per_shard: int | None = None) -> DataFrame:
+def assign_shards(docs: DataFrame, key: str, text: str, shards: int, parts_per_shard: int | None = None, most_broadcast: int = 1_000_000) -> DataFrame:
     """Key, size, text_crc32, law, shard, slot, grown_shard for each row of docs.
 
     size: UTF-8 bytes of the text plus 1; a null text has no bytes. The law is `key`: key and shard count decide
@@ -55,10 +63,10 @@ def assign_shards(docs: DataFrame, key: str, text: str, shards: int, parts_per_s
     before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     firsts = rows.groupBy("shard", "part").agg(F.count("*").alias("n")).select("shard", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
     within = Window.partitionBy("shard", "part").orderBy(key, "text_crc32", "size")
-    # firsts has shards x parts rows at most, whatever the input
+    # firsts has shards x parts rows at most, whatever the input; it is counted before it is broadcast
     return (
         rows.withColumn("nth", F.row_number().over(within))
-        .join(F.broadcast(firsts), ["shard", "part"])
+        .join(small(work_table(firsts), most_broadcast), ["shard", "part"])
         .select(key, "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("first") + F.col("nth") - 1).alias("slot"), "grown_shard")
     )
 

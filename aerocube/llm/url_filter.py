@@ -2,8 +2,8 @@
 
 Labelled page outcomes (bad or not) are counted by host, registered domain (its last two labels) and suffix (its last
 label). Each level's rate is shrunk to its parent's with a beta-binomial prior whose strength is estimated by moments
-from the spread of the level's own rates. A host is blocked if
-the lower bound of its posterior and what was seen of it (or of its domain) are over `limit`.
+from the spread of the level's own rates. A host is blocked if the lower bound of its posterior is over `limit`; so a host
+without outcomes is judged by its domain, and that by its suffix.
 """
 
 from __future__ import annotations
@@ -39,9 +39,7 @@ def rule_for(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 
 
 def host_reputation(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """host, n, k, mean, lower, seen for each host of pages (id, host).
-
-    seen: the plain rate of the host or, where it has no outcomes, of its domain, else 0.
+    """host, n, k, mean, lower for each host of pages (id, host).
 
     outcomes: (id, bad) with bad 0 or 1; an id may have none, one or several. Hosts without any outcome have
     their domain's rate. Without outcomes at all every rate is 0.
@@ -63,11 +61,10 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
 
     suffixes, _ = shrunk(suffixes)
     domains, _ = shrunk(domains.join(suffixes.select("suffix", F.col("mean").alias("prior")), "suffix"))
-    hosts, m = shrunk(hosts.join(domains.select("domain", F.col("mean").alias("prior"), F.try_divide("k", "n").alias("of_domain")), "domain"))
+    hosts, m = shrunk(hosts.join(domains.select("domain", F.col("mean").alias("prior")), "domain"))
     trials = F.col("n") + F.lit(m)
     deviation = F.sqrt(F.greatest(F.col("mean") * (1 - F.col("mean")), F.lit(0.0)) / (trials + 1))
-    seen = F.coalesce(F.try_divide("k", "n"), "of_domain", F.lit(0.0))
-    return hosts.select("host", "n", "k", "mean", (F.col("mean") - Z * deviation).alias("lower"), seen.alias("seen"))
+    return hosts.select("host", "n", "k", "mean", (F.col("mean") - Z * deviation).alias("lower"))
 
 
 def filter_urls(pages: DataFrame, id_: str, url: str, outcomes: DataFrame, rules=RULES, limit: float = LIMIT) -> DataFrame:
@@ -80,8 +77,8 @@ def filter_urls(pages: DataFrame, id_: str, url: str, outcomes: DataFrame, rules
     rows = pages.select(F.col(id_).alias("id"), host.alias("host"), path.alias("path"))
     hosts = host_reputation(rows.select("id", "host"), outcomes)
     rule, says = rule_for(F.col("host"), F.col("path"), rules)
-    own = F.when((F.col("host") != "") & (F.col("lower") > limit) & (F.col("seen") > limit), "block").otherwise("allow")
-    return rows.join(hosts.select("host", "lower", "seen"), "host", "left").select(
+    own = F.when((F.col("host") != "") & (F.col("lower") > limit), "block").otherwise("allow")
+    return rows.join(hosts.select("host", "lower"), "host", "left").select(
         F.col("id").alias(id_), "host", "path", rule.alias("rule"), F.coalesce(says, own).alias("verdict")
     )
 
@@ -119,8 +116,8 @@ d0 AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM h0 GROUP BY ALL),
 s0 AS (SELECT suffix, sum(n) AS n, sum(k) AS k FROM d0 GROUP BY ALL),
 s1 AS (SELECT *, (SELECT CASE WHEN sum(n) > 0 THEN sum(k) / sum(n) ELSE 0 END FROM s0) AS prior FROM s0),{_level_sql("s2", "s1")},
 d1 AS (SELECT d0.*, s2.mean AS prior FROM d0 JOIN s2 USING (suffix)),{_level_sql("d2", "d1")},
-h1 AS (SELECT h0.*, d2.mean AS prior, coalesce(h0.k / nullif(h0.n, 0), d2.k / nullif(d2.n, 0), 0) AS seen FROM h0 JOIN d2 USING (domain)),{_level_sql("h2", "h1")}
+h1 AS (SELECT h0.*, d2.mean AS prior FROM h0 JOIN d2 USING (domain)),{_level_sql("h2", "h1")}
 SELECT page_id, r.host, path, {_rule_sql()[0]} AS rule, coalesce({_rule_sql()[1]},
-  CASE WHEN host <> '' AND mean - {Z} * sqrt(greatest(mean * (1 - mean), 0) / (n + m + 1)) > {LIMIT} AND seen > {LIMIT} THEN 'block' ELSE 'allow' END) AS verdict
+  CASE WHEN host <> '' AND mean - {Z} * sqrt(greatest(mean * (1 - mean), 0) / (n + m + 1)) > {LIMIT} THEN 'block' ELSE 'allow' END) AS verdict
 FROM r JOIN h2 USING (host)
 """

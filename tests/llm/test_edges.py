@@ -73,8 +73,11 @@ def test_chat(spark):
     rows = [(c, t, r, x) for c in (1, None) for t, (r, x) in enumerate(zip(["user", "assistant", "assistant", "we:ird\\# role", None], said, strict=True))]
     rows += [(2, None, "assistant", "late"), (2, 1, "assistant", "b"), (2, 1, "assistant", "a"), (3, 0, "assistant", "same"), (3, 0, "assistant", "same"), (4, 0, "user", LONG)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("formatted", F.lit(1)).withColumn("turns", F.lit(2))
-    got = {r["conv_id"]: r for r in chat.format_chats(df).withColumn("back", chat.parse_chat(F.col("formatted"))).collect()}
-    assert len(got) == 5
+    made = chat.format_chats(df).withColumn("back", chat.parse_chat(F.col("formatted"))).collect()
+    alone = sorted((r["back"][0]["role"], r["back"][0]["text"]) for r in made if r["conv_id"] is None)
+    assert alone == sorted((r or "", x or "") for c, _, r, x in rows if c is None)  # a row without a conversation is one
+    got = {r["conv_id"]: r for r in made if r["conv_id"] is not None}
+    assert len(got) == 4 and len(made) == 9
     assert [(r["role"], r["text"]) for r in got[1]["back"]] == [(r or "", x or "") for _, _, r, x in rows[:5]]
     assert [r["text"] for r in got[2]["back"]] == ["late", "a", "b"] and [r["text"] for r in got[3]["back"]] == ["same", "same"]
     for r in got.values():
@@ -279,10 +282,10 @@ def test_urls(spark):
     assert got[0] == ("www.example.com", "/en/7", "example.com/en/7", "allow") and got[1][2:] == ("net/de/", "allow") and got[2][2:] == ("example.net/de/8", "block")
     assert got[3] == got[4] == got[5] == ("", "", None, "allow") and got[7][2:] == ("org/es/", "block") and got[8][2:] == ("com/en/", "block") and got[10][2] is None
     assert got[9] == ("h.org", "/x://y/es/", None, "allow")
-    bad = spark.createDataFrame([(i, 1) for i in range(100, 160)] + [(None, 1), (100, None), (200, 0)], "id long, bad int")
-    pages = spark.createDataFrame([(i, "http://spam.xyz/") for i in range(100, 161)] + [(200 + i, f"http://fine{i}.abc/") for i in range(5)], "page_id long, url string")
+    bad = spark.createDataFrame([(i, 1) for i in range(100, 160)] + [(None, 1), (100, None)] + [(200 + i, 0) for i in range(60)], "id long, bad int")
+    pages = spark.createDataFrame([(i, "http://spam.xyz/") for i in range(100, 161)] + [(200 + i, f"http://fine{i % 20}.abc/") for i in range(60)] + [(300, "http://new.abc/"), (301, "http://new.spam.xyz/")], "page_id long, url string")
     verdicts = {r["page_id"]: r["verdict"] for r in url_filter.filter_urls(pages, "page_id", "url", bad).collect()}
-    assert verdicts[160] == "block" and verdicts[204] == "allow"
+    assert verdicts[160] == verdicts[301] == "block" and verdicts[204] == verdicts[300] == "allow"  # new ones by domain and suffix
     assert url_filter.filter_urls(df.filter("1 = 0"), "page_id", "url", none).count() == 0
 
 

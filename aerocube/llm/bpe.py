@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 
 from .common import bucket_table
 
-#: Bytes of text in a block, lists that its words are dealt into, and blocks that share one table of distinct words (128 GB of
+#: Bytes of text in a block, lists that its words are dealt into, and blocks that share one table of distinct words (64 GB of
 #: text): so a list has some hundred words and a task some million, whatever the size of the corpus or cluster.
-BLOCK, PARTS, SHARING = 32_000_000, 256, 4096
+BLOCK, PARTS, SHARING = 16_000_000, 256, 4096
 #: Words that a task's table holds before it starts a new one.
 TABLE = 2_000_000
 WHITE = " \t\n\x0b\x0c\r"
@@ -202,7 +202,7 @@ def encode(docs: DataFrame, id_: str, text: str, tokenizer_path: str, block: int
     drops white space and it has no decoder. Null and empty texts have no ids and decode to an empty text; very long ones
     are in one block; repeated rows and ids stay, each with its ids; other columns, of any name, don't matter; an empty
     table gives no rows. Blocks are written to the shared folder once, so block numbers hold when executors are lost.
-    They lie there in buckets, as a table until common.free() drops it. A word is in a block once, so a very common word is no
+    They and their ids lie there in buckets, as tables until common.free() drops them. A word is in a block once, so a very common word is no
     more than a place in a row per block.
     """
     spark = docs.sparkSession
@@ -214,6 +214,7 @@ def encode(docs: DataFrame, id_: str, text: str, tokenizer_path: str, block: int
     sharing = F.pmod(F.xxhash64("block"), F.lit(blocks.count() // SHARING + 1))
     answers = asked.repartition("part", sharing).mapInArrow(_encode_lists(tokenizer_path), "block long, part int, ids binary")
     answers = answers.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("part", "ids"))).alias("got")).select("block", F.col("got.ids").alias("ids"))
+    answers = bucket_table(answers, "block")  # read twice, and by block
     used = answers.mapInArrow(_used, "block long, used array<int>").select("block", F.explode("used").alias("id"))
     read = used.join(pieces, "id").groupBy("block").agg(F.collect_list(F.struct("id", "piece")).alias("pieces"))
     joined = blocks.drop("lists").join(answers, "block", "left").join(read, "block", "left")

@@ -67,8 +67,16 @@ def fingerprint(found: Column) -> Column:
     return F.array_join(found.cast("array<string>"), " ")
 
 
+def placed(found: Column) -> Column:
+    """What likeness() needs of a text's anchors, as (once, last): each window at its first place, sorted, and the last place."""
+    first = lambda s: F.filter(s, lambda x, i: (i == 0) | (_window(x) != _window(F.get(s, i - 1))))
+    last = F.coalesce(_place(F.get(found, F.size(found) - 1)), F.lit(0).cast("long"))
+    return F.struct(_let(F.sort_array(found), first).alias("once"), last.alias("last"))
+
+
 def likeness(a: Column, b: Column) -> Column:
-    """The mean of the two shares of anchors that match by place; 1 if neither text has any, 0 if one has none.
+    """The mean of the two shares of windows that match by place, of two texts' placed(); 1 if neither text has any, 0 if
+    one has none.
 
     Windows count once, at their first place in each text; a common one is off by its place in b less that in a. With D
     for the difference of the texts' lengths, those match that are off by something between 0 and D (what was put in or
@@ -76,30 +84,24 @@ def likeness(a: Column, b: Column) -> Column:
     whichever are more; both within a slack. So passages that changed places match in part only.
     """
 
-    def firsts(found: Column) -> Column:
-        return _let(F.sort_array(found), lambda s: F.filter(s, lambda x, i: (i == 0) | (_window(x) != _window(F.get(s, i - 1)))))
-
-    def length(found: Column) -> Column:
-        return F.coalesce(_place(F.get(found, F.size(found) - 1)), F.lit(0).cast("long"))
-
-    def off(both: Column) -> Column:
-        moved = lambda x, i: F.when(_window(x) == _window(F.get(both, i - 1)), _place(x) - _place(F.get(both, i - 1)))
-        return F.sort_array(F.filter(F.transform(both, moved), lambda d: d.isNotNull()))
-
     def of(p: Column) -> Column:
-        slack = F.greatest(F.lit(SLACK).cast("long"), (F.least(p["la"], p["lb"]) / 10).cast("long"))
-        d = p["lb"] - p["la"]
-        low, high = F.least(F.lit(0).cast("long"), d) - slack, F.greatest(F.lit(0).cast("long"), d) + slack
-        both = F.sort_array(F.concat(p["a"], F.transform(p["b"], lambda x: x.bitwiseOR(F.lit(_SIDE)))))
+        a, b = p["a"], p["b"]
+        slack = F.greatest(F.lit(SLACK).cast("long"), (F.least(a["last"], b["last"]) / 10).cast("long"))
+        low, high = F.least(F.lit(0).cast("long"), b["last"] - a["last"]) - slack, F.greatest(F.lit(0).cast("long"), b["last"] - a["last"]) + slack
+
+        def off(both: Column) -> Column:
+            moved = lambda x, i: F.when(_window(x) == _window(F.get(both, i - 1)), _place(x) - _place(F.get(both, i - 1)))
+            return F.sort_array(F.filter(F.transform(both, moved), lambda d: d.isNotNull()))
 
         def matched(moved: Column) -> Column:
             middle = F.get(moved, F.floor(F.size(moved) / 2).cast("int"))
             return F.greatest(F.size(F.filter(moved, lambda x: x.between(low, high))), F.size(F.filter(moved, lambda x: F.abs(x - middle) <= slack)))
 
-        n, sa, sb = _let(_let(both, off), matched), F.size(p["a"]), F.size(p["b"])
+        both = F.sort_array(F.concat(a["once"], F.transform(b["once"], lambda x: x.bitwiseOR(F.lit(_SIDE)))))
+        n, sa, sb = _let(_let(both, off), matched), F.size(a["once"]), F.size(b["once"])
         return F.when((sa == 0) & (sb == 0), F.lit(1.0)).when((sa == 0) | (sb == 0), F.lit(0.0)).otherwise((n / sa + n / sb) / 2)
 
-    return _let(F.struct(firsts(a).alias("a"), firsts(b).alias("b"), length(a).alias("la"), length(b).alias("lb")), of)
+    return _let(F.struct(a.alias("a"), b.alias("b")), of)
 
 
 def _cuts(rows: DataFrame, order: Column, pieces: int) -> list:
@@ -127,8 +129,8 @@ def _range_of(order: Column, cuts: list, kind: str) -> Column:
 
 
 def with_next(docs: DataFrame, id_: str, text: str, range_bytes: int = RANGE) -> DataFrame:
-    """(id, text, found, next_id, next_text, next_found) for each row of docs, in descending order of ids: its text and
-    anchors, and those of the following row.
+    """(id, text, found, placed, next_id, next_text, next_placed) for each row of docs, in descending order of ids: its
+    text and anchors, and what likeness() needs of it and of the following row.
 
     After the last row comes the first; rows of one id are ordered by their text's hash, null ids come last. Ids may be
     numbers or strings; null texts are empty; other columns, of any name, don't matter; an empty table gives no
@@ -150,9 +152,10 @@ def with_next(docs: DataFrame, id_: str, text: str, range_bytes: int = RANGE) ->
     every = rows.withColumn("copy", F.lit(False)).unionByName(copies.withColumn("copy", F.lit(True)))
     # sorted before anchors are made, so that neither exchange nor sort carries them
     dealt = every.repartition("range").sortWithinPartitions("range", "copy", F.desc("order")).withColumn("found", anchors(F.col("text")))
+    dealt = dealt.withColumn("placed", placed(F.col("found")))
     down = Window.partitionBy("range").orderBy("copy", F.desc("order"))
-    following = [F.lead(c).over(down).alias(f"next_{c}") for c in ("id", "text", "found")]
-    return dealt.select("id", "text", "found", "copy", *following).filter(~F.col("copy")).drop("copy")
+    following = [F.lead(c).over(down).alias(f"next_{c}") for c in ("id", "text", "placed")]
+    return dealt.select("id", "text", "found", "placed", "copy", *following).filter(~F.col("copy")).drop("copy")
 
 
 def op2_syncmers(spark, sf_dir: str) -> DataFrame:
@@ -160,9 +163,9 @@ def op2_syncmers(spark, sf_dir: str) -> DataFrame:
     n = F.length("text")
     third = F.floor(n / 3).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - third), F.substring(F.col("next_text"), F.lit(1), third))
-    rows = rows.select(F.col("id").alias("doc_id"), n.cast("long").alias("n_chars"), edited.alias("edited"), "found", "next_found")
-    rows = rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "found", "next_found", anchors(F.col("edited")).alias("new"))
+    rows = rows.select(F.col("id").alias("doc_id"), n.cast("long").alias("n_chars"), edited.alias("edited"), "found", "placed", "next_placed")
+    rows = rows.select("*", anchors(F.col("edited")).alias("new"))
     return rows.select(
-        "doc_id", "n_chars", "edited_sha256", fingerprint(F.col("found")).alias("fingerprint"), fingerprint(F.col("new")).alias("edited_fingerprint"),
-        likeness(F.col("found"), F.col("new")).alias("near_edited"), likeness(F.col("found"), F.col("next_found")).alias("near_next"),
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), fingerprint(F.col("found")).alias("fingerprint"), fingerprint(F.col("new")).alias("edited_fingerprint"),
+        likeness(F.col("placed"), placed(F.col("new"))).alias("near_edited"), likeness(F.col("placed"), F.col("next_placed")).alias("near_next"),
     )

@@ -80,7 +80,7 @@ def test_anchors_and_likeness_equal_brute_force(spark):
     got = {r["i"]: r["f"] for r in rows.select("i", S.fingerprint(F.col("a")).alias("f")).collect()}
     assert got == {i: string(brute(t)) for i, t in enumerate(made)}
     pairs = rows.select(F.col("i").alias("x"), F.col("a").alias("xa")).join(rows.select(F.col("i").alias("y"), F.col("a").alias("ya")), F.col("x") <= F.col("y"))
-    found = {(r["x"], r["y"]): r["s"] for r in pairs.select("x", "y", S.likeness(F.col("xa"), F.col("ya")).alias("s")).collect()}
+    found = {(r["x"], r["y"]): r["s"] for r in pairs.select("x", "y", S.likeness(S.placed(F.col("xa")), S.placed(F.col("ya"))).alias("s")).collect()}
     for (x, y), s in found.items():
         assert s == pytest.approx(brute_likeness(brute(made[x]), brute(made[y]))), (x, y)
     assert found[5, 13] == 1 and found[5, 8] > 0.9 and found[5, 9] > 0.9 and found[10, 11] > 0.9
@@ -98,9 +98,10 @@ def test_neighbours(spark):
         order = sorted(data, key=lambda x: (x[0] is not None, x[0] if x[0] is not None else type(cast(1))(), hashes[x[1]]), reverse=True)
         want = sorted([(a, b) for a, b in zip(order, [*order[1:], order[0]], strict=True)], key=str)
         for size in (500, 10**9):
-            got = S.with_next(df, "key", "body", size).select("id", "text", "next_id", "next_text", "found", "next_found").collect()
+            got = S.with_next(df, "key", "body", size).collect()
             assert sorted([((x["id"], x["text"]), (x["next_id"], x["next_text"])) for x in got], key=str) == want
-            assert all([(v >> 32, v & (2**31 - 1)) for v in x["next_found"]] == brute(x["next_text"]) for x in got[:50])
+            assert all([(v >> 32, v & (2**31 - 1)) for v in x["found"]] == brute(x["text"]) for x in got[:50])
+            assert all({v >> 32 for v in x["next_placed"]["once"]} == {w for w, _ in brute(x["next_text"])} for x in got[:50])
     one = S.with_next(df.limit(1), "key", "body").collect()
     assert len(one) == 1 and one[0]["text"] == one[0]["next_text"]
     assert S.with_next(df.filter("1 = 0"), "key", "body").count() == 0

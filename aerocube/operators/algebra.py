@@ -8,19 +8,6 @@ from pyspark.sql import functions as F
 CELL = ["row", "col", "level_idx"]
 
 
-def pixel_align(a: DataFrame, b: DataFrame, on: list[str] = CELL) -> DataFrame:
-    """Cells that two coverages share, with va and vb."""
-    return a.select(*on, F.col("value").alias("va")).join(b.select(*on, F.col("value").alias("vb")), on)
-
-
-def add(a: DataFrame, b: DataFrame, on: list[str] = CELL) -> DataFrame:
-    return pixel_align(a, b, on).select(*on, (F.col("va") + F.col("vb")).alias("value"))
-
-
-def subtract(a: DataFrame, b: DataFrame, on: list[str] = CELL) -> DataFrame:
-    return pixel_align(a, b, on).select(*on, (F.col("va") - F.col("vb")).alias("value"))
-
-
 def vertical_integral(values: Column, heights: Column) -> Column:
     """Sum of value times layer thickness over a profile's levels, the first from the ground; missing if any level is."""
     layers = F.transform(F.sequence(F.lit(0), F.size(heights) - 1), lambda i: F.get(heights, i) - F.coalesce(F.get(heights, i - 1), F.lit(0.0)))

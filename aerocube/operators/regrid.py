@@ -29,18 +29,18 @@ def auto_bbox(swath: DataFrame, *keys: str) -> DataFrame:
     return swath.groupBy(*keys).agg(F.max("lat").alias("north"), F.min("lon").alias("west"), F.min("lat").alias("south"), F.max("lon").alias("east"))
 
 
-def pixel_map(target: DataFrame, source: DataFrame, threshold_m: float, own_threshold: bool = False) -> DataFrame:
+def pixel_map(target: DataFrame, source: DataFrame, threshold_m: float) -> DataFrame:
     """For each target pixel its nearest source pixel, if nearer than the threshold; ties go to the larger (row, col).
 
-    source: src_row, src_col, lat, lon, and with own_threshold a column `threshold`, at most threshold_m. Both sides meet
-    in bins of the threshold's height; a target pixel looks into the bins around its own, more of them along a
+    source: src_row, src_col, lat, lon. For thresholds that are small beside the earth (see nearest_pixels() for any
+    distance): both sides meet in bins of the threshold's height; a target pixel looks into the bins around its own, more of them along a
     parallel the nearer the pole, so no pair in reach is missed. Near the date line bins wrap. A partial minimum
     is taken before the shuffle, so a pixel with many candidates is no burden.
     """
     size = degree(threshold_m) * 1.001
     bands = int(360 / size) + 1
     wrapped = lambda lon: F.pmod(lon + 180, num(360))
-    s = source.select("src_row", "src_col", F.col("lat").alias("slat"), F.col("lon").alias("slon"), *(["threshold"] if own_threshold else []))
+    s = source.select("src_row", "src_col", F.col("lat").alias("slat"), F.col("lon").alias("slon"))
     s = s.withColumn("yb", F.floor((F.col("slat") + 90) / size).cast("int")).withColumn("xb", F.floor(wrapped(F.col("slon")) / size).cast("int"))
     # how far a parallel's degrees must be searched, at the farther edge of the band; everywhere next to a pole
     edge = F.least(F.abs(F.col("lat")) + size, num(90))
@@ -52,10 +52,8 @@ def pixel_map(target: DataFrame, source: DataFrame, threshold_m: float, own_thre
     t = target.withColumn("yb", F.explode(F.sequence(y - 1, y + 1))).withColumn("xb", F.explode(xs))
     dist = haversine_m(F.col("lat"), F.col("lon"), F.col("slat"), F.col("slon"))
     met = t.join(s, ["yb", "xb"]).withColumn("dist_m", dist)
-    best = F.min(F.struct("dist_m", (-F.col("src_row")).alias("r"), (-F.col("src_col")).alias("c"), *(["threshold"] if own_threshold else [])))
+    best = F.min(F.struct("dist_m", (-F.col("src_row")).alias("r"), (-F.col("src_col")).alias("c")))
     out = met.filter(F.col("dist_m") < threshold_m).groupBy("dst_row", "dst_col").agg(best.alias("b"))
-    if own_threshold:
-        out = out.filter("b.dist_m < b.threshold")
     return out.select("dst_row", "dst_col", (-F.col("b.r")).alias("src_row"), (-F.col("b.c")).alias("src_col"), F.col("b.dist_m").alias("dist_m"))
 
 

@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Groups up to which their figures are broadcast.
+FEW = 10_000
+
+
 def add_cells(samples: DataFrame, size: float = 10.0) -> DataFrame:
     """samples with the north-up grid cell (row, col) that holds each."""
     return samples.withColumn("row", F.floor((90 - F.col("lat")) / size).cast("int")).withColumn("col", F.floor((F.col("lon") + 180) / size).cast("int"))
@@ -33,22 +37,6 @@ def difference_stats(diff: DataFrame, *keys: str) -> DataFrame:
     return diff.groupBy(*keys).agg(F.avg("d").alias("d_mean"), F.stddev_pop("d").alias("d_std"), F.min("d").alias("d_min"), F.max("d").alias("d_max"))
 
 
-def daily_difference_stats(samples: DataFrame, a: str, b: str, size: float = 10.0, start: str | None = None, end: str | None = None) -> DataFrame:
-    """Per day, clipped to [start, end): statistics of coverage a minus coverage b on a common grid.
-
-    One aggregation by coverage, day and cell serves both sides; a day counts only if both have data."""
-    rows = add_cells(samples.filter(F.col("coverage_id").isin(a, b)), size).withColumn("day", F.to_date("t"))
-    if start:
-        rows = rows.filter(F.col("t") >= F.lit(start).cast("timestamp"))
-    if end:
-        rows = rows.filter(F.col("t") < F.lit(end).cast("timestamp"))
-    side = lambda x: F.avg(F.when(F.col("coverage_id") == x, F.col("value")))
-    there = lambda x: F.count_if(F.col("coverage_id") == x)
-    cells = rows.groupBy("day", "row", "col").agg(side(a).alias("va"), side(b).alias("vb"), there(a).alias("na"), there(b).alias("nb"))
-    cells = cells.filter("na > 0 and nb > 0").withColumn("d", F.col("va") - F.col("vb"))
-    return difference_stats(cells, "day")
-
-
 def slice_stats(df: DataFrame, key: str, index: str, t: str, size: int) -> DataFrame:
     """Mean, first and last time per slice of so many scan lines."""
     return df.groupBy(key, F.floor(F.col(index) / size).alias("slice")).agg(
@@ -74,9 +62,13 @@ def chunk_row_means(df: DataFrame, chunk: int = 1000) -> DataFrame:
 def ols_fit(df: DataFrame, x: str, y: str, *keys: str) -> DataFrame:
     """df with `fitted`, the least squares line of y on x of its group.
 
-    Groups are fitted by an aggregate and joined back, so that a large one is spread over tasks."""
+    Groups are fitted by an aggregate and joined back; if the groups are few, which is counted, their lines are broadcast and
+    the rows stay where they are."""
+    keys = keys or ("__all",)
+    df = df.withColumn("__all", F.lit(0)) if keys == ("__all",) else df
     line = df.groupBy(*keys).agg(F.regr_slope(y, x).alias("m"), F.regr_intercept(y, x).alias("q"))
-    return df.join(line, list(keys)).withColumn("fitted", F.col("m") * F.col(x) + F.col("q"))
+    line = F.broadcast(line) if keys == ("__all",) or df.select(*keys).distinct().limit(FEW + 1).count() <= FEW else line
+    return df.join(line, list(keys)).withColumn("fitted", F.col("m") * F.col(x) + F.col("q")).drop("__all")
 
 
 def right_distances(df: DataFrame, distance: Column, *grid: str) -> DataFrame:
@@ -85,6 +77,8 @@ def right_distances(df: DataFrame, distance: Column, *grid: str) -> DataFrame:
     line = Window.partitionBy(*grid, "row").orderBy("col")
     df = df.withColumn("lat2", F.lead("lat").over(line)).withColumn("lon2", F.lead("lon").over(line)).withColumn("own", distance)
     df = df.withColumn("gap", F.coalesce("own", F.lag("own").over(line)))
-    mean = df.groupBy(*grid).agg(F.avg("own").alias("mean_gap")) if grid else df.groupBy(F.lit(0).alias("g")).agg(F.avg("own").alias("mean_gap"))
-    df = df.join(mean, list(grid)) if grid else df.withColumn("g", F.lit(0)).join(mean, "g").drop("g")
+    if grid:
+        df = df.join(df.groupBy(*grid).agg(F.avg("own").alias("mean_gap")), list(grid))
+    else:  # one row, so it is broadcast
+        df = df.withColumn("g", F.lit(0)).join(F.broadcast(df.groupBy(F.lit(0).alias("g")).agg(F.avg("own").alias("mean_gap"))), "g").drop("g")
     return df.withColumn("threshold", F.when(F.col("gap") < F.col("mean_gap"), 2 * F.col("mean_gap")).otherwise(F.col("gap"))).drop("lat2", "lon2", "own")

@@ -16,27 +16,6 @@ def _out(df):
     return df.withColumn("value", r6("value"))
 
 
-@query(f"{AR} SELECT row, col, level_idx, round(a.value + r.value, 6) AS value FROM a JOIN r USING (row, col, level_idx)")
-def add(spark, d):
-    return _out(ops.add(cells(spark, d, "A"), cells(spark, d, "R")))
-
-
-@query(f"{AR} SELECT row, col, level_idx, round(a.value - r.value, 6) AS value FROM a JOIN r USING (row, col, level_idx)")
-def subtract(spark, d):
-    return _out(ops.subtract(cells(spark, d, "A"), cells(spark, d, "R")))
-
-
-@query(f"{AR} SELECT row, col, level_idx, round(a.value - r.value, 6) AS value FROM a JOIN r USING (row, col, level_idx) WHERE row BETWEEN 3 AND 12 AND col BETWEEN 5 AND 25")
-def wps_coverage_difference(spark, d):
-    box = lambda x: cells(spark, d, x).filter("row between 3 and 12 and col between 5 and 25")
-    return _out(ops.subtract(box("A"), box("R")))
-
-
-@query(f"{AR} SELECT row, col, level_idx, round(a.value, 6) AS va, round(r.value, 6) AS vb FROM a JOIN r USING (row, col, level_idx)")
-def pixel_align(spark, d):
-    return ops.pixel_align(cells(spark, d, "A"), cells(spark, d, "R")).withColumns({"va": r6("va"), "vb": r6("vb")})
-
-
 _PARTS = "p AS (SELECT vec_id, value * (height - coalesce(lag(height) OVER (PARTITION BY vec_id ORDER BY level_idx), 0)) AS part, value FROM levels)"
 
 

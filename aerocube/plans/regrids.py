@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo
 from ..functions.values import num
-from ..operators import regrid
+from ..operators import nearest, regrid
 from ..operators.stats import right_distances
 from .inputs import HAVERSINE, SAMPLES, SWATH, cells, cells_sql, r6, samples, swath
 from .registry import query
@@ -41,9 +41,9 @@ def nn_threshold_custom(spark, d):
     return _map(spark, d, 60_000.0).withColumn("dist_m", F.round("dist_m", 2))
 
 
-@query(f"{_NEAR} SELECT dst_row, dst_col, src_row, src_col FROM n WHERE nth = 1 AND dist < 4000000")
+@query(f"{_NEAR} SELECT dst_row, dst_col, src_row, src_col, round(dist, 2) AS dist_m FROM n WHERE nth = 1")
 def nn_index(spark, d):
-    return _map(spark, d, 4_000_000.0).select("dst_row", "dst_col", "src_row", "src_col")
+    return nearest.nearest_pixels(_target(spark), swath(spark, d)).withColumn("dist_m", F.round("dist_m", 2))
 
 
 @query(f"{_NEAR} SELECT dst_row, dst_col, CASE WHEN dist < 150000 THEN value ELSE 0 END AS value FROM n WHERE nth = 1")
@@ -55,12 +55,12 @@ def nn_missing(spark, d):
     f"""{_NEAR}, s AS (SELECT src_row, src_col, lat, lon, lead(lat) OVER w AS slat, lead(lon) OVER w AS slon FROM swath WINDOW w AS (PARTITION BY src_row ORDER BY src_col)),
 g AS (SELECT src_row, src_col, CASE WHEN slat IS NOT NULL THEN {HAVERSINE} END AS own FROM s),
 h AS (SELECT src_row, src_col, coalesce(own, lag(own) OVER (PARTITION BY src_row ORDER BY src_col)) AS gap, avg(own) OVER () AS mean FROM g)
-SELECT dst_row, dst_col, src_row, src_col FROM n JOIN h USING (src_row, src_col) WHERE nth = 1 AND dist < CASE WHEN gap < mean THEN 2 * mean ELSE gap END AND dist < 4000000"""
+SELECT dst_row, dst_col, src_row, src_col FROM n JOIN h USING (src_row, src_col) WHERE nth = 1 AND dist < CASE WHEN gap < mean THEN 2 * mean ELSE gap END"""
 )
 def nn_threshold(spark, d):
     s = right_distances(swath(spark, d).withColumnsRenamed({"src_row": "row", "src_col": "col"}), geo.haversine_m(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2")))
     source = s.withColumnsRenamed({"row": "src_row", "col": "src_col"})
-    return regrid.pixel_map(_target(spark), source, 4_000_000.0, own_threshold=True).select("dst_row", "dst_col", "src_row", "src_col")
+    return nearest.within_own_threshold(nearest.nearest_pixels(_target(spark), source), source).select("dst_row", "dst_col", "src_row", "src_col")
 
 
 @query(f"{_NEAR} SELECT dst_row, dst_col, level, value * level AS value FROM n, (SELECT unnest(range(1, 4)) AS level) WHERE nth = 1 AND dist < 150000")

@@ -11,7 +11,6 @@ from .inputs import HAVERSINE, MEASUREMENTS, PRODUCTS, SAMPLES, STATIONS, SWATH,
 from .registry import query
 
 STAT = "round(min({0}), 6) AS v_min, round(max({0}), 6) AS v_max, round(avg({0}), 6) AS v_mean, round(stddev_pop({0}), 6) AS v_std"
-DIFF = "round(avg(d), 6) AS d_mean, round(stddev_pop(d), 6) AS d_std, round(min(d), 6) AS d_min, round(max(d), 6) AS d_max"
 
 
 def _rounded(df, *columns):
@@ -53,33 +52,6 @@ def band_statistics(spark, d):
     return _rounded(stats.band_statistics(samples(spark, d), "coverage_id", "level_idx"), "v_min", "v_max", "v_mean", "v_std")
 
 
-_GRID = "c AS (SELECT coverage_id, row, col, avg(value) AS v FROM samples WHERE level_idx = 1 GROUP BY ALL)"
-
-
-@query(f"WITH {SAMPLES}, {_GRID} SELECT {DIFF} FROM (SELECT a.v - b.v AS d FROM c a JOIN c b USING (row, col) WHERE a.coverage_id = 'A' AND b.coverage_id = 'R')")
-def difference_stats(spark, d):
-    grid = stats.average(samples(spark, d).filter("level_idx = 1"), "coverage_id", "row", "col")
-    side = lambda x: grid.filter(F.col("coverage_id") == x).drop("coverage_id")
-    return _rounded(stats.difference_stats(stats.difference(side("A"), side("R"), ["row", "col"])), "d_mean", "d_std", "d_min", "d_max")
-
-
-def _daily(where: str = "") -> str:
-    return f"""WITH {SAMPLES}, c AS (SELECT coverage_id, CAST(t AS DATE) AS day, row, col, avg(value) AS v FROM samples {where} GROUP BY ALL)
-SELECT CAST(day AS VARCHAR) AS day, {DIFF} FROM (SELECT a.day, a.v - b.v AS d FROM c a JOIN c b USING (day, row, col) WHERE a.coverage_id = 'A' AND b.coverage_id = 'R') GROUP BY day"""
-
-
-@query(_daily())
-def daily_difference_stats(spark, d):
-    got = stats.daily_difference_stats(samples(spark, d), "A", "R")
-    return _rounded(got, "d_mean", "d_std", "d_min", "d_max").withColumn("day", F.col("day").cast("string"))
-
-
-@query(_daily("WHERE t >= TIMESTAMP '1996-03-01' AND t < TIMESTAMP '1997-03-01'"))
-def daily_pair(spark, d):
-    got = stats.daily_difference_stats(samples(spark, d), "A", "R", start="1996-03-01", end="1997-03-01")
-    return _rounded(got, "d_mean", "d_std", "d_min", "d_max").withColumn("day", F.col("day").cast("string"))
-
-
 @query("SELECT l_linenumber, l_orderkey, l_partkey, l_suppkey, l_quantity, round(l_quantity - (regr_slope(l_extendedprice, l_quantity) OVER w * l_quantity + regr_intercept(l_extendedprice, l_quantity) OVER w) / 1000, 4) AS residual FROM lineitem WINDOW w AS (PARTITION BY l_linenumber)")
 def ols_fit(spark, d):
     fit = stats.ols_fit(table(spark, d, "lineitem"), "l_quantity", "l_extendedprice", "l_linenumber")

@@ -30,6 +30,7 @@ from .common import bucket_table
 BLOCK, PARTS, SHARING = 16_000_000, 256, 4096
 #: Words that a task's table holds before it starts a new one.
 TABLE = 2_000_000
+RARE = 255
 WHITE = " \t\n\x0b\x0c\r"
 
 
@@ -58,8 +59,8 @@ def checked_pieces(path: str) -> list[tuple[int, str]]:
     return sorted((i, piece) for piece, i in tokenizer.get_vocab(with_added_tokens=True).items())
 
 
-def _zip(data: bytes) -> bytes:
-    return zstandard.compress(data, 3)
+def _zip(data: bytes, level: int = 3) -> bytes:
+    return zstandard.compress(data, level)
 
 
 def _unzip(data: bytes) -> bytes:
@@ -89,19 +90,24 @@ class _Block:
         self.size += pc.sum(pc.binary_length(flat)).as_py() or 0
 
     def packed(self, number: int, kind: pa.DataType) -> pa.RecordBatch:
-        """Words are numbered by falling frequency, for short codes, and listed part by part; `order`: their numbers there."""
+        """Words are listed part by part and numbered so. Each position is a byte: a place in `top`, the numbers of the most
+        frequent words, or RARE, for which the next number of `rare` stands."""
         found = pa.concat_arrays(self.words).dictionary_encode()
         codes, names = np.asarray(found.indices), found.dictionary.cast(pa.binary()).to_pylist()
         part = np.fromiter((xxhash.xxh3_64_intdigest(w) % PARTS for w in names), "int64", len(names))
         by_part = np.argsort(part, kind="stable")
         cut = np.searchsorted(part[by_part], np.arange(PARTS + 1))
         order = [i for a, b in zip(cut[:-1], cut[1:], strict=True) for i in sorted(by_part[a:b].tolist(), key=names.__getitem__)]
-        new = np.empty(len(order), "<i4")
-        new[np.argsort(-np.bincount(codes, minlength=len(order)), kind="stable")] = np.arange(len(order))
-        lists = [{"part": p, "words": _zip(b" ".join([names[i] for i in order[a:b]]))} for p, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if b > a]
-        planes = [_planes(x) for x in (new[codes], new[order] if order else new)]
+        place = np.empty(len(order), "<i4")
+        place[order] = np.arange(len(order))
+        top = np.argsort(-np.bincount(codes, minlength=len(order)), kind="stable")[:RARE]
+        short = np.full(len(order), RARE, "u1")
+        short[top] = np.arange(len(top))
+        short = short[codes] if order else np.zeros(0, "u1")
+        lists = [{"part": p, "words": _zip(b" ".join([names[i] for i in order[a:b]]), 9)} for p, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if b > a]
         columns = {"block": pa.array([number], pa.int64()), "rows": pa.array([self.rows], pa.list_(kind)), "lens": pa.array([self.lens], pa.list_(pa.int32()))}
-        columns |= {k: pa.array([_zip(x)], pa.binary()) for k, x in zip(("codes", "order"), planes, strict=True)}
+        packed = {"codes": short.tobytes(), "rare": _planes(place[codes[short == RARE]]), "top": place[top].tobytes()}
+        columns |= {k: pa.array([_zip(x)], pa.binary()) for k, x in packed.items()}
         return pa.record_batch(columns | {"lists": pa.array([lists], pa.list_(pa.struct([("part", pa.int32()), ("words", pa.binary())])))})
 
 
@@ -125,7 +131,7 @@ def pack_blocks(docs: DataFrame, size: int = BLOCK) -> DataFrame:
             yield block.packed(number, kind)
 
     row = docs.schema["row"].dataType.simpleString()
-    return docs.mapInArrow(pack, f"block long, rows array<{row}>, lens array<int>, codes binary, order binary, lists array<struct<part: int, words: binary>>")
+    return docs.mapInArrow(pack, f"block long, rows array<{row}>, lens array<int>, codes binary, rare binary, top binary, lists array<struct<part: int, words: binary>>")
 
 
 def _encode_lists(tokenizer_path: str):
@@ -174,10 +180,11 @@ def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = np.searchsorted(known, values, sorter=by_id)
             at = by_id[at] if len(at) else at
             first = np.concatenate([[0], np.cumsum(size, dtype="int64")])
-            codes, order = (_from_planes(_unzip(one.column(c)[0].as_py())) for c in ("codes", "order"))
-            place = np.empty(len(order), "<i4")
-            place[order] = np.arange(len(order))
-            codes = place[codes] if len(codes) else codes
+            short, rare, top = (_unzip(one.column(c)[0].as_py()) for c in ("codes", "rare", "top"))
+            short, top = np.frombuffer(short, "u1"), np.frombuffer(top, "<i4")
+            codes = np.zeros(len(short), "<i4")
+            codes[short == RARE] = _from_planes(rare)
+            codes[short != RARE] = top[short[short != RARE]]
             ends = np.concatenate([[0], np.cumsum(np.asarray(one.column("lens").flatten()), dtype="int64")])
             rows = one.column("rows").flatten()
             a = 0
@@ -218,7 +225,7 @@ def encode(docs: DataFrame, id_: str, text: str, tokenizer_path: str, block: int
     used = answers.mapInArrow(_used, "block long, used array<int>").select("block", F.explode("used").alias("id"))
     read = used.join(pieces, "id").groupBy("block").agg(F.collect_list(F.struct("id", "piece")).alias("pieces"))
     joined = blocks.drop("lists").join(answers, "block", "left").join(read, "block", "left")
-    joined = joined.select("rows", "lens", "codes", "order", F.coalesce("ids", F.array().cast("array<binary>")).alias("ids"), F.coalesce("pieces", F.array().cast("array<struct<id:int,piece:string>>")).alias("pieces"))
+    joined = joined.select("rows", "lens", "codes", "rare", "top", F.coalesce("ids", F.array().cast("array<binary>")).alias("ids"), F.coalesce("pieces", F.array().cast("array<struct<id:int,piece:string>>")).alias("pieces"))
     kind = docs.schema[id_].dataType.simpleString()
     return joined.mapInArrow(_unpack, f"row {kind}, ids array<int>, decoded string").withColumnRenamed("row", id_)
 

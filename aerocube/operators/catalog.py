@@ -36,6 +36,11 @@ def visible_usecase(df: DataFrame, bridge: DataFrame, use_case: int) -> DataFram
     return df.join(ids, "id", "left_semi")
 
 
+def use_cases(bridge: DataFrame, cases: DataFrame) -> DataFrame:
+    """(collection_id, use_case): the names of each collection's use cases, from (collection_id, use_case_id) and (id, name)."""
+    return bridge.distinct().join(cases.select(F.col("id").alias("use_case_id"), F.col("name").alias("use_case")), "use_case_id").select("collection_id", "use_case")
+
+
 def visible_union(*lists: DataFrame) -> DataFrame:
     """Lists one after the other; a collection that is in several is listed several times."""
     return reduce(DataFrame.unionByName, lists)
@@ -64,7 +69,9 @@ def clone_rows(df: DataFrame, first_id: Column, **overrides: Column) -> DataFram
 
 
 def update_rows(df: DataFrame, changes: DataFrame) -> DataFrame:
-    """df with the status, location and coverage_id of changes (by id) where given; a name there is appended."""
+    """df with the status, location and coverage_id of changes (by id) where given; a name there is appended. Of several changes
+    of one id the greatest by their columns counts, so rows don't multiply."""
+    changes = changes.groupBy("id").agg(F.max(F.struct(*[c for c in changes.columns if c != "id"])).alias("c")).select("id", "c.*")
     new = changes.select("id", *[F.col(c).alias(f"new_{c}") for c in changes.columns if c != "id"])
     out = df.join(new, "id", "left")
     for c in changes.columns:
@@ -91,7 +98,9 @@ TRANSITIONS = [
 
 
 def advance(items: DataFrame, events: DataFrame) -> DataFrame:
-    """items (id, status) after each one's event (id, event); an event that doesn't fit a state changes nothing."""
+    """items (id, status) after each one's event (id, event); an event that doesn't fit a state changes nothing. Of several
+    events of one id the first by name that fits counts."""
     table = items.sparkSession.createDataFrame(TRANSITIONS, "status string, event string, next string")
-    moved = items.join(events.select("id", "event"), "id", "left").join(F.broadcast(table), ["status", "event"], "left")
-    return moved.select("id", F.coalesce("next", "status").alias("status"))
+    moved = items.join(events.select("id", "event").distinct(), "id").join(F.broadcast(table), ["status", "event"])
+    moved = moved.groupBy("id").agg(F.min_by("next", "event").alias("next"))
+    return items.join(moved, "id", "left").select("id", F.coalesce("next", "status").alias("status"))

@@ -35,9 +35,10 @@ def new_dimension_rows(incoming: DataFrame, dimension: DataFrame, key: str, firs
 
 
 def upsert_stations(stored: DataFrame, incoming: DataFrame, update: bool = True) -> DataFrame:
-    """stored with the incoming stations by name: new ones added, known ones replaced if update."""
+    """stored with the incoming stations by name: new ones added, known ones replaced if update. Of several incoming rows of one
+    name the greatest by their columns counts."""
     cols = [c for c in stored.columns if c != "name"]
-    new = incoming.dropDuplicates(["name"]).select("name", *[F.col(c).alias(f"new_{c}") for c in cols])
+    new = incoming.groupBy("name").agg(F.max(F.struct(*cols)).alias("n")).select("name", *[F.col(f"n.{c}").alias(f"new_{c}") for c in cols])
     both = stored.withColumn("known", F.lit(True)).join(new, "name", "full_outer")
     pick = lambda c: F.coalesce(f"new_{c}", c) if update else F.when(F.col("known"), F.col(c)).otherwise(F.col(f"new_{c}"))
     return both.select("name", *[pick(c).alias(c) for c in cols])

@@ -52,7 +52,13 @@ def visible_usecase(spark, d):
     return ops.visible_usecase(c, c.select(F.col("id").alias("collection_id"), "use_case_id"), 2).select("id", "name")
 
 
-m2m_use_case = query(f"{ALL} FROM collections WHERE use_case_id = 2", "m2m_use_case")(visible_usecase)
+@query("SELECT o_orderkey AS collection_id, n_name AS use_case FROM orders JOIN nation ON n_nationkey IN (o_orderkey % 5, o_orderkey % 7 + 5)")
+def m2m_use_case(spark, d):
+    """Collections with the names of all their use cases, through the bridge table."""
+    k = F.col("o_orderkey")
+    bridge = table(spark, d, "orders").select(k.alias("collection_id"), F.explode(F.array(k % 5, k % 7 + 5)).alias("use_case_id"))
+    cases = table(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("id"), F.col("n_name").alias("name"))
+    return ops.use_cases(bridge, cases)
 
 
 @query(f"{ALL} FROM collections WHERE uploaded_by = 7 UNION ALL SELECT id, name {OPEN} UNION ALL SELECT id, name FROM collections WHERE use_case_id = 2")
@@ -72,10 +78,10 @@ def queue_pick(spark, d):
     return ops.queue_pick(collections(spark, d).withColumnRenamed("access", "status"), "status")
 
 
-@query("SELECT c_custkey AS user_id, c_name AS name, c_mktsegment AS \"group\", o_orderkey AS id FROM customer JOIN orders ON c_custkey = o_custkey WHERE o_orderkey % 10 = 0")
+@query("SELECT c_custkey AS user_id, c_name AS name, c_mktsegment AS \"group\", o_orderkey AS id FROM customer JOIN orders ON c_custkey = o_custkey")
 def user_profile_join(spark, d):
     profiles = table(spark, d, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("group"))
-    owned = table(spark, d, "orders").filter("o_orderkey % 10 = 0").select(F.col("o_custkey").alias("user_id"), F.col("o_orderkey").alias("id"))
+    owned = table(spark, d, "orders").select(F.col("o_custkey").alias("user_id"), F.col("o_orderkey").alias("id"))
     return profiles.join(owned, "user_id")
 
 

@@ -10,6 +10,7 @@ from ..operators import ground
 from ..sources import ground as readers
 from ..sources import identify, records
 from ..streaming import ingest as streams
+from . import fixtures
 from .inputs import MEASUREMENTS, STATIONS, measurements, r6, stations, table
 from .registry import query
 
@@ -65,9 +66,9 @@ def read_eea(spark, d):
     return readers.parse_air_quality(_eea_lines(spark, d)).select("station_code", _show("t").alias("t"), r6("value").alias("value"))
 
 
-@query(f"SELECT event_type AS station, CAST(user_id AS DOUBLE) AS longitude, {STAMP.format('ts')} AS t, round(value, 6) AS value FROM events WHERE event_id % 10 = 0")
+@query(f"SELECT event_type AS station, CAST(user_id AS DOUBLE) AS longitude, {STAMP.format('ts')} AS t, round(value, 6) AS value FROM events")
 def read_aeronet(spark, d):
-    e = table(spark, d, "events").filter("event_id % 10 = 0")
+    e = table(spark, d, "events")
     head = F.concat(F.lit("a\nb\nLocation="), F.col("event_type"), F.lit(",long="), F.col("user_id").cast("string"), F.lit(",lat=2.5,elev=7\nd\ne\n"))
     row = F.concat(F.date_format("ts", "dd:MM:yyyy,HH:mm:ss"), F.lit(",3,4,5,6,7,8,"), F.col("value").cast("string"), F.lit(",10\n"))
     got = readers.parse_aeronet(e.select(F.concat(head, row).alias("text")))
@@ -92,10 +93,10 @@ def read_lidar_bira(spark, d):
     return readers.parse_lidar_ozone(rows).select("name", "profile", r6("latitude").alias("latitude"), r6("longitude").alias("longitude"), "ozone_density")
 
 
-@query(f"SELECT event_type AS station, {STAMP.format('ts')} AS t, event_type AS product, CASE WHEN event_id % 97 <> 0 THEN round(value, 6) END AS value FROM events WHERE event_id % 20 = 0")
+@query(f"SELECT event_type AS station, {STAMP.format('ts')} AS t, event_type AS product, CASE WHEN event_id % 97 <> 0 THEN round(value, 6) END AS value FROM events")
 def read_ground_xml(spark, d):
-    """Written as XML, one element per station, and read again."""
-    e = table(spark, d, "events").filter("event_id % 20 = 0")
+    """Written as XML, one element per station and day, and read again."""
+    e = table(spark, d, "events")
     at = F.col("ts").cast("timestamp")
     rows = e.select(F.col("event_type").alias("station"), F.lit(1.0).alias("longitude"), F.lit(2.0).alias("latitude"), F.lit(3.0).alias("height"), at.alias("t_start"), at.alias("t_end"), F.col("event_type").alias("product"), F.when(F.col("event_id") % 97 != 0, F.col("value")).alias("value"))
     path = f"{streams.work_folder(spark)}/xml-{uuid.uuid4().hex}"
@@ -114,42 +115,30 @@ def read_parasol_sea(spark, d):
     return records.read_polarimeter(files, land=False).select("record", "line", "column", r6("aot_865").alias("aot_865"), r6("aot_670").alias("aot_670"), r6("lat").alias("lat"))
 
 
-def _inventory() -> list[tuple]:
-    made = []
-    for kind, (container, items, attributes) in identify.CONTENTS.items():
-        name = {"alaro": "ALARO_x", "arome": "AROME_x"}.get(kind, "20150101.0000" + {"lidar_ext": "e", "lidar_bsc": "b"}.get(kind, "x"))
-        made.append((kind, name, None, None, container, items, attributes))
-    made.append(("aeronet", "a", "x\ny\nLocation=a,long=1,lat=2,elev=3\n", None, "text", [], []))
-    made.append(("eea", "e", "1 2 3\n4 5.5 -6e1\n", None, "text", [], []))
-    made.append(("lidar_bira", "l", "p\n" * 41 + " ".join("1" * 14) + "\n" + " ".join("2" * 10), None, "text", [], []))
-    made += [(f"parasol_{s}", "p", None, b"\0" * 36 + b"P3L2T" + c + b"GC001002AD" + b"\0" * 12, "binary", [], []) for s, c in (("land", b"L"), ("sea", b"O"))]
-    return [*made, (None, "n", "nothing known", b"\0" * 64, "text", [], [])]
-
-
-@query("SELECT * FROM (VALUES " + ", ".join(f"({i}, {'NULL' if m[0] is None else repr(m[0])})" for i, m in enumerate(_inventory())) + ") t(nth, format)")
+@query("SELECT * FROM (VALUES " + ", ".join(f"({i}, {'NULL' if m[0] is None else repr(m[0])})" for i, m in enumerate(fixtures.FILES)) + ") t(nth, format)")
 def identify_formats(spark, d):
-    """One file of each format and one of none."""
-    rows = [(i, *m[1:]) for i, m in enumerate(_inventory())]
+    """One file of each format, near misses, and files that fit two."""
+    rows = [(i, *m[1:]) for i, m in enumerate(fixtures.FILES)]
     made = spark.createDataFrame(rows, "nth int, name string, text string, head binary, container string, items array<string>, attributes array<string>")
     return identify.identify(made).select("nth", "format")
 
 
-@query("SELECT 'f' || i AS path FROM range(0, 10) t(i) UNION ALL SELECT 'bundle/header'")
+@query("SELECT * FROM (VALUES " + ", ".join(f"({b!r}, {p!r})" for b, (_, left) in fixtures.BUNDLES.items() for p in left) + ") t(bundle, path)")
 def read_zip(spark, d):
-    """What is left of a bundle without its side files."""
-    paths = [*[f"f{i}" for i in range(10)], "bundle/header", "bundle/dates", "bundle/receptor_1", "P3L2TOGC001002AL"]
-    return identify.product_files(spark.createDataFrame([(p,) for p in paths], "path string"))
+    """What is left of bundles without side files."""
+    rows = [(b, i, p) for b, (names, _) in fixtures.BUNDLES.items() for i, p in enumerate(names)]
+    return identify.product_files(spark.createDataFrame(rows, "bundle string, nth int, path string"))
 
 
 def _stream_table(spark, d, twice: bool):
     """Measurements arrive as Parquet files, are appended where new, twice if asked."""
-    made = f"ingest_{uuid.uuid4().hex}"
+    made = f"{streams.work_folder(spark)}/ingest-{uuid.uuid4().hex}"
     m = spark.read.parquet(f"{d}/events.parquet")
     for k in range(1 + twice):
         source = spark.readStream.schema(m.schema).option("pathGlobFilter", "events.parquet").option("recursiveFileLookup", "true").parquet(d)
         rows = source.select(F.col("event_id").alias("id"), (F.col("user_id") % 25).alias("station"), F.col("event_type").alias("product"), "value", F.col("ts").alias("t_start"), F.col("ts").alias("t_end"))
-        streams.append_new(rows, made, f"{streams.work_folder(spark)}/{made}-{k}").awaitTermination()
-    return spark.table(made)
+        streams.append_new(rows, made, f"{made}-state-{k}").awaitTermination()
+    return spark.read.parquet(made)
 
 
 _STORED = "SELECT station, product, count(*) AS n, round(sum(value), 4) AS s FROM (SELECT DISTINCT user_id % 25 AS station, event_type AS product, value, ts FROM events) GROUP BY ALL"
@@ -170,3 +159,26 @@ def daily_chunking(spark, d):
     got = measurements(spark, d).groupBy(F.window("t", "1 day")).agg(F.count("*").alias("n"))
     sums = table(spark, d, "events").groupBy(F.to_date("ts").alias("day")).agg(F.round(F.sum("value"), 4).alias("s"))
     return got.select(F.to_date("window.start").alias("day"), "n").join(sums, "day").withColumn("day", F.col("day").cast("string"))
+
+
+@query("SELECT event_type AS product, count(*) AS n, round(sum(value), 4) AS s FROM events WHERE event_type IN ('view', 'purchase') GROUP BY 1")
+def fan_out(spark, d):
+    """A stream of events, written by kind to folders of their own, and what these hold."""
+    made = f"{streams.work_folder(spark)}/fan-{uuid.uuid4().hex}"
+    schema = spark.read.parquet(f"{d}/events.parquet").schema
+    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").option("recursiveFileLookup", "true").parquet(d)
+    sinks = {k: f"{made}/{k}" for k in ("view", "purchase")}
+    streams.fan_out(source, "event_type", sinks, f"{made}-state").awaitTermination()
+    found = [spark.read.parquet(folder).select(F.lit(k).alias("product"), "value") for k, folder in sinks.items()]
+    return found[0].unionByName(found[1]).groupBy("product").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("s"))
+
+
+@query("SELECT CAST(i + 1 AS BIGINT) AS record, CAST(i * 3 AS BIGINT) AS line, round(i * 0.002e0, 6) AS aot FROM range(1, 51) t(i)")
+def read_parasol_land(spark, d):
+    """50 records of the land product: the depth follows the column."""
+    big = lambda x, n: F.unhex(F.lpad(F.hex(x), 2 * n, "0"))
+    one = lambda i: F.concat(big(i + 1, 4), big(F.lit(24), 2), big(i * 3, 2), big(i * 5, 2), big(i, 2), F.unhex(F.repeat(F.lit("00"), 16)))
+    body = F.transform(F.sequence(F.lit(1), F.lit(50)), one)
+    content = F.concat(F.unhex(F.repeat(F.lit("00"), 52)), big(F.lit(50), 4), big(F.lit(28), 4), F.unhex(F.repeat(F.lit("00"), 120)), F.aggregate(body, F.unhex(F.lit("")), lambda s, x: F.concat(s, x)))
+    files = spark.range(1).select(F.lit("P3L2TLGC").alias("path"), content.alias("content"))
+    return records.read_polarimeter(files, land=True).select("record", "line", r6("aot").alias("aot"))

@@ -23,11 +23,12 @@ def explode_ground(files: DataFrame) -> DataFrame:
 
 
 def write_ground_xml(rows: DataFrame, path: str, root: str = "EEA") -> None:
-    """One element per station, with its observations in time order; a missing value is N/A."""
+    """One element per station and day, with the day's observations in time order; a missing value is N/A. So no station's
+    whole history meets in one row."""
     at = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
     item = F.struct(at("t_start").alias("timeStart"), at("t_end").alias("timeEnd"), F.col("product").alias("field"), F.coalesce(F.col("value").cast("string"), F.lit("N/A")).alias("value"))
-    files = rows.groupBy(F.col("station").alias("siteName"), F.col("longitude").alias("siteLongitude"), F.col("latitude").alias("siteLatitude"), F.col("height").alias("siteElevation"))
-    files.agg(F.sort_array(F.collect_list(item)).alias("data")).write.option("rootTag", "files").option("rowTag", root).mode("overwrite").xml(path)
+    files = rows.groupBy(F.col("station").alias("siteName"), F.col("longitude").alias("siteLongitude"), F.col("latitude").alias("siteLatitude"), F.col("height").alias("siteElevation"), F.to_date("t_start").alias("__day"))
+    files.agg(F.sort_array(F.collect_list(item)).alias("data")).drop("__day").write.option("rootTag", "files").option("rowTag", root).mode("overwrite").xml(path)
 
 
 def parse_aeronet(files: DataFrame) -> DataFrame:

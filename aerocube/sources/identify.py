@@ -92,9 +92,16 @@ def identify(inventory: DataFrame) -> DataFrame:
     return inventory.withColumn("format", F.coalesce(*[F.when(rule(k), k) for k in ORDER]))
 
 
-def file_inventory(files: DataFrame) -> DataFrame:
-    """The inventory of binaryFile rows (path, content) as far as the bytes tell: text and head."""
+def file_inventory(files: DataFrame, containers: DataFrame | None = None) -> DataFrame:
+    """The inventory of binaryFile rows (path, content): text and head.
+
+    containers: (path, container, items, attributes) of the files that some library for HDF, netCDF or GRIB has opened. Such a
+    library isn't part of this one; without that table the 23 rules on containers hold for no file."""
     content = F.col("content")
+    if containers is not None:
+        plain = file_inventory(files).drop("container", "items", "attributes")
+        none = F.array().cast("array<string>")
+        return plain.join(containers, "path", "left").withColumns({c: F.coalesce(c, none) for c in ("items", "attributes")})
     return files.select(
         "path",
         F.substring_index("path", "/", -1).alias("name"),
@@ -106,13 +113,19 @@ def file_inventory(files: DataFrame) -> DataFrame:
     )
 
 
-#: Side files in bundles that are not products.
-SIDE_FILES = [r"(?i)(dates|header_d|receptor|trajectories)[^/]*$", r"P[123]L[123]T[LO]G[^/]*L$"]
+#: Names of the dispersion model's files, of which its directory is the product, and of the polarimeter's data
+#: files, whose leader file ends in L instead of D.
+DISPERSION = r"dates|header|receptor_conc|grid_conc_[0-9]{14}_[0-9]{3}"
+POLARIMETER = r"P[123]L[123]T[BRLO]G[1ABC][0-9]{6}[A-Z]D"
 
 
 def product_files(files: DataFrame) -> DataFrame:
-    """Files of an unpacked bundle without the dispersion model's side files and the leader files."""
-    keep = F.lit(True)
-    for pattern in SIDE_FILES:
-        keep = keep & ~F.col("path").rlike(pattern)
-    return files.filter(keep)
+    """(bundle, path) of the products among the files (bundle, nth, path) of unpacked bundles.
+
+    A bundle with files of the dispersion model is one product, the directory of the first such file. Of others all files
+    are, but for directories and for leader files whose data file is in the bundle too."""
+    side = files.filter(F.col("path").rlike(DISPERSION))
+    runs = side.groupBy("bundle").agg(F.min_by("path", "nth").alias("first")).select("bundle", F.regexp_extract("first", r"^(.*)/[^/]*$", 1).alias("path"))
+    leaders = files.filter(F.col("path").rlike(POLARIMETER)).select("bundle", F.concat(F.expr("left(path, length(path) - 1)"), F.lit("L")).alias("path"))
+    others = files.filter(~F.col("path").endswith("/")).join(runs.select("bundle"), "bundle", "left_anti").join(leaders, ["bundle", "path"], "left_anti")
+    return runs.unionByName(others.select("bundle", "path"))

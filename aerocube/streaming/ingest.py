@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,20 +24,36 @@ def identified(files: DataFrame) -> DataFrame:
     return identify(file_inventory(files))
 
 
-def append_new(stream: DataFrame, table: str, checkpoint: str, keys: list[str] = NATURAL_KEY, seconds: int | None = None) -> StreamingQuery:
-    """Appends to a table the stream's rows that it lacks, however often a batch is run again.
+#: Days of a batch up to which the store is pruned to them before the join.
+MOST_DAYS = 1000
 
-    seconds: how often to poll; None works off what is there and ends. Batches are numbered in the table, so one that was
-    written before a failure is not written twice."""
+
+def stored(spark: SparkSession, store: str) -> DataFrame | None:
+    """What a store holds, None if nothing was written to it yet."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{store}/_SUCCESS")
+    return spark.read.parquet(store) if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path) else None
+
+
+def append_new(stream: DataFrame, store: str, checkpoint: str, keys: list[str] = NATURAL_KEY, t: str = "t_start", seconds: int | None = None) -> StreamingQuery:
+    """Appends to a Parquet store, partitioned by day, the stream's rows that it lacks.
+
+    A batch is held against the store's rows of its own days only. Rows carry the number of their batch and the stream's
+    checkpoint, so a batch that was written before a failure is found there and left alone when it is run again.
+    seconds: how often to poll; None works off what is there and ends."""
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        rows = batch.withColumn("batch", F.lit(number).cast("long"))
-        if spark.catalog.tableExists(table):
-            rows = new_measurements(rows, spark.table(table), keys)
-        else:
+        rows = batch.withColumns({"batch": F.lit(number).cast("long"), "source": F.lit(checkpoint), "day": F.to_date(t)})
+        old = stored(spark, store)
+        if old is None:
             rows = rows.dropDuplicates(keys)
-        rows.write.mode("append").saveAsTable(table)
+        else:
+            days = [r[0] for r in rows.select("day").distinct().limit(MOST_DAYS + 1).collect()]
+            old = old if None in days or len(days) > MOST_DAYS else old.filter(F.col("day").isin(days))
+            if not old.filter((F.col("source") == checkpoint) & (F.col("batch") == number)).isEmpty():
+                return
+            rows = new_measurements(rows, old, keys)
+        rows.write.mode("append").partitionBy("day").parquet(store)
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if seconds is None else writer.trigger(processingTime=f"{seconds} seconds")).start()
@@ -60,7 +78,9 @@ def daily_chunks(stream: DataFrame, t: str, aggregate: Callable[[DataFrame], Dat
 
 
 def work_folder(spark: SparkSession) -> str:
-    """The shared folder for files between steps: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
-    import tempfile
-
-    return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="aerocube-")
+    """The shared folder for files between steps: spark.checkpoint.dir. Where that is unset, a temporary one in local mode
+    (tests), an error on a cluster, whose executors wouldn't see it."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return folder or tempfile.mkdtemp(prefix="aerocube-")

@@ -162,6 +162,30 @@ def utm_forward(lat: Column, lon: Column) -> tuple[Column, Column]:
     return east, north
 
 
+def utm_inverse(easting: Column, northing: Column, zone: Column, south: Column) -> tuple[Column, Column]:
+    """Latitude and longitude of UTM coordinates on WGS 84; in the south northings count from 10,000 km below the equator."""
+    e1 = (1 - math.sqrt(1 - E2)) / (1 + math.sqrt(1 - E2))
+    mu = (northing - F.when(south, num(10_000_000)).otherwise(num(0))) / num(K0 * A * (1 - E2 / 4 - 3 * E2**2 / 64 - 5 * E2**3 / 256))
+    phi = (
+        mu
+        + num(3 * e1 / 2 - 27 * e1**3 / 32) * F.sin(2 * mu)
+        + num(21 * e1**2 / 16 - 55 * e1**4 / 32) * F.sin(4 * mu)
+        + num(151 * e1**3 / 96) * F.sin(6 * mu)
+        + num(1097 * e1**4 / 512) * F.sin(8 * mu)
+    )
+    second = E2 / (1 - E2)
+    root = 1 - E2 * F.pow(F.sin(phi), 2)
+    nu, rho = num(A) / F.sqrt(root), num(A * (1 - E2)) / F.pow(root, 1.5)
+    t, c, d = F.pow(F.tan(phi), 2), second * F.pow(F.cos(phi), 2), (easting - 500_000) / (nu * K0)
+    lat = phi - nu * F.tan(phi) / rho * (
+        F.pow(d, 2) / 2
+        - F.pow(d, 4) / 24 * (5 + 3 * t + 10 * c - 4 * c * c - 9 * second)
+        + F.pow(d, 6) / 720 * (61 + 90 * t + 298 * c + 45 * t * t - 252 * second - 3 * c * c)
+    )
+    lon = (d - F.pow(d, 3) / 6 * (1 + 2 * t + c) + F.pow(d, 5) / 120 * (5 - 2 * c + 28 * t - 3 * c * c + 8 * second + 24 * t * t)) / F.cos(phi)
+    return F.degrees(lat), F.degrees(lon) + (6 * zone - 183)
+
+
 #: Latitude bands of the military grid and the degree at which each begins.
 SOUTH_BANDS = [("A", -90), ("C", -84), ("D", -72), ("E", -64), ("F", -56), ("G", -48), ("H", -40), ("J", -32), ("K", -24), ("L", -16), ("M", -8)]
 NORTH_BANDS = [("N", 0), ("P", 8), ("Q", 16), ("R", 24), ("S", 32), ("T", 40), ("U", 48), ("V", 56), ("W", 64), ("X", 72), ("Z", 84)]
@@ -187,12 +211,16 @@ def hemisphere(letter: Column) -> Column:
     return F.when(letter.isin([x for x, _ in SOUTH_BANDS]), "S").otherwise("N")
 
 
+#: Letters of the 100 km squares' columns and rows.
+COLUMN_LETTERS, ROW_LETTERS = "ABCDEFGHJKLMNPQRSTUVWXYZ", "VABCDEFGHJKLMNPQRSTU"
+
+
 def mgrs_digraph(zone: Column, easting: Column, northing: Column) -> Column:
     """The two letters of a 100 km square; letters I and O are not used."""
     column = 8 * ((zone - 1) % 3) + (easting / 100_000).cast("int")
     row = (1 + 5 * ((zone - 1) % 2) + (northing / 100_000).cast("int")) % 20
     row = F.when(row < 0, row + 19).otherwise(row)
-    return F.concat(F.substring(F.lit("ABCDEFGHJKLMNPQRSTUVWXYZ"), column, F.lit(1)), F.substring(F.lit("VABCDEFGHJKLMNPQRSTU"), row + 1, F.lit(1)))
+    return F.concat(F.substring(F.lit(COLUMN_LETTERS), column, F.lit(1)), F.substring(F.lit(ROW_LETTERS), row + 1, F.lit(1)))
 
 
 def degree(metres: float) -> float:

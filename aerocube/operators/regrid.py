@@ -71,6 +71,13 @@ def regular_map(lat: Column, lon: Column, north: float, west: float, step: float
     return F.floor((north - lat) / step + 0.5).cast("int"), F.floor((lon - west) / step + 0.5).cast("int")
 
 
+def cut(cells: DataFrame, north: float, west: float, step: float, box_north: float, box_west: float, rows: int, columns: int) -> DataFrame:
+    """The cells (row, col) of a box of a regular grid, counted from the box's north-western pixel: a filter and an offset."""
+    top, left = int((north - box_north) / step + 0.5), int((box_west - west) / step + 0.5)
+    inside = F.col("row").between(top, top + rows - 1) & F.col("col").between(left, left + columns - 1)
+    return cells.filter(inside).withColumns({"row": F.col("row") - top, "col": F.col("col") - left})
+
+
 def tiepoint_interp(ties: DataFrame, samples_per_tie: int, columns: int, value: str, longitude: bool = False) -> DataFrame:
     """A line's tie points (line, tie, value) densified to (line, col, value) between neighbours.
 

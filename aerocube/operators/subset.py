@@ -73,3 +73,33 @@ def check_download(df: DataFrame, start: str, end: str, most_days: int = 15, mos
     if out.limit(most_rows + 1).count() > most_rows:
         raise ValueError(f"over {most_rows} measurements; narrow the selection")
     return out
+
+
+#: Element and attribute names of coverage requests.
+REQUEST = """<wcs:GetCoverage service="WCS" version="2.0.0" xmlns:wcs="http://www.opengis.net/wcs/2.0"><wcs:CoverageId>{}</wcs:CoverageId><wcs:DimensionTrim><wcs:Dimension>x</wcs:Dimension><wcs:TrimLow>{}</wcs:TrimLow><wcs:TrimHigh>{}</wcs:TrimHigh></wcs:DimensionTrim><wcs:DimensionTrim><wcs:Dimension>y</wcs:Dimension><wcs:TrimLow>{}</wcs:TrimLow><wcs:TrimHigh>{}</wcs:TrimHigh></wcs:DimensionTrim><wcs:format>{}</wcs:format></wcs:GetCoverage>"""
+
+
+def coverage_request(coverage: str, west: float, east: float, south: float, north: float, form: str = "image/tiff") -> str:
+    """The XML text of a request for a coverage within a box."""
+    escaped = coverage.replace("&", "&amp;").replace("<", "&lt;")
+    return REQUEST.format(escaped, west, east, south, north, form)
+
+
+def parse_requests(requests: DataFrame) -> DataFrame:
+    """(coverage_id, west, east, south, north, form) of request texts (xml); limits that a text lacks are NULL."""
+    text = lambda name: F.xpath_string("xml", F.lit(f"//*[name()='wcs:{name}']"))
+
+    def limit(axis: str, end: str) -> Column:
+        found = F.xpath_string("xml", F.lit(f"//*[name()='wcs:DimensionTrim'][*[name()='wcs:Dimension']='{axis}']/*[name()='wcs:Trim{end}']"))
+        return found.try_cast("double")
+
+    return requests.select(
+        text("CoverageId").alias("coverage_id"), limit("x", "Low").alias("west"), limit("x", "High").alias("east"), limit("y", "Low").alias("south"), limit("y", "High").alias("north"), text("format").alias("form")
+    )
+
+
+def answer_requests(samples: DataFrame, requests: DataFrame) -> DataFrame:
+    """The samples of each request (see parse_requests); a limit that is NULL doesn't limit. Requests are few."""
+    within = lambda c, low, high: F.coalesce(c >= F.col(low), F.lit(True)) & F.coalesce(c <= F.col(high), F.lit(True))
+    met = samples.join(F.broadcast(requests), "coverage_id")
+    return met.filter(within(F.col("lon"), "west", "east") & within(F.col("lat"), "south", "north")).drop("west", "east", "south", "north", "form")

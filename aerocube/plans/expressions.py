@@ -221,7 +221,22 @@ def haversine_m(spark, d):
     return _on_lines(spark, d, m=F.round(geo.haversine_m(lat, lon, F.lit(10.0), F.lit(20.0)), 3))
 
 
-@query()
+_VINCENTY = f"""WITH RECURSIVE u AS (SELECT DISTINCT {SLAT} AS lat, {SLON} AS lon FROM lineitem),
+c AS (SELECT lat, lon, 1 / 298.257223563e0 AS f, 6378137e0 AS a, 6378137e0 * (1 - 1 / 298.257223563e0) AS b, radians(20e0 - lon) AS l,
+  atan((1 - 1 / 298.257223563e0) * tan(radians(lat))) AS u1, atan((1 - 1 / 298.257223563e0) * tan(radians(10e0))) AS u2 FROM u),
+it AS (SELECT lat, lon, 0 AS k, l AS lam, 1e0 AS moved FROM c UNION ALL
+  SELECT lat, lon, k + 1, nxt, abs(nxt - lam) FROM (SELECT lat, lon, k, lam, l + (1 - cc) * f * az * (arc + cc * y * (mid + cc * x * (2 * mid * mid - 1))) AS nxt FROM (
+    SELECT *, f / 16 * c2 * (4 + f * (4 - 3 * c2)) AS cc FROM (SELECT *, coalesce(x - 2 * sin(u1) * sin(u2) / nullif(c2, 0), 0) AS mid FROM (SELECT *, 1 - az * az AS c2 FROM (
+      SELECT *, coalesce(cos(u1) * cos(u2) * sin(lam) / nullif(y, 0), 0) AS az, atan2(y, x) AS arc FROM (SELECT it.k, it.lam, c.*,
+        sqrt(power(cos(u2) * sin(lam), 2) + power(cos(u1) * sin(u2) - sin(u1) * cos(u2) * cos(lam), 2)) AS y, sin(u1) * sin(u2) + cos(u1) * cos(u2) * cos(lam) AS x FROM it JOIN c USING (lat, lon) WHERE k < 20))))))),
+m AS (SELECT lat, lon, CASE WHEN moved < 1e-9 THEN floor(b * big * (arc - small * y * (mid + small / 4 * (x * (2 * mid * mid - 1) - small / 6 * mid * (4 * y * y - 3) * (4 * mid * mid - 3)))) * 1000) / 1000 END AS m FROM (
+  SELECT *, 1 + w / 16384 * (4096 + w * (w * (320 - 175 * w) - 768)) AS big, w / 1024 * (256 + w * (w * (74 - 47 * w) - 128)) AS small FROM (SELECT *, c2 * (a * a - b * b) / (b * b) AS w FROM (
+    SELECT *, coalesce(x - 2 * sin(u1) * sin(u2) / nullif(c2, 0), 0) AS mid FROM (SELECT *, 1 - az * az AS c2 FROM (SELECT *, coalesce(cos(u1) * cos(u2) * sin(lam) / nullif(y, 0), 0) AS az, atan2(y, x) AS arc FROM (
+      SELECT it.lam, it.moved, c.*, sqrt(power(cos(u2) * sin(lam), 2) + power(cos(u1) * sin(u2) - sin(u1) * cos(u2) * cos(lam), 2)) AS y, sin(u1) * sin(u2) + cos(u1) * cos(u2) * cos(lam) AS x FROM it JOIN c USING (lat, lon) WHERE k = 20)))))))
+SELECT l_orderkey, l_linenumber, m FROM lineitem JOIN m ON lat = {SLAT} AND lon = {SLON}"""
+
+
+@query(_VINCENTY)
 def vincenty_m(spark, d):
     lat, lon = _at()
     return _on_lines(spark, d, m=geo.vincenty_m(lat, lon, F.lit(10.0), F.lit(20.0)))
@@ -239,16 +254,25 @@ def sinusoidal_latlon(spark, d):
     return _on_lines(spark, d, lat=r6(geo.sinusoidal_lat(line)), lon=r6(geo.sinusoidal_lon(line, column)))
 
 
-@query()
+_ZONE = f"CAST(CASE WHEN {SLON} < 0 THEN trunc((180 + {SLON}) / 6) + 1 ELSE trunc({SLON} / 6) + 31 END AS INT)"
+
+
+def utm_sql(rows: str) -> str:
+    """rows (lat, lon, ...) with zone, east and north."""
+    return f"""SELECT *, 0.9996e0 * nu * (d * cos(phi) + power(d * cos(phi), 3) / 6 * (1 - t + c)) + 500000 AS east,
+  0.9996e0 * (6378137e0 * (1 - n) * (1 - n * n) * (1 + 9 * n * n / 4 + 225 * power(n, 4) / 64) * (phi - (3 * n / 2 - 9 * power(n, 3) / 16) * sin(2 * phi) + (15 * n * n / 16 - 15 * power(n, 4) / 32) * sin(4 * phi)
+    - 35 * power(n, 3) / 48 * sin(6 * phi) + 315 * power(n, 4) / 512 * sin(8 * phi)) + nu * sin(phi) * cos(phi) * d * d / 2 + nu * sin(phi) * power(cos(phi), 3) * power(d, 4) / 24 * (5 - t + 9 * c + 4 * c * c)) AS north
+FROM (SELECT *, 6378137e0 / sqrt(1 - e2 * power(sin(phi), 2)) AS nu, power(tan(phi), 2) AS t, e2 / (1 - e2) * power(cos(phi), 2) AS c, radians(lon - (6 * zone - 183)) AS d
+  FROM (SELECT *, radians(lat) AS phi, f * (2 - f) AS e2, f / (2 - f) AS n FROM (SELECT *, 1 / 298.257223563e0 AS f, CAST(CASE WHEN lon < 0 THEN trunc((180 + lon) / 6) + 1 ELSE trunc(lon / 6) + 31 END AS INT) AS zone FROM ({rows}))))"""
+
+
+@query(f"SELECT l_orderkey, l_linenumber, round(east, 3) AS east, round(north, 3) AS north FROM ({utm_sql(f'SELECT l_orderkey, l_linenumber, {SLAT} AS lat, {SLON} AS lon FROM lineitem')})")
 def utm_forward(spark, d):
     lat, lon = _at()
     east, north = geo.utm_forward(lat, lon)
     return _on_lines(spark, d, east=F.round(east, 3), north=F.round(north, 3))
 
 
-_ZONE = f"CAST(CASE WHEN {SLON} < 0 THEN trunc((180 + {SLON}) / 6) + 1 ELSE trunc({SLON} / 6) + 31 END AS INT)"
-
-
 @query(_sql(zone=_ZONE, band="CASE " + " ".join(f"WHEN {SLAT} >= {s} THEN '{b}'" for b, s in reversed(geo.SOUTH_BANDS + geo.NORTH_BANDS)) + " END", south=f"CASE WHEN {SLAT} < 0 THEN 'S' ELSE 'N' END"))
 def utm_lon_zone(spark, d):
     lat, lon = _at()

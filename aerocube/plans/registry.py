@@ -20,4 +20,4 @@ def query(sql: str | None = None, name: str | None = None):
     return register
 
 
-from . import algebra, aligned, catalog, expressions, ingest, matchups, readers, regrids, statistics  # noqa: E402, F401
+from . import algebra, aligned, catalog, expressions, ingest, matchups, readers, regrids, statistics, tiles  # noqa: E402, F401

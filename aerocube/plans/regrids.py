@@ -81,14 +81,13 @@ def regrid_snap_bbox(spark, d):
     return box.withColumns({c: geo.grid_snap(F.col(c), four, up) for c, up in (("north", True), ("west", False), ("south", False), ("east", True))})
 
 
-@query(f"WITH {SAMPLES}, {cells_sql('A', 'a')} SELECT row, col, level_idx, CAST(floor((90 - (85 - 10 * row)) / 10.0 + 0.5) AS INT) AS r2, CAST(floor((-175 + 10 * col + 180) / 10.0 + 0.5) AS INT) AS c2 FROM a")
+@query(f"WITH {SAMPLES}, {cells_sql('A', 'a')} SELECT row - 3 AS row, col - 12 AS col, level_idx, round(value, 6) AS value FROM a WHERE row BETWEEN 3 AND 8 AND col BETWEEN 12 AND 21")
 def cut_only(spark, d):
-    """Same step: offsets, no search."""
-    r2, c2 = regrid.regular_map(85 - 10 * F.col("row"), -175 + 10 * F.col("col"), 90.0, -180.0, 10.0)
-    return cells(spark, d, "A").select("row", "col", "level_idx", r2.alias("r2"), c2.alias("c2"))
+    """A box of a grid that has the step already: cells are taken over and counted from the box's corner, without a search."""
+    return regrid.cut(cells(spark, d, "A"), 90.0, -180.0, 10.0, 60.0, -60.0, 6, 10).withColumn("value", r6("value"))
 
 
-_GAPS = f"WITH {SAMPLES}, g AS (SELECT row, col, avg(value) AS value FROM samples WHERE coverage_id = 'A' AND (row * 7 + col * 3) % 5 < 2 GROUP BY ALL HAVING avg(value) IS NOT NULL)"
+_GAPS = f"WITH {SAMPLES}, g AS (SELECT * FROM (SELECT row, col, CASE WHEN (row * 7 + col * 3) % 5 < 2 THEN avg(value) END AS value FROM samples WHERE coverage_id = 'A' GROUP BY row, col) WHERE value IS NOT NULL)"
 
 
 @query(
@@ -98,8 +97,9 @@ f AS (SELECT row, col, CASE WHEN count(*) = 1 THEN sum(v) ELSE sum(v * (1 - dd /
 SELECT e.row, e.col, round(coalesce(g.value, filled), 5) AS value FROM e LEFT JOIN g ON e.row = g.row AND e.col = g.col LEFT JOIN f ON e.row = f.row AND e.col = f.col"""
 )
 def idw_fill(spark, d):
-    known = samples(spark, d).filter("coverage_id = 'A' and (row * 7 + col * 3) % 5 < 2").groupBy("row", "col").agg(F.avg("value").alias("value"))
-    return regrid.idw_fill(known, 18, 36).withColumn("value", F.round("value", 5))
+    """A grid with gaps."""
+    grid = samples(spark, d).filter("coverage_id = 'A'").groupBy("row", "col").agg(F.avg("value").alias("value"))
+    return regrid.idw_fill(grid.withColumn("value", F.expr("CASE WHEN (row * 7 + col * 3) % 5 < 2 THEN value END")), 18, 36).withColumn("value", F.round("value", 5))
 
 
 @query(
@@ -142,9 +142,3 @@ def good_tile_semi(spark, d):
 @query(f"{_TILED} SELECT tile_row, tile_col, count(*) FILTER (WHERE value IS NULL OR value > 30) AS n_blank FROM t GROUP BY ALL")
 def blank_count(spark, d):
     return _tiled(spark, d).groupBy("tile_row", "tile_col").agg(F.count_if(F.col("value").isNull() | (F.col("value") > 30)).alias("n_blank"))
-
-
-@query(f"WITH {SAMPLES} SELECT CAST(CASE WHEN lon < 0 THEN trunc((180 + lon) / 6) + 1 ELSE trunc(lon / 6) + 31 END AS INT) AS zone, count(*) AS n, round(avg(value), 6) AS value FROM samples GROUP BY ALL")
-def utm_output(spark, d):
-    """Samples by UTM zone; each zone is a raster of its own."""
-    return samples(spark, d).groupBy(geo.utm_zone(F.col("lon")).alias("zone")).agg(F.count("*").alias("n"), r6(F.avg("value")).alias("value"))

@@ -147,3 +147,65 @@ def test_binned_join_is_no_nested_loop(spark):
     obs = spark.createDataFrame([(1, "2020-01-01", 0.0, 0.0, 5.0)], "obs_id int, t string, lon double, lat double, value double").withColumns({"t_start": F.col("t").cast("timestamp"), "t_end": F.col("t").cast("timestamp")})
     plan = matchup.ground_coverage_matchup(obs, obs.select(F.col("t_start").alias("t"), "lon", "lat", "value"))._jdf.queryExecution().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_nearest_at_any_distance(spark):
+    """Far targets, poles, the date line, repeated and single sources: against all pairs."""
+    import math
+    import random
+
+    from aerocube.operators import nearest
+
+    r = random.Random(7)
+    sources = [(i, 0, r.uniform(-5, 5), r.uniform(170, 190) - 360 * (r.random() < 0.5)) for i in range(60)] + [(60, 0, 89.9, 10.0), (61, 0, -90.0, 0.0), (62, 1, 3.0, 3.0), (63, 2, 3.0, 3.0)]
+    targets = [(i, 0, r.uniform(-90, 90), r.uniform(-180, 180)) for i in range(80)] + [(80, 0, 90.0, -170.0), (81, 0, 0.0, 180.0), (82, 0, 3.0, 3.0)]
+
+    def metres(a, b):
+        (la, lo), (lb, lp) = (tuple(map(math.radians, x[2:])) for x in (a, b))
+        h = math.sin((lb - la) / 2) ** 2 + math.cos(la) * math.cos(lb) * math.sin((lp - lo) / 2) ** 2
+        return 2 * 6372795.477598 * math.atan2(math.sqrt(h), math.sqrt(max(1 - h, 0)))
+
+    t = spark.createDataFrame(targets, "dst_row int, dst_col int, lat double, lon double")
+    for known in (sources, sources[:1]):
+        s = spark.createDataFrame(known, "src_row int, src_col int, lat double, lon double")
+        got = {x["dst_row"]: x for x in nearest.nearest_pixels(t, s).collect()}
+        assert len(got) == len(targets)
+        for target in targets:
+            best = min((metres(target, k), -k[0], -k[1]) for k in known)
+            assert got[target[0]]["dist_m"] == pytest.approx(best[0], abs=1e-3)
+            assert got[target[0]]["src_row"] == -best[1] or abs(metres(target, known[got[target[0]]["src_row"]]) - best[0]) < 1e-3
+    assert got[82]["src_row"] == 0
+    assert nearest.nearest_pixels(t, s.filter("1 = 0")).count() == 0
+
+
+def test_utm_there_and_back(spark):
+    from aerocube.functions import geo
+
+    df = spark.createDataFrame([(47.3, 8.5), (-33.9, 18.4), (0.5, 3.0), (61.2, -149.9)], "lat double, lon double")
+    east, north = geo.utm_forward(F.col("lat"), F.col("lon"))
+    south = F.col("lat") < 0
+    lat, lon = geo.utm_inverse(east, north + F.when(south, 10_000_000).otherwise(0), geo.utm_zone(F.col("lon")), south)
+    for r in df.select("lat", "lon", lat.alias("a"), lon.alias("b")).collect():
+        assert r["a"] == pytest.approx(r["lat"], abs=2e-4) and r["b"] == pytest.approx(r["lon"], abs=2e-4)
+
+
+def test_control_points_in_utm(spark):
+    from aerocube.operators import coords
+
+    text = ["; Zone Number: 32N", "; map, image", "465005.35 5247096.0 10 20", "f"]
+    got = coords.control_points(spark.createDataFrame([("a", x) for x in text[:3]], "file string, line string")).first()
+    assert got["lon"] == pytest.approx(8.537, abs=0.01) and got["lat"] == pytest.approx(47.376, abs=0.01) and (got["x"], got["y"]) == (10, 20)
+
+
+def test_a_batch_is_written_once(spark, tmp_path):
+    """A stream that is run again from the same state, or whose state was lost, adds nothing."""
+    from aerocube.streaming import ingest
+
+    rows = spark.createDataFrame([(i % 5, "p", float(i), f"2024-01-0{i % 3 + 1} 00:00:00") for i in range(30)], "station int, product string, value double, t string")
+    rows = rows.select("station", "product", "value", F.col("t").cast("timestamp").alias("t_start"), F.col("t").cast("timestamp").alias("t_end"))
+    rows.union(rows).write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{tmp_path}/in")
+    for state in ("a", "a", "b"):
+        ingest.append_new(stream, f"{tmp_path}/store", f"{tmp_path}/{state}").awaitTermination()
+        assert spark.read.parquet(f"{tmp_path}/store").count() == 30
+    assert ingest.stored(spark, f"{tmp_path}/none") is None

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from aerocube.functions import geo, meteo, times, values
-from aerocube.operators import algebra, catalog, matchup, regrid, stats, subset
+from aerocube.operators import algebra, align, catalog, matchup, regrid, stats, subset
 
 
 def one(spark, column):
@@ -81,9 +81,9 @@ def cube(spark):
 
 def test_algebra_laws(spark):
     a = cube(spark)
-    b = a.withColumn("value", F.col("value") * 2)
-    assert {r["value"] for r in algebra.subtract(a, a).collect()} == {0.0, None}
-    assert sorted(map(str, algebra.add(a, b).collect())) == sorted(map(str, algebra.add(b, a).collect()))
+    both = a.withColumnsRenamed({"value": "va"}).withColumn("vb", F.col("va"))
+    assert {r["value"] for r in align.subtract(both).collect()} == {0.0, None}
+    assert {(r["row"], r["col"], r["value"]) for r in align.add(both).collect()} == {(r["row"], r["col"], r["value"] and 2 * r["value"]) for r in a.collect()}
     assert sorted(map(str, algebra.flip_ud(algebra.flip_ud(a, 5), 5).collect())) == sorted(map(str, a.collect()))
 
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Turns whose places are summed up at once.
+STEP = 256
 OPEN, NEXT, CLOSE = "### ", "<next/>", "</turn>\n"
 
 
@@ -54,19 +56,23 @@ def format_chats(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", rol
             (t["role"] == learn).alias("learn"),
         )
 
-    def place(state: Column, p: Column) -> Column:
-        start = state["at"] + F.length(p["head"])
-        span = F.struct(start.alias("start"), F.length(p["body"]).cast("long").alias("length"))
-        return F.struct(
-            (start + F.length(p["body"]) + F.length(p["tail"])).cast("long").alias("at"),
-            F.when(p["learn"], F.concat(state["spans"], F.array(span))).otherwise(state["spans"]).alias("spans"),
-        )
+    def starts(lengths: Column) -> Column:
+        """Running sums before each element, in steps of STEP so that no array is copied for each turn."""
+        chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / STEP)), lambda k: F.slice(lengths, (k * STEP + 1).cast("int"), F.lit(STEP)))
+        run = lambda xs: F.aggregate(xs, F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("all")), lambda s, x: F.struct((s["at"] + x).alias("at"), F.concat(s["all"], F.array(s["at"])).alias("all")))
+        sums = F.transform(chunks, run)
+        before = run(F.transform(sums, lambda s: s["at"]))["all"]
+        return F.flatten(F.zip_with(sums, before, lambda s, b: F.transform(s["all"], lambda x: x + b)))
+
+    def loss(parts: Column) -> Column:
+        at = starts(F.transform(parts, lambda p: (F.length(p["head"]) + F.length(p["body"]) + F.length(p["tail"])).cast("long")))
+        spans = F.zip_with(parts, at, lambda p, a: F.struct(p["learn"].alias("learn"), (a + F.length(p["head"])).alias("start"), F.length(p["body"]).cast("long").alias("length")))
+        return F.transform(F.filter(spans, lambda x: x["learn"]), lambda x: F.struct(x["start"].alias("start"), x["length"].alias("length")))
 
-    none = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,length:bigint>>").alias("spans"))
     return turns.withColumn("parts", F.transform("turns", parts)).select(
         F.col(conv),
         F.array_join(F.transform("parts", lambda p: F.concat(p["head"], p["body"], p["tail"])), "").alias("formatted"),
-        F.aggregate("parts", none, place, lambda s: s["spans"]).alias("loss"),
+        loss(F.col("parts")).alias("loss"),
     )
 
 

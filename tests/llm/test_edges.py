@@ -84,6 +84,9 @@ def test_chat(spark):
         learnt = [r["formatted"][s["start"] : s["start"] + s["length"]] for s in r["loss"]]
         assert len(learnt) == sum(x["role"] == "assistant" for x in r["back"])
     assert got[4]["back"][0]["text"] == LONG
+    many = spark.range(3000).select(F.lit(9).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 3 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.lit("t#"), F.col("id")).alias("text"))
+    r = chat.format_chats(many).first()
+    assert [r["formatted"][s["start"] : s["start"] + s["length"]] for s in r["loss"]] == [f"t#{i}" for i in range(3000) if i % 3]
     assert chat.format_chats(df.filter("1 = 0")).count() == 0
 
 

@@ -14,22 +14,36 @@ from aerocube.llm.common import free, work_table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail the base rules go, and those of hosts most of whose documents fail."""
+    """Documents that fail the base rules go, and those of hosts most of whose documents fail.
+
+    Null and empty texts have no words, so they go; very long ones are counted whole; a null source is a host of its own.
+    Repeated rows count and stay each, there are no ties. An empty table gives no rows; other columns, of any name, stay."""
     return quality.keep_good(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates (5-word shingles, similarity 0.8) the one with the smallest id stays."""
+    """Of each group of near-duplicates (5-word shingles, similarity 0.8) the one with the smallest id stays.
+
+    Texts without words (null and empty ones too) are linked with nothing and stay, as do rows without an id; very long texts
+    are compared whole. Of rows that repeat an id one stays: the least by a hash of its text, then of all its columns. An
+    empty table gives no rows; other columns, of any name, stay."""
     return near_dup.keep_one(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows are left out or repeated so that each source's words come near its target."""
+    """Rows are left out or repeated so that each source's words come near its target.
+
+    Null and empty texts have no words and go with their hash; very long ones count whole; a null source is one of its own,
+    last in order. Rows of one id, repeated ones too, share their hash and so their fate; a null id is hashed like an empty
+    one. An empty table gives no rows; other columns, of any name, stay."""
     return mixing.mix(docs)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids, decoded_sha256) for each row, repeated ones included."""
+    """(doc_id, n_tokens, ids, decoded_sha256) for each row, repeated ones and rows without an id included.
+
+    Null and empty texts have no ids; very long ones are encoded whole; no ties arise. An empty table gives no rows; other
+    columns, of any name, don't matter."""
     import public_tokenizers
 
     path = public_tokenizers.path("word_bpe_49k.json")

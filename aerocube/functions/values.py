@@ -65,6 +65,16 @@ def label_filename(name: Column, label: str) -> Column:
     return F.concat(F.expr("''") if not label else F.left(name, F.length(name) - 19), F.lit(f"{label}_"), F.right(name, F.lit(19)))
 
 
+def filename_hours(name: Column) -> Column:
+    """Hours after the run in a forecast file's name, `..._+HHH.grb`."""
+    return F.regexp_extract(name, r"\+(\d+)\.", 1).try_cast("int")
+
+
+def filename_day(name: Column) -> Column:
+    """The day YYYYMMDD in a file's name: its first eight digits in a row."""
+    return F.nullif(F.regexp_extract(name, r"(\d{8})", 1), F.lit(""))
+
+
 def coverage_dir(coverage_id: Column) -> Column:
     """The collection's directory: the id without its last two `_` parts."""
     parts = F.split(coverage_id, "_")

@@ -13,6 +13,16 @@ def top_recent(df: DataFrame, n: int, id_: str = "id") -> DataFrame:
     return df.orderBy(F.desc(id_)).limit(n).orderBy(id_)
 
 
+def by_name(df: DataFrame, use_case: int | None = None) -> DataFrame:
+    """Collections (of a use case) in the order of their names."""
+    return (df if use_case is None else df.filter(F.col("use_case_id") == use_case)).orderBy("name")
+
+
+def days_in_order(df: DataFrame, t: str) -> DataFrame:
+    """(day, n): how many rows start on each day, in order; sorted after the counts are made, so few rows are."""
+    return df.groupBy(F.date_format(t, "yyyy-MM-dd").alias("day")).agg(F.count("*").alias("n")).orderBy("day")
+
+
 def last_item(df: DataFrame, order: str) -> DataFrame:
     return df.orderBy(F.desc(order)).limit(1)
 

@@ -14,6 +14,16 @@ def _bins(low: Column, high: Column, size: float) -> Column:
     return F.explode(F.sequence(F.floor(low / size), F.floor(high / size)))
 
 
+def _in_reach(o: DataFrame, cover: DataFrame, degrees: float, seconds: float) -> DataFrame:
+    """The coverage's samples within the box and span of all observations: plain comparisons that reach its scan."""
+    far = o.agg(F.min("olon"), F.max("olon"), F.min("olat"), F.max("olat"), F.min("s0"), F.max("s1")).first()  # one row
+    if far[0] is None or far[4] is None:
+        return cover.filter(F.lit(False))
+    at = lambda x: F.timestamp_micros(F.lit(int(x * 1_000_000))).cast(cover.schema["t"].dataType)
+    inside = F.col("lon").between(far[0] - degrees, far[1] + degrees) & F.col("lat").between(far[2] - degrees, far[3] + degrees)
+    return cover.filter(inside & F.col("t").between(at(far[4] - seconds - 1), at(far[5] + seconds + 1)))
+
+
 def ground_coverage_matchup(obs: DataFrame, cover: DataFrame, degrees: float = 1.0, minutes: float = 60.0) -> DataFrame:
     """(obs_id, t_start, ground, cover, d, n) for each observation with coverage samples near in space and time.
 
@@ -23,6 +33,7 @@ def ground_coverage_matchup(obs: DataFrame, cover: DataFrame, degrees: float = 1
     span = max(2 * seconds, 3600.0)
     s = lambda c: F.unix_micros(F.col(c).cast("timestamp")) / 1e6
     o = obs.select("obs_id", "t_start", F.col("lon").alias("olon"), F.col("lat").alias("olat"), F.col("value").alias("ground"), s("t_start").alias("s0"), s("t_end").alias("s1"))
+    cover = _in_reach(o, cover, degrees, seconds)
     o = o.withColumn("xb", _bins(F.col("olon") - degrees, F.col("olon") + degrees, 2 * space))
     o = o.withColumn("yb", _bins(F.col("olat") - degrees, F.col("olat") + degrees, 2 * space))
     o = o.withColumn("tb", _bins(F.col("s0") - seconds, F.col("s1") + seconds, span))

@@ -23,7 +23,7 @@ def top_recent(spark, d):
 
 @query(f"{ALL} FROM collections WHERE use_case_id = 3 ORDER BY name")
 def order_by_name(spark, d):
-    return collections(spark, d).filter("use_case_id = 3").orderBy("name").select("id", "name")
+    return ops.by_name(collections(spark, d), 3).select("id", "name")
 
 
 @query(f"{ALL} FROM collections ORDER BY id DESC LIMIT 1")
@@ -87,7 +87,7 @@ def user_profile_join(spark, d):
 
 @query("SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, count(*) AS n FROM orders GROUP BY 1 ORDER BY 1")
 def sort_starttime(spark, d):
-    return table(spark, d, "orders").groupBy(F.date_format("o_orderdate", "yyyy-MM-dd").alias("day")).agg(F.count("*").alias("n")).orderBy("day")
+    return ops.days_in_order(table(spark, d, "orders"), "o_orderdate")
 
 
 @query("SELECT DISTINCT 'SO2_' || (o_orderkey % 9) AS dir FROM orders")

@@ -126,7 +126,7 @@ def parse_options(spark, d):
 def filename_fields(spark, d):
     k = F.col("o_orderkey")
     name = F.concat(F.lit("ALARO_"), F.date_format(F.date_add(F.lit("2015-01-01").cast("date"), (k % 28).cast("int")), "yyyyMMdd"), F.lit("_+"), F.lpad((k % 24).cast("string"), 3, "0"), F.lit(".grb"))
-    return table(spark, d, "orders").select("o_orderkey", F.regexp_extract(name, r"\+(\d+)\.", 1).cast("int").alias("hour"), F.substring(name, 7, 8).alias("day"))
+    return table(spark, d, "orders").select("o_orderkey", values.filename_hours(name).alias("hour"), values.filename_day(name).alias("day"))
 
 
 @query("SELECT event_id, CAST(event_id AS DOUBLE) AS a, CAST(event_id % 10 AS DOUBLE) AS b, CAST(-user_id AS DOUBLE) AS c FROM events")
@@ -191,7 +191,8 @@ def hybrid_pressure(spark, d):
 def _layers(spark, d):
     """One line item per order and line number."""
     best = F.min(F.struct("l_quantity", "l_tax", "l_partkey", "l_suppkey")).alias("b")
-    return _lines(spark, d).groupBy(*LINE).agg(best).select(*LINE, "b.*")
+    # dealt by order at once, so that the windows by order need no shuffle of their own
+    return _lines(spark, d).repartition("l_orderkey").groupBy(*LINE).agg(best).select(*LINE, "b.*")
 
 
 @query(

@@ -31,15 +31,30 @@ def shared_folder(spark: SparkSession) -> str:
     return folder or known.get()
 
 
-def work_table(df: DataFrame) -> DataFrame:
-    """Writes df as Parquet into the shared folder and reads it back: cuts lineage, survives lost executors."""
+def work_table(df: DataFrame, among: list[str] | None = None) -> DataFrame:
+    """Writes df as Parquet into the shared folder and reads it back: cuts lineage, survives lost executors. Its folder is added
+    to `among`, for remove()."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     _written.append((None, path))
+    if among is not None:
+        among.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Removes work tables that nothing reads any more."""
+    for path in paths:
+        _delete(spark, path)
+    _written[:] = [w for w in _written if w[1] not in paths]
+
+
 def bucket_table(df: DataFrame, column: str) -> DataFrame:
     """A work table in buckets of a column, as many as shuffle partitions; the catalog knows it until free() is called."""
     spark, name = df.sparkSession, f"work_{uuid.uuid4().hex}"
@@ -61,8 +76,7 @@ def free(spark: SparkSession, *still_read: DataFrame) -> None:
             continue
         if name:
             spark.sql(f"DROP TABLE IF EXISTS {name}")
-        where = spark._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        _delete(spark, path)
         _written.remove(entry)
 
 

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import held, small, work_table
+from .common import held, remove, small, work_table
 
 #: Bits of a sketch; MinHash values at most (more where even bands of one value need them); how seldom bands may miss a link.
 BITS, VALUES, MISSED = 1024, 256, 1e-8
@@ -187,7 +187,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         before = after
 
 
-def _crowded_pairs(crowded: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+def _crowded_pairs(crowded: DataFrame, full: DataFrame, percent: int, passing: list[str]) -> DataFrame:
     """Pairs (a, b) of different components that hold all links among the members (rep, component) of crowded bands.
 
     A prefix filter: shingles are put in one order, rare ones (among these members) first. A set of n that is linked to a
@@ -201,7 +201,7 @@ def _crowded_pairs(crowded: DataFrame, full: DataFrame, percent: int) -> DataFra
     each = full.join(docs, "of").select("of", "component", "size", F.explode("shingles").alias("x"))
     common = each.groupBy("x").agg(F.count("*").alias("df"))
     several = F.collect_list(F.when(F.col("df") > 1, F.struct("df", "x")))
-    order = work_table(each.join(common, "x").groupBy("of", "component", "size").agg(F.count_if(F.col("df") == 1).alias("alone"), F.sort_array(several).alias("shared")))
+    order = work_table(each.join(common, "x").groupBy("of", "component", "size").agg(F.count_if(F.col("df") == 1).alias("alone"), F.sort_array(several).alias("shared")), passing)
     n, p = F.col("size"), F.lit(percent)
     up = lambda a, b: F.floor((a + b - 1) / b)  # noqa: E731  a / b, rounded up
     cell = lambda c: F.floor(F.ln(c) / float(np.log(1.02)))
@@ -217,10 +217,10 @@ def _crowded_pairs(crowded: DataFrame, full: DataFrame, percent: int) -> DataFra
     left = first(larger, up(p * (n + low), F.lit(100 + percent)))
     right = first(order.withColumn("cell", cell(n)), up(2 * p * n, F.lit(100 + percent)))
     sides = left.withColumn("large", F.lit(True)).unionByName(right.withColumn("large", F.lit(False)))
-    sides = work_table(sides)
+    sides = work_table(sides, passing)
     counts = sides.groupBy("cell", "x", "component").agg(F.count("*").alias("k"))
     mixed = counts.groupBy("cell", "x").agg(F.count("*").alias("several"), F.max_by("component", F.struct("k", "component")).alias("main")).filter("several > 1").drop("several")
-    sides = work_table(sides.join(mixed, ["cell", "x"]))
+    sides = work_table(sides.join(mixed, ["cell", "x"]), passing)
     name = lambda rows, k: rows.select("cell", "x", F.col("of").alias(k), F.col("component").alias(f"c{k}"), F.col("size").alias(f"n{k}"), F.col("at").alias(f"at{k}"), (F.col("component") == F.col("main")).alias(f"m{k}"))
     left, right = name(sides.filter("large"), "a"), name(sides.filter("not large"), "b")
     # by the first shingle that both have, what follows it holds the overlap
@@ -247,17 +247,18 @@ def near_duplicates(docs: DataFrame, id_: str = "doc_id", text: str = "text", wo
     classes = work_table(rows.filter("n > 0 and id is not null").groupBy(*key).agg(F.min("id").alias("rep"), F.min_by(F.struct("keys", "sketch"), "id").alias("made")).select(*key, "rep", "made.*"))
     bands = classes.select(F.explode("keys").alias("key"), "rep")
     shared = bands.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
-    members = work_table(bands.join(shared, "key").select("key", "rep"))
-    drawn = small(work_table(members.select("rep").distinct()), most_broadcast)
+    passing: list[str] = []  # tables that only lead to the links
+    members = work_table(bands.join(shared, "key").select("key", "rep"), passing)
+    drawn = small(work_table(members.select("rep").distinct(), passing), most_broadcast)
     texts = base.join(drawn, base["id"] == drawn["rep"], "left_semi")
-    full = work_table(sets(texts, words).withColumnRenamed("id", "of").withColumn("size", F.size("shingles")))
+    full = work_table(sets(texts, words).withColumnRenamed("id", "of").withColumn("size", F.size("shingles")), passing)
     sketch = classes.select(F.col("rep").alias("of"), "sketch")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) whose sets are similar enough."""
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         pairs = pairs.join(sketch.withColumnsRenamed({"of": "a", "sketch": "sa"}), "a").join(sketch.withColumnsRenamed({"of": "b", "sketch": "sb"}), "b")
-        pairs = work_table(pairs.filter(_alike(F.col("sa"), F.col("sb"), similarity)).select("a", "b").distinct())
+        pairs = work_table(pairs.filter(_alike(F.col("sa"), F.col("sb"), similarity)).select("a", "b").distinct(), passing)
         pairs = pairs.join(full.withColumnsRenamed({"of": "a", "shingles": "xa", "size": "na"}), "a")
         pairs = pairs.filter("na > 0").join(full.withColumnsRenamed({"of": "b", "shingles": "xb", "size": "nb"}), "b")
         pairs = pairs.filter((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")))
@@ -266,16 +267,17 @@ def near_duplicates(docs: DataFrame, id_: str = "doc_id", text: str = "text", wo
 
     start = members.withColumn("component", F.col("rep"))
     centres = start.groupBy("key").agg(F.min("rep").alias("b"))  # the first of a group is often what the others were made from
-    links = work_table(confirmed(start.join(centres, "key").filter("rep <> b").select(F.col("rep").alias("a"), "b")))
+    links = work_table(confirmed(start.join(centres, "key").filter("rep <> b").select(F.col("rep").alias("a"), "b")), passing)
     known = connected_components(links).withColumnRenamed("id", "rep")
-    placed = work_table(members.join(known, "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component")))
+    placed = work_table(members.join(known, "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component")), passing)
     mixed = placed.groupBy("key").agg(F.count("*").alias("together"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
-    across = work_table(placed.join(mixed.select("key", "together"), "key"))
+    across = work_table(placed.join(mixed.select("key", "together"), "key"), passing)
     few = across.filter(F.col("together") <= CROWD).select("key", "rep", "component")
     few = few.withColumnsRenamed({"rep": "a", "component": "ca"}).join(few.withColumnsRenamed({"rep": "b", "component": "cb"}), "key").filter("a < b and ca <> cb").select("a", "b")
-    many = _crowded_pairs(across.filter(F.col("together") > CROWD), full, percent)
-    links = work_table(confirmed(few.union(many)).union(links))
-    found = connected_components(links)
+    many = _crowded_pairs(across.filter(F.col("together") > CROWD), full, percent, passing)
+    links = work_table(confirmed(few.union(many)).union(links), passing)
+    found = connected_components(links)  # from here on a checkpoint, which needs none of these
+    remove(docs.sparkSession, passing)
     found = classes.select(*key, "rep").join(found.withColumnRenamed("id", "rep"), "rep", "left").select(*key, F.coalesce("component", "rep").alias("component_id"))
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
     # texts without words have no class: a null key keeps them all out of one task

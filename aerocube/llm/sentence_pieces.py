@@ -260,9 +260,7 @@ def decode(ids: Column, model_path: str) -> Column:
     control ids give nothing, bytes that aren't UTF-8 a replacement character each. Null and empty ids give an empty text, a null id
     among them nothing; one that the model doesn't have is an error."""
 
-    @F.arrow_udf("string")
-    def work(column: pa.Array) -> pa.Array:
-        model = _model(model_path)
+    def some(column: pa.Array, model: Model) -> pa.Array:
         rows = np.repeat(np.arange(len(column)), pc.list_value_length(column).fill_null(0).to_numpy(zero_copy_only=False))
         flat = pc.fill_null(column.flatten(), model.end).to_numpy(zero_copy_only=False)
         shown = ~model.control[flat]
@@ -277,6 +275,16 @@ def decode(ids: Column, model_path: str) -> Column:
         except pa.ArrowInvalid:
             return pa.array([x.decode("utf-8", "one_each") for x in joined.to_pylist()], pa.string())
 
+    @F.arrow_udf("string")
+    def work(column: pa.Array) -> pa.Array:
+        model, out, a = _model(model_path), [pa.array([], pa.string())], 0
+        ends = np.cumsum(pc.list_value_length(column).fill_null(0).to_numpy(zero_copy_only=False), dtype="int64")
+        while a < len(column):  # some ids at once
+            b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + CHUNK // 4, "right")))
+            out.append(some(column.slice(a, b - a), model))
+            a = b
+        return pa.concat_arrays(out)
+
     return work(ids)
 
 

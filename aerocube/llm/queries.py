@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, html_text, licenses, mixing, near_dup, quality, sentence_pieces, sharding, syncmers, url_filter, whitening
+from . import bpe, chat, hard_negatives, html_text, licenses, mixing, near_dup, quality, sentence_pieces, sharding, syncmers, url_filter, whitening
 
 QUERIES = {
     "op1_jump_shards": sharding.op1_jump_shards,
@@ -15,7 +15,8 @@ QUERIES = {
     "op8_mix_sources": mixing.op8_mix_sources,
     "op9_url_reputation": url_filter.op9_url_reputation,
     "op10_near_duplicates": near_dup.op10_near_duplicates,
+    "op11_hard_negatives": hard_negatives.op11_hard_negatives,
     "op12_whitening": whitening.op12_whitening,
     "op13_sentence_pieces": sentence_pieces.op13_sentence_pieces,
 }
-ORACLE_SQL = {"op3_chat_format": chat.ORACLE, "op7_host_rules": quality.ORACLE, "op9_url_reputation": url_filter.ORACLE}
+ORACLE_SQL = {"op3_chat_format": chat.ORACLE, "op7_host_rules": quality.ORACLE, "op9_url_reputation": url_filter.ORACLE, "op11_hard_negatives": hard_negatives.ORACLE}

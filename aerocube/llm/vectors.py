@@ -29,7 +29,7 @@ def matrix(column: pa.ListArray, dims: int) -> np.ndarray:
     sizes = pc.list_value_length(column).to_numpy(zero_copy_only=False)
     flat = column.flatten().to_numpy(zero_copy_only=False)
     if (sizes == dims).all():
-        return flat.reshape(-1, dims)
+        return flat.reshape(len(sizes), dims)
     out = np.zeros((len(sizes), dims), "int64")
     out[np.arange(dims) < sizes[:, None]] = flat
     return out

@@ -116,11 +116,11 @@ def read_aura_l3_bounds(spark, d):
 
 _AREA = """m AS (SELECT event_id, event_id % 5 AS kind, CASE WHEN event_id % 5 IN (0, 1) THEN [500, 850, 1000][event_id % 3 + 1] ELSE 0 END AS level, event_id % 18 AS row, value, event_id % 48 AS hours FROM events),
 a AS (SELECT *, CASE kind WHEN 0 THEN 'SPECIFICHUMIDITY' WHEN 1 THEN 'TEMPERATUREPROFILE' WHEN 2 THEN 'TEMPERATURESURFACE' WHEN 3 THEN 'SURFACEPRESSURE' END AS product FROM m WHERE kind < 4)"""
-_AREA_OUT = f"""SELECT event_id, product, CAST(17 - row AS INT) AS row, CAST(dense_rank() OVER (PARTITION BY product ORDER BY level DESC) AS INT) AS band, {_AT("TIMESTAMP '2015-06-01 06:00:00' + to_hours(hours)")} AS t,
+_AREA_OUT = f"""SELECT event_id, product, CAST(@row AS INT) AS row, CAST(dense_rank() OVER (PARTITION BY product ORDER BY level DESC) AS INT) AS band, {_AT("TIMESTAMP '2015-06-01 06:00:00' + to_hours(hours)")} AS t,
   round(CASE WHEN kind = 3 THEN value / 100 ELSE value END, 6) AS value, CASE WHEN level = 0 THEN 0 ELSE round(-287.053e0 * 288.15e0 / 9.80665e0 * ln(level * 100 / 101325e0), 4) END AS height FROM a"""
 
 
-def _area_model(spark, d, file, hours_at: int):
+def _area_model(spark, d, file, hours_at: int, turn_rows: int | None):
     k = F.col("event_id")
     kind = (k % 5).cast("int")
     names = F.array(*map(F.lit, ("Specific humidity", "Temperature", "Temperature", "Surface pressure", "Wind")))
@@ -128,18 +128,18 @@ def _area_model(spark, d, file, hours_at: int):
         k, file.alias("file"), F.get(names, kind).alias("name"), F.when(kind < 2, "isobaricInhPa").otherwise("surface").alias("level_type"), (k % 18).alias("row"), "value",
         F.when(kind < 2, F.get(F.array(*map(F.lit, (500, 850, 1000))), (k % 3).cast("int"))).otherwise(0).alias("level"), F.lit("201506010600").alias("run"),
     )
-    got = decode.band_numbers(decode.limited_area_model(cells, 18, hours_at), "product")
+    got = decode.band_numbers(decode.limited_area_model(cells, hours_at, turn_rows), "product")
     return got.select("event_id", "product", "row", "band", _show("t").alias("t"), r6("value").alias("value"), F.round("height", 4).alias("height"))
 
 
-@query(f"WITH {_AREA} {_AREA_OUT}")
+@query(f"WITH {_AREA} {_AREA_OUT.replace('@row', '17 - row')}")
 def read_alaro(spark, d):
-    return _area_model(spark, d, F.concat(F.lit("/in/ALARO_12_"), (F.col("event_id") % 48).cast("string"), F.lit(".grb")), 1)
+    return _area_model(spark, d, F.concat(F.lit("/in/ALARO_12_"), (F.col("event_id") % 48).cast("string"), F.lit(".grb")), 1, 18)
 
 
-@query(f"WITH {_AREA} {_AREA_OUT}")
+@query(f"WITH {_AREA} {_AREA_OUT.replace('@row', 'row')}")
 def read_arome(spark, d):
-    return _area_model(spark, d, F.concat(F.lit("/in/AROME_"), (F.col("event_id") % 48).cast("string"), F.lit("_12.grb")), 0)
+    return _area_model(spark, d, F.concat(F.lit("/in/AROME_"), (F.col("event_id") % 48).cast("string"), F.lit("_12.grb")), 0, None)
 
 
 @query(f"""SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'GOME2B' ELSE 'OMI' END AS instrument, CAST(event_id // CASE WHEN event_id % 2 = 0 THEN 1500 ELSE 4000 END AS INT) AS slice,

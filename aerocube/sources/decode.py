@@ -62,8 +62,8 @@ WAVELENGTHS = {"AOT367": 1, "AOT388": 3, "AOT451": 10, "AOT483": 13}
 SLICE_LINES = 200
 
 
-def ozone_monitor_swath(cells: DataFrame, fill: float, scale: float, missing_place: float, product: str | None = None) -> DataFrame:
-    """Swath cells (line, sample, lat, lon, seconds since 1993, value) with value, time and slice of 200 lines.
+def ozone_monitor_swath(cells: DataFrame, fill: float, scale: float, missing_place: float, product: str | None = None, *keys: str) -> DataFrame:
+    """Swath cells (*keys, line, sample, lat, lon, seconds since 1993, value) with value, time and slice of 200 lines.
 
     For aerosol products value is an array by wavelength, of which the product names one. Columns of a slice in which a place
     is missing anywhere are left out of it."""
@@ -71,8 +71,8 @@ def ozone_monitor_swath(cells: DataFrame, fill: float, scale: float, missing_pla
     value = mask_equal(raw, fill) * num(scale)
     rows = cells.withColumns({"value": value, "t": tai93(F.col("seconds")), "slice": F.floor(F.col("line") / SLICE_LINES).cast("int")})
     lost = (F.col("lat") == missing_place) | (F.col("lon") == missing_place)
-    bad = rows.filter(lost).select("slice", "sample").distinct()
-    return rows.join(bad, ["slice", "sample"], "left_anti").drop("seconds")
+    column = [*keys, "slice", "sample"]
+    return rows.join(rows.filter(lost).select(*column).distinct(), column, "left_anti").drop("seconds")
 
 
 def slice_times(rows: DataFrame, *keys: str) -> DataFrame:
@@ -101,11 +101,12 @@ AREA_FIELDS = [
 ]
 
 
-def limited_area_model(messages: DataFrame, rows: int, hours_at: int) -> DataFrame:
-    """Cells (file, name, level_type, level, run, row, col, value) of the four products, with `product`, height, valid time
-    `t` and `band`: heights rise with the band's number, so levels count from the last. Pressures are in hPa, rows turn.
+def limited_area_model(messages: DataFrame, hours_at: int, turn_rows: int | None = None) -> DataFrame:
+    """Cells (file, name, level_type, level, run, row, col, value) of the four products, with `product`, height and valid time
+    `t`. Pressures are in hPa.
 
-    run: YYYYMMDDHHMM. hours_at: which number of the file's name (from 0) counts the hours after the run."""
+    run: YYYYMMDDHHMM. hours_at: which number of the file's name (from 0) counts the hours after the run. turn_rows: the number
+    of rows, for a model whose messages begin in the south, so that its rows turn; the other's stay."""
     product = F.coalesce(*[F.when((F.col("name") == n) & (F.col("level_type") == kind), p) for n, kind, p in AREA_FIELDS])
     hours = F.get(F.regexp_extract_all(F.substring_index("file", "/", -1), F.lit(r"(\d+)"), F.lit(1)), F.lit(hours_at)).cast("long")
     run = F.unix_seconds(F.to_timestamp("run", "yyyyMMddHHmm"))
@@ -114,7 +115,7 @@ def limited_area_model(messages: DataFrame, rows: int, hours_at: int) -> DataFra
         "t": F.timestamp_seconds(run + hours * 3600),
         "value": F.when(F.col("product") == "SURFACEPRESSURE", F.col("value") / 100).otherwise(F.col("value")),
         "height": baro_height(F.col("level").cast("double")),
-        "row": (F.lit(rows - 1) - F.col("row")).cast("int"),
+        "row": F.col("row").cast("int") if turn_rows is None else (F.lit(turn_rows - 1) - F.col("row")).cast("int"),
     })
 
 

@@ -1,9 +1,9 @@
 """URL filters: allow and block rules first, else an empirical-Bayes reputation of the host.
 
-Labelled page outcomes (bad or not) are counted by host, registered domain (its last two labels) and suffix (its last
-label). Each level's rate is shrunk to its parent's with a beta-binomial prior whose strength is estimated by moments
-from the spread of the level's own rates. A host is blocked if the lower bound of its posterior is over `limit`; so a host
-without outcomes is judged by its domain, and that by its suffix.
+Labelled page outcomes (bad or not) are counted by host, registered domain and suffix (the last label, or a longer end that
+is listed; the domain has one label more). Each level's rate is shrunk to its parent's with a beta-binomial prior whose
+strength is estimated by moments from the spread of the level's own rates. A host is blocked if the lower bound of its
+posterior is over `limit`; so a host without outcomes is judged by its domain, and that by its suffix.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import beta_trials
+from .common import beta_trials, small, work_table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: (verdict, host and path prefix)
@@ -38,17 +38,31 @@ def rule_for(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return text, verdict
 
 
-def host_reputation(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
+def with_domains(hosts: DataFrame, suffixes: DataFrame | None = None, most_suffixes: int = 100_000) -> DataFrame:
+    """hosts (host, ...) with `suffix`, the longest listed end of whole labels of the host, or its last label if none is listed,
+    and `domain`, the suffix with one label more.
+
+    suffixes: (suffix) such as a list of public suffixes has, `co.uk` for one; without it no end is listed."""
+    labels = F.split("host", r"\.")
+    end = lambda n: F.array_join(F.slice(labels, F.greatest(F.size(labels) - n, F.lit(0)) + 1, n), ".")
+    length = F.lit(1)
+    if suffixes is not None:
+        ends = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda n: F.struct(n.alias("length"), end(n).alias("suffix")))
+        listed = small(work_table(suffixes.select("suffix").distinct()), most_suffixes)
+        found = hosts.select("host", F.explode(ends).alias("end")).select("host", "end.*").join(listed, "suffix").groupBy("host").agg(F.max("length").alias("length"))
+        hosts, length = hosts.join(found, "host", "left"), F.coalesce("length", F.lit(1))
+    return hosts.withColumns({"suffix": end(length), "domain": end(length + 1)}).drop("length")
+
+
+def host_reputation(pages: DataFrame, outcomes: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
     """host, n, k, mean, lower for each host of pages (id, host).
 
     outcomes: (id, bad) with bad 0 or 1; an id may have none, one or several. Hosts without any outcome have
-    their domain's rate. Without outcomes at all every rate is 0.
+    their domain's rate. Without outcomes at all every rate is 0. suffixes: see with_domains().
     """
-    hosts = (
-        pages.join(outcomes.filter("id is not null and bad is not null"), "id", "left").groupBy("host")
-        .agg(F.count("bad").cast("double").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).cast("double").alias("k"))
-        .withColumn("suffix", F.substring_index("host", ".", -1)).withColumn("domain", F.substring_index("host", ".", -2))
-    )
+    counted = pages.join(outcomes.filter("id is not null and bad is not null"), "id", "left").groupBy("host")
+    counted = work_table(counted.agg(F.count("bad").cast("double").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).cast("double").alias("k")))  # pages are read once
+    hosts = with_domains(counted, suffixes)
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     total = suffixes.agg(F.sum("n").alias("n"), F.sum("k").alias("k")).first()  # one row
@@ -67,15 +81,17 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
     return hosts.select("host", "n", "k", "mean", (F.col("mean") - Z * deviation).alias("lower"))
 
 
-def filter_urls(pages: DataFrame, id_: str, url: str, outcomes: DataFrame, rules=RULES, limit: float = LIMIT) -> DataFrame:
+def filter_urls(pages: DataFrame, id_: str, url: str, outcomes: DataFrame, rules=RULES, limit: float = LIMIT, suffixes: DataFrame | None = None) -> DataFrame:
     """id, host, path, rule, verdict for each row of pages, in one pass over the urls and a join on the host.
 
-    A null url, or one without ://, has an empty host and path, fits no rule and is allowed. Repeated ids and
-    rows are judged row by row. Other columns of pages don't matter. An empty table gives no rows.
+    A null url, or one without ://, has an empty host and path, fits no rule and is allowed; very long urls are read whole.
+    Repeated ids and rows are judged row by row. Rules of one length that fit one url are the same rule, so no ties arise.
+    suffixes: see with_domains(); without it a registered domain is the last two labels. Other columns of pages, of any
+    name, don't matter. An empty table gives no rows.
     """
     host, path = host_of(F.col(url)), path_of(F.col(url))
     rows = pages.select(F.col(id_).alias("id"), host.alias("host"), path.alias("path"))
-    hosts = host_reputation(rows.select("id", "host"), outcomes)
+    hosts = host_reputation(rows.select("id", "host"), outcomes, suffixes)
     rule, says = rule_for(F.col("host"), F.col("path"), rules)
     own = F.when((F.col("host") != "") & (F.col("lower") > limit), "block").otherwise("allow")
     return rows.join(hosts.select("host", "lower"), "host", "left").select(

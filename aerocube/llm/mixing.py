@@ -15,25 +15,38 @@ from .common import n_words, small, work_table
 WEIGHTS, MOST, BITS, LEVELS = (5, 2, 1), 3, 12, 3
 
 
+def _running(rows: DataFrame, order: list[Column], sums: dict[str, str]) -> DataFrame:
+    """rows with the sums of some columns over all rows that come before in an order, under the names given.
+
+    Rows are sorted over all tasks; each task sums its own, and what lies before a task's rows is a sum of one number
+    per task."""
+    placed = work_table(rows.orderBy(*order).select("*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("place")))
+    parts = placed.groupBy("part").agg(*[F.sum(c).alias(n) for c, n in sums.items()])
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per task
+    parts = parts.select("part", *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"{n}_0") for n in sums.values()])
+    own = Window.partitionBy("part").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    placed = placed.join(F.broadcast(parts), "part")
+    return placed.select(*rows.columns, *[(F.col(f"{n}_0") + F.coalesce(F.sum(c).over(own), F.lit(0))).alias(n) for c, n in sums.items()])
+
+
 def source_targets(sizes: DataFrame, weights=WEIGHTS, most: int = MOST) -> DataFrame:
     """(source, source_size, target) from rows (source, size); a null source is one of its own, last.
 
     All sizes are shared by weight; what a target has over `most` times its source is shared among the others by
     weight, again and again. This ends where the level t solves sum(min(most * size, weight * t)) = total: sources in
-    order of most * size / weight fill up one after the other. One row per source, so the windows stay small.
+    order of most * size / weight fill up one after the other.
     """
     rows = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    nth = F.row_number().over(Window.orderBy(F.asc_nulls_last("source"))) - 1
+    rows = _running(rows.withColumn("one", F.lit(1)), [F.asc_nulls_last("source")], {"one": "nth"})
     kinds = F.array(*[F.lit(float(w)) for w in weights])
-    rows = rows.withColumn("weight", F.get(kinds, (nth % len(weights)).cast("int"))).withColumn("cap", F.col("source_size") * float(most))
-    up = Window.orderBy(F.col("cap") / F.col("weight"), F.asc_nulls_last("source"))
-    everything = Window.partitionBy()
-    rows = rows.withColumn("filled", F.coalesce(F.sum("cap").over(up.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
-    rows = rows.withColumn("open", F.sum("weight").over(up.rowsBetween(Window.currentRow, Window.unboundedFollowing)))
-    rows = rows.withColumn("level", (F.sum("source_size").over(everything) - F.col("filled")) / F.col("open"))
+    rows = rows.withColumn("weight", F.get(kinds, (F.col("nth") % len(weights)).cast("int"))).withColumn("cap", F.col("source_size") * float(most))
+    rows = work_table(rows.select("source", "source_size", "weight", "cap"))
+    all_ = rows.agg(F.sum("source_size").alias("size"), F.sum("weight").alias("weight")).first()  # one row
+    rows = _running(rows, [F.col("cap") / F.col("weight"), F.asc_nulls_last("source")], {"cap": "filled", "weight": "shut"})
+    level = (F.lit(all_["size"] or 0) - F.col("filled")) / (F.lit(all_["weight"] or 0.0) - F.col("shut"))
     # the first source whose cap the level doesn't reach tells the level of all; later ones would have a lower one
-    rows = rows.withColumn("level", F.max(F.when(F.col("level") * F.col("weight") <= F.col("cap"), F.col("level"))).over(everything))
-    target = F.least(F.col("cap"), F.col("weight") * F.coalesce("level", F.lit(0.0)))
+    level = rows.agg(F.max(F.when(level * F.col("weight") <= F.col("cap"), level))).first()[0]  # one row
+    target = F.least(F.col("cap"), F.col("weight") * F.lit(level or 0.0))
     return rows.select("source", "source_size", target.alias("target"))
 
 
@@ -83,14 +96,14 @@ def copies(docs: DataFrame, id_: str, text: str, source: str, weights=WEIGHTS, m
 
 
 def mix(docs: DataFrame, id_: str = "doc_id", text: str = "text", source: str = "source", weights=WEIGHTS, most: int = MOST, most_sources: int = 100_000) -> DataFrame:
-    """docs with each row as often as copies() says, maybe not at all; columns and their names as before.
+    """docs with each row as often as copies() says, maybe not at all; columns, of any name, as before.
 
     The text is only read: its words are counted in one pass, and in another each row is repeated where it lies."""
     rows = work_table(docs.select(n_words(F.col(text)).alias("size"), F.col(source).alias("source"), _hash(F.col(id_)).alias("hash")))
-    plan = thresholds(rows, weights, most, most_sources).select(F.struct("source", "once", "lower").alias("__mix"))
-    own = F.col("__mix.once") + (F.col("__hash") < F.col("__mix.lower")).cast("long")
-    made = docs.withColumn("__hash", _hash(F.col(id_))).join(small(plan, most_sources), F.col(source).eqNullSafe(F.col("__mix.source")))
-    return made.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), own.cast("int")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    plan = thresholds(rows, weights, most, most_sources).select(F.col("source").alias("of"), "once", "lower")
+    own = F.col("once") + (F.col("hash") < F.col("lower")).cast("long")
+    made = docs.select(F.struct("*").alias("row"), F.col(source).alias("source"), _hash(F.col(id_)).alias("hash")).join(small(plan, most_sources), F.col("source").eqNullSafe(F.col("of")))
+    return made.select("row", F.explode(F.array_repeat(F.lit(0), own.cast("int")))).select("row.*")
 
 
 def op8_mix_sources(spark, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucket_table
+from .common import all_but, bucket_table
 
 #: Bytes of text in a block, lists that its words are dealt into, and blocks that share one table of distinct words (64 GB of
 #: text): so a list has some hundred words and a task some million, whatever the size of the corpus or cluster.
@@ -235,14 +235,15 @@ def decode(encoded: DataFrame, ids: str, tokenizer_path: str) -> DataFrame:
 
     Each distinct sequence of ids is decoded once, by a join of its ids to the tokenizer's pieces, which puts a row per id
     through a shuffle; encode() gives the same for its own ids at the cost of a row per block and id. An id without a piece
-    gives nothing; null and empty ids give an empty text. Repeated rows stay; an empty table gives no rows.
+    gives nothing; null and empty ids give an empty text; very long ones are decoded whole. Repeated rows and other
+    columns, of any name, stay; an empty table gives no rows.
     """
-    pieces = F.broadcast(encoded.sparkSession.createDataFrame(checked_pieces(tokenizer_path), "__id int, __piece string"))
+    pieces = F.broadcast(encoded.sparkSession.createDataFrame(checked_pieces(tokenizer_path), "id int, piece string"))
     key = F.sha2(F.array_join(F.col(ids).cast("array<string>"), " "), 256)
-    rows = encoded.drop("decoded").withColumn("__key", key)
-    each = rows.select("__key", F.col(ids).alias("__ids")).dropDuplicates(["__key"]).select("__key", F.posexplode("__ids").alias("__at", "__id"))
-    texts = each.join(pieces, "__id").groupBy("__key").agg(F.array_join(F.sort_array(F.collect_list(F.struct("__at", "__piece")))["__piece"], " ").alias("decoded"))
-    return rows.join(texts, "__key", "left").drop("__key").withColumn("decoded", F.coalesce("decoded", F.lit("")))
+    rows = encoded.select(F.struct("*").alias("row"), F.col(ids).alias("ids"), key.alias("key"))
+    each = rows.select("key", "ids").dropDuplicates(["key"]).select("key", F.posexplode("ids").alias("at", "id"))
+    texts = each.join(pieces, "id").groupBy("key").agg(F.array_join(F.sort_array(F.collect_list(F.struct("at", "piece")))["piece"], " ").alias("decoded"))
+    return rows.join(texts, "key", "left").select(*all_but("row", encoded, "decoded"), F.coalesce("decoded", F.lit("")).alias("decoded"))
 
 
 def op4_bpe(spark, sf_dir: str) -> DataFrame:

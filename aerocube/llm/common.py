@@ -86,11 +86,23 @@ def held(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def small(df: DataFrame, rows: int) -> DataFrame:
-    """df marked for broadcast if it has at most so many rows; beyond that Spark shuffles both sides.
+#: Bytes that a table which is broadcast may have in its files.
+MOST_BYTES = 16_000_000
+
+
+def small(df: DataFrame, rows: int, most_bytes: int = MOST_BYTES) -> DataFrame:
+    """df marked for broadcast if it has at most so many rows and its files (columns that aren't read apart) so many
+    bytes; beyond that Spark shuffles both sides.
 
     df should be cheap to read again (a work_table)."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    fits = df.limit(rows + 1).count() <= rows and df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() <= most_bytes
+    return F.broadcast(df) if fits else df
+
+
+def all_but(row: str, df: DataFrame, *names: str) -> list[Column]:
+    """The columns of df, which `row` holds as a struct, without those called like one of the names."""
+    taken = {n.lower() for n in names}
+    return [F.col(row)[c].alias(c) for c in df.columns if c.lower() not in taken]
 
 
 def words_of(text: Column) -> Column:

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small, work_table
+from .common import all_but, small, work_table
 
 GRAM, WINDOWS = 5, 6
 RUN = GRAM + WINDOWS - 1
@@ -328,7 +328,8 @@ def host_boilerplate(pages: DataFrame, least: int = LEAST, share: float = SHARE,
     """(host, shared): for each host of pages (host, html) that has any, its boilerplate as an array of (part, run).
 
     A run must be on more than `share` of the streams, so a host has no more of them than 1 / share times the runs of its
-    average page. most_broadcast: rows up to which a side of a join is broadcast; beyond that both are shuffled."""
+    average page. most_broadcast: rows up to which a side of a join is broadcast, if its files are small too; beyond that both
+    are shuffled."""
     found = work_table(pages.mapInArrow(_stream_rows, "host string, part int, stream binary").groupBy("host", "part", "stream").agg(F.count("*").alias("copies")))
     totals = work_table(found.groupBy("host", "part").agg(F.count("*").alias("of")))
     totals = small(totals.filter(F.col("of") >= least), most_broadcast)
@@ -352,18 +353,19 @@ def extract_text(pages: DataFrame, host: Column, page: str = "html", most_broadc
     """pages with the column `text`.
 
     A null or empty page has an empty text; a null host is a host called ''. Copies of a page, and pages with the same
-    article, count once when runs are counted, so they don't take each other's text. Very long pages are read whole.
-    Repeated rows stay, each with its text. An empty table gives no rows. Other columns keep their names; one called
-    `text` is replaced.
+    article, count once when runs are counted, so they don't take each other's text. A paragraph of RUN tokens or more goes
+    from an article too, if over half of the host's articles have it. Very long pages are read whole. Repeated rows stay,
+    each with its text; no ties arise. An empty table gives no rows. Other columns, of any name, stay; one called `text`
+    is replaced.
     """
     at = F.coalesce(host, F.lit(""))
     shared = work_table(host_boilerplate(pages.select(at.alias("host"), F.col(page).alias("html")), most_broadcast=most_broadcast, **options))
-    kept = [F.col(f"`{c}`") for c in pages.columns if c != "text"]
+    rows = pages.select(F.struct("*").alias("row"), at.alias("host"), F.col(page).alias("html"))
+    kept = all_but("row", pages, "text")
     if shared.isEmpty():
-        return pages.select(*kept, _plain_text(F.col(page)).alias("text"))
-    shared = small(shared.select(F.col("host").alias("__host"), F.col("shared").alias("__shared")), most_broadcast)
-    rows = pages.withColumn("__at", at).join(shared, F.col("__at") == F.col("__host"), "left")
-    return rows.select(*kept, _unique_text(F.col(page), F.col("__shared")).alias("text"))
+        return rows.select(*kept, _plain_text(F.col("html")).alias("text"))
+    rows = rows.join(small(shared, most_broadcast), "host", "left")
+    return rows.select(*kept, _unique_text(F.col("html"), F.col("shared")).alias("text"))
 
 
 def op5_html_text(spark, sf_dir: str) -> DataFrame:

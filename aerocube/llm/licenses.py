@@ -16,7 +16,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import n_words, work_table
+from .common import all_but, n_words, work_table
 
 #: License ids and the sentences that name them.
 TEMPLATES = [
@@ -194,39 +194,40 @@ def scan_licenses(files: DataFrame, templates=TEMPLATES, least: float = LEAST, s
     nearest directory at or above; else null, as license, score and license_dir. A license file is one with an own
     license that is named like one (LICENSE, COPYING, NOTICE), or whose matching lines, sentences or block
     hold at least `share` of its words; of several in one directory the best match holds for it. A null path lies in the
-    root; null texts have no units. Repeated rows are judged each. Columns of files keep their names; those called like
-    the four are replaced. An empty table gives no rows.
+    root; null and empty texts have no units; very long ones are scanned whole. Repeated rows are judged each. Columns of
+    files, of any name, stay; those called like the four are replaced. An empty table gives no rows.
     """
     text, path = F.col("text").cast("string"), F.col("path")
-    rows = files.select("*", F.coalesce(parent(path), F.lit("")).alias("__dir"), F.md5(text).alias("__key"))
+    dir_, key = F.coalesce(parent(path), F.lit("")), F.md5(text)
+    rows = files.select(F.struct("*").alias("row"), dir_.alias("dir"), key.alias("key"))  # the caller's names stay by themselves
     hit, named = text.rlike(HEADER), F.coalesce(path.rlike(NAMED) & ~path.rlike(CODE), F.lit(False))
-    narrow = work_table(rows.select("__dir", named.alias("__named"), F.when(hit, F.col("__key")).alias("__key"), F.when(hit, text).alias("__text")))
-    lined = narrow.filter("__key is not null")
+    narrow = work_table(files.select(dir_.alias("dir"), named.alias("named"), F.when(hit, key).alias("key"), F.when(hit, text).alias("text")))
+    lined = narrow.filter("key is not null")
     # a text's license depends on the text alone: score each distinct one once
-    texts = lined.groupBy(F.col("__key").alias("key")).agg(F.first("__text").alias("text"), F.count("*").alias("files"))
+    texts = lined.groupBy("key").agg(F.first("text").alias("text"), F.count("*").alias("files"))
     texts = work_table(texts.withColumn("n_words", n_words(F.col("text"))))
     near = score_units(texts, templates, least).unionByName(score_blocks(texts, full, least))
     said = texts.select("key", F.explode(F.regexp_extract_all("text", F.lit(SPDX), F.lit(1))).alias("license"))
     said = said.select("key", F.lit(6).alias("kind"), F.lit(0).cast("long").alias("words"), "license", F.lit(-1.0).alias("s"))  # a tag speaks for its file only
     kinds = near.unionByName(said).groupBy("key", "kind").agg(F.sum("words").alias("words"), F.min(F.struct("s", "license")).alias("own"))
-    groups = kinds.groupBy("key").agg(F.max("words").alias("words"), F.min("own").alias("__own")).join(texts.select("key", "n_words"), "key")
+    groups = kinds.groupBy("key").agg(F.max("words").alias("words"), F.min("own").alias("own")).join(texts.select("key", "n_words"), "key")
     # written, so that Spark can broadcast a small side, or split a text or directory that very many files share
-    groups = work_table(groups.select(F.col("key").alias("__key"), "__own", (F.col("words") >= share * F.col("n_words")).alias("__mostly")))
-    rows = rows.join(groups.select("__key", "__own"), "__key", "left")
-    holders = lined.select("__dir", "__key", "__named").distinct().join(groups, "__key").filter("__named or __mostly")
-    holders = holders.groupBy("__dir").agg(F.min("__own").alias("held"))
-    places = narrow.select("__dir").distinct().select("__dir", F.explode(ancestors(F.col("__dir"))).alias("above"))
-    near = places.join(holders.withColumnRenamed("__dir", "above"), "above")
-    near = work_table(near.groupBy("__dir").agg(F.max(F.struct(F.length("above").alias("depth"), "above", "held")).alias("__near")))
-    rows = rows.join(near, "__dir", "left")
-    own, near_ = F.col("__own").isNotNull(), F.col("__near").isNotNull()
-    held = F.coalesce("__own", F.col("__near.held"))
+    groups = work_table(groups.select("key", "own", (F.col("words") >= share * F.col("n_words")).alias("mostly")))
+    rows = rows.join(groups.select("key", "own"), "key", "left")
+    holders = lined.select("dir", "key", "named").distinct().join(groups, "key").filter("named or mostly")
+    holders = holders.groupBy("dir").agg(F.min("own").alias("held"))
+    places = narrow.select("dir").distinct().select("dir", F.explode(ancestors(F.col("dir"))).alias("above"))
+    near = places.join(holders.withColumnRenamed("dir", "above"), "above")
+    near = work_table(near.groupBy("dir").agg(F.max(F.struct(F.length("above").alias("depth"), "above", "held")).alias("near")))
+    rows = rows.join(near, "dir", "left")
+    own, near_ = F.col("own").isNotNull(), F.col("near").isNotNull()
+    held = F.coalesce("own", F.col("near.held"))
     return rows.select(
-        *[F.col(f"`{c}`") for c in files.columns if c not in ("license", "score", "origin", "license_dir")],
+        *all_but("row", files, "license", "score", "origin", "license_dir"),
         held["license"].alias("license"),
         (-held["s"]).alias("score"),
         F.when(own, "own").when(near_, "inherited").alias("origin"),
-        F.when(~own, F.col("__near.above")).alias("license_dir"),
+        F.when(~own, F.col("near.above")).alias("license_dir"),
     )
 
 

@@ -235,9 +235,11 @@ def near_duplicates(docs: DataFrame, id_: str = "doc_id", text: str = "text", wo
 
     Two texts are linked if the Jaccard similarity of their shingle sets is at least `similarity`; component_id is the
     smallest id that links reach, kept tells whether it is the row's own. Texts without words (null and empty ones too)
-    have no shingles and are linked with nothing. Ids should be unique: rows that repeat an id and its text have
-    the same result each; rows without an id aren't compared, have no component, and are kept. An empty table gives
-    no rows; other columns don't matter. most_broadcast: ids that are broadcast to fetch texts to confirm; more are
+    have no shingles and are linked with nothing; very long ones are compared whole. Ids should be unique: rows that repeat
+    an id and its text have the same result each; rows that repeat it with another text are judged by their own text, but
+    where the id is the smallest of both texts' copies, what one is linked with holds for the other. Rows without an id aren't
+    compared, have no component, and are kept. Equal similarities are no ties: every link counts. An empty table gives
+    no rows; other columns, of any name, don't matter. most_broadcast: ids that are broadcast to fetch texts to confirm; more are
     shuffled.
     """
     percent = round(similarity * 100)
@@ -291,19 +293,21 @@ def near_duplicates(docs: DataFrame, id_: str = "doc_id", text: str = "text", wo
 
 def keep_one(docs: DataFrame, id_: str = "doc_id", text: str = "text", most_broadcast: int = 1_000_000, **options) -> DataFrame:
     """docs without the rows that near_duplicates() doesn't keep; of rows that repeat an id, the one with the least hash of
-    its text and then of all its columns stays. Null and empty texts, and rows without an id, stay; columns and their names
-    are as before; an empty table gives no rows."""
+    its text and then of all its columns stays. Null and empty texts, and rows without an id, stay; very long texts are
+    compared whole; columns, of any name, are as before; an empty table gives no rows."""
     judged = near_duplicates(docs, id_, text, most_broadcast=most_broadcast, **options)
-    lost = work_table(judged.filter(~F.col("kept")).select(F.col(id_).alias("__lost")).distinct())
-    left = docs.join(small(lost, most_broadcast), F.col(id_) == F.col("__lost"), "left_anti")
-    twice = work_table(docs.groupBy(F.col(id_)).count().filter("count > 1 and " + f"`{id_}` is not null").select(F.col(id_).alias("__twice")))
+    lost = work_table(judged.filter(~F.col("kept")).select(F.col(id_).alias("lost")).distinct())
+    # the caller's columns in one, so that no name can meet one of these
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_).alias("of"), F.xxhash64(F.col(text)).alias("hash"))
+    left = rows.join(small(lost, most_broadcast), F.col("of") == F.col("lost"), "left_anti")
+    twice = work_table(rows.groupBy("of").count().filter("count > 1 and of is not null").select(F.col("of").alias("twice")))
     if twice.isEmpty():
-        return left
+        return left.select("row.*")
     again = small(twice, most_broadcast)
-    once = left.join(again, F.col(id_) == F.col("__twice"), "left_anti")
-    rest = left.join(again, F.col(id_) == F.col("__twice"), "left_semi")
-    first = rest.groupBy(F.col(f"`{id_}`").alias("__of")).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.struct(F.xxhash64(F.col(text)), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))).alias("__row"))
-    return once.unionByName(first.select("__row.*"))
+    once = left.join(again, F.col("of") == F.col("twice"), "left_anti").select("row")
+    rest = left.join(again, F.col("of") == F.col("twice"), "left_semi")
+    first = rest.groupBy("of").agg(F.min_by("row", F.struct("hash", F.xxhash64("row"))).alias("row")).select("row")
+    return once.union(first).select("row.*")
 
 
 def op10_near_duplicates(spark, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import beta_trials, small, work_table
+from .common import all_but, beta_trials, small, work_table
 
 SYMBOLS, SPACES = "#*$%&|<>", " \t\n\x0b\x0c\r"
 FIGURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
@@ -82,38 +82,41 @@ def bad_hosts(judged: DataFrame, limit: float = LIMIT) -> DataFrame:
     lower = mean - Z * F.sqrt(mean * (1 - mean) / (F.col("n") + m + 1))
     # more must fail than the limit by the host's own count too: where over half of a corpus fails, the prior alone would
     # reject every host, also those of which nothing fails
-    return hosts.filter((lower > limit) & (F.col("k") > F.col("n") * limit)).select(F.col("source").alias("__bad_source"), F.lit(True).alias("__bad"))
+    return hosts.filter((lower > limit) & (F.col("k") > F.col("n") * limit)).select(F.col("source").alias("of"), F.lit(True).alias("bad"))
+
+
+def _judged(docs: DataFrame, row: Column, text: str, source: str, limit: float, most_hosts: int) -> DataFrame:
+    """(row, judged): for each row of docs what `row` is, and the figures with base_failed and kept as a struct.
+
+    What is asked of a row lies in one column, so no name of the caller's can meet one of these."""
+    table = work_table(docs.select(row.alias("row"), F.col(source).alias("source"), figures(F.col(text)).alias("q")).select("row", "source", "q.*"))
+    bad = bad_hosts(table.select("source", rule_failed().alias("failed")), limit)
+    bad = small(work_table(bad), most_hosts)  # beyond that many rejected hosts both sides are shuffled
+    table = table.join(bad, F.col("source").eqNullSafe(F.col("of")), "left")
+    return table.select("row", F.struct(*FIGURES, base_failed().alias("base_failed"), (~base_failed() & F.col("bad").isNull()).alias("kept")).alias("judged"))
 
 
 def judge(docs: DataFrame, text: str = "text", source: str = "source", limit: float = LIMIT, most_hosts: int = 100_000, into: str = "quality") -> DataFrame:
     """docs with the column `into`: a struct of the figures, base_failed and kept.
 
     A null or empty text has no words and fails. Long texts are counted whole; ties don't arise; repeated rows each
-    count. An empty table gives no rows. Columns of docs keep their names; one called `into` is replaced.
+    count. An empty table gives no rows. Columns of docs, of any name, stay; one called `into` is replaced.
     """
-    table = work_table(docs.withColumn("__source", F.col(source)).withColumn(into, figures(F.col(text))))
-    flat = table.select(F.col("__source").alias("source"), f"{into}.*")
-    bad = bad_hosts(flat.select("source", rule_failed().alias("failed")), limit)
-    bad = small(work_table(bad), most_hosts)  # beyond that many rejected hosts both sides are shuffled
-    table = table.join(bad, F.col("__source").eqNullSafe(F.col("__bad_source")), "left")
-    failed = F.transform(F.array(into), lambda q: (q["n_words"] < 50) | (100 * q["n_repeat_words"] > 50 * q["n_words"]))[0]
-    judged = F.col(into).withField("base_failed", failed).withField("kept", ~failed & F.col("__bad").isNull())
-    return table.withColumn(into, judged).drop("__source", "__bad_source", "__bad")
+    got = _judged(docs, F.struct("*"), text, source, limit, most_hosts)
+    at = [c.lower() for c in docs.columns].index(into.lower()) if into.lower() in map(str.lower, docs.columns) else len(docs.columns)
+    columns = all_but("row", docs, into)
+    return got.select(*columns[:at], F.col("judged").alias(into), *columns[at:])
 
 
-def keep_good(docs: DataFrame, **options) -> DataFrame:
+def keep_good(docs: DataFrame, text: str = "text", source: str = "source", limit: float = LIMIT, most_hosts: int = 100_000) -> DataFrame:
     """The rows of docs that the rules and their hosts' verdicts keep, columns as before."""
-    return judge(docs, into="__quality", **options).filter("__quality.kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return _judged(docs, F.struct("*"), text, source, limit, most_hosts).filter("judged.kept").select("row.*")
 
 
 def op7_host_rules(spark, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
-    # only the figures are kept for the second look, not the text
-    table = work_table(docs.select("doc_id", "source", figures(F.col("text")).alias("q")).select("doc_id", "source", "q.*"))
-    bad = small(work_table(bad_hosts(table.select("source", rule_failed().alias("failed")))), 100_000)
-    return table.join(bad, F.col("source").eqNullSafe(F.col("__bad_source")), "left").select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed().alias("base_failed"), (~base_failed() & F.col("__bad").isNull()).alias("kept")
-    )
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    got = _judged(docs, F.col("doc_id"), "text", "source", LIMIT, 100_000)  # the text itself isn't kept for the second look
+    return got.select(F.col("row").alias("doc_id"), "judged.*").drop("n_lines")
 
 
 #: Figures in DuckDB: f has a row per document.

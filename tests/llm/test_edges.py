@@ -313,3 +313,27 @@ def test_stages_take_it_all(spark, docs, none):
 
 def test_digests_are_lowercase_hex(spark):
     assert spark.range(1).select(F.sha2(F.lit("a"), 256).alias("x")).first()["x"] == hashlib.sha256(b"a").hexdigest()
+
+
+def test_listed_suffixes(spark):
+    hosts = spark.createDataFrame([(h,) for h in ("a.b.co.uk", "co.uk", "x.uk", "b.com", "", "www.city.kawasaki.jp")], "host string")
+    listed = spark.createDataFrame([(s,) for s in ("co.uk", "uk", "kawasaki.jp", "co.uk")], "suffix string")
+    got = {r["host"]: (r["suffix"], r["domain"]) for r in url_filter.with_domains(hosts, listed).collect()}
+    assert got == {"a.b.co.uk": ("co.uk", "b.co.uk"), "co.uk": ("co.uk", "co.uk"), "x.uk": ("uk", "x.uk"), "b.com": ("com", "b.com"), "": ("", ""), "www.city.kawasaki.jp": ("kawasaki.jp", "city.kawasaki.jp")}
+    assert {r["domain"] for r in url_filter.with_domains(hosts).collect()} == {"co.uk", "x.uk", "b.com", "", "kawasaki.jp"}
+
+
+def test_targets_of_many_sources(spark):
+    """The level found by sums over sorted parts, against filling up one source after the other."""
+    sizes = [(f"s{i:04d}", (i * 7919) % 500 + (50_000 if i == 17 else 0)) for i in range(800)] + [(None, 3), ("empty", 0)]
+    got = {r["source"]: r["target"] for r in mixing.source_targets(spark.createDataFrame(sizes, "source string, size long").repartition(5)).collect()}
+    order = sorted((s for s, _ in sizes), key=lambda s: (s is None, s or ""))
+    weight, cap = {s: (5, 2, 1)[k % 3] for k, s in enumerate(order)}, {s: 3.0 * n for s, n in sizes}
+    left, open_ = float(sum(n for _, n in sizes)), set(order)
+    while True:
+        level = left / sum(weight[s] for s in open_)
+        full = {s for s in open_ if weight[s] * level > cap[s]}
+        if not full:
+            break
+        left, open_ = left - sum(cap[s] for s in full), open_ - full
+    assert all(abs(got[s] - (weight[s] * level if s in open_ else cap[s])) < 1e-6 * (1 + got[s]) for s in order)

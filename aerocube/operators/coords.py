@@ -37,11 +37,9 @@ def dateline_shift(pixels: DataFrame, *keys: str) -> DataFrame:
     shifted east by 360."""
     lon = F.col("lon")
     rows = pixels.withColumn("lon", F.when(lon < -180, lon + 360).when(lon > 180, lon - 360).otherwise(lon))
-    keys = keys or ("__all",)
-    rows = rows.withColumn("__all", F.lit(0)) if keys == ("__all",) else rows
-    wide = rows.groupBy(*keys).agg((F.max("lon") - F.min("lon") > 360).alias("__wide")).filter("__wide")
-    rows = rows.join(wide, list(keys), "left")
-    return rows.withColumn("lon", F.when(F.col("__wide") & (lon < 0), lon + 360).otherwise(lon)).drop("__wide", "__all")
+    wide = rows.groupBy(*keys).agg((F.max("lon") - F.min("lon") > 360).alias("__wide"))
+    rows = rows.join(wide.filter("__wide"), list(keys), "left") if keys else rows.crossJoin(F.broadcast(wide))  # one row
+    return rows.withColumn("lon", F.when(F.col("__wide") & (lon < 0), lon + 360).otherwise(lon)).drop("__wide")
 
 
 def affine_forward(col: Column, row: Column, transform: Column) -> tuple[Column, Column]:
@@ -51,11 +49,20 @@ def affine_forward(col: Column, row: Column, transform: Column) -> tuple[Column,
 
 
 def affine_inverse(x: Column, y: Column, transform: Column) -> tuple[Column, Column]:
-    """(col, row), fractional, of a place; NULL for a transform that can't be inverted."""
+    """(col, row), fractional, of a place; NULL for a transform that can't be inverted.
+
+    Rounded at nine decimals, so that a pixel's corner gives the pixel's own numbers and not a hair less, which would be the
+    pixel before."""
     t = lambda i: F.get(transform, F.lit(i))
     det = t(1) * t(5) - t(2) * t(4)
     dx, dy = x - t(0), y - t(3)
-    return F.try_divide(dx * t(5) - dy * t(2), det), F.try_divide(dy * t(1) - dx * t(4), det)
+    return F.round(F.try_divide(dx * t(5) - dy * t(2), det), 9), F.round(F.try_divide(dy * t(1) - dx * t(4), det), 9)
+
+
+def extent_pixels(text: Column) -> tuple[Column, Column]:
+    """(columns, rows) of extents such as `600x400`; NULL for others."""
+    number = lambda i: F.regexp_extract(text, r"^\s*(\d+)x(\d+)\s*$", i).try_cast("int")
+    return number(1), number(2)
 
 
 def extent(text: str) -> tuple[str, tuple[float, float]]:

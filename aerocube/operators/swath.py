@@ -18,6 +18,12 @@ from .regrid import auto_bbox
 SLACK = 1e-6
 
 
+def grids_of(boxes: DataFrame, keys: list[str], step: Column) -> DataFrame:
+    """(*keys, north, west, rows, columns, step, ...) of boxes (*keys, north, west, south, east, ...), cut to whole steps."""
+    size = lambda a, b: ((F.col(a) - F.col(b)) / F.col("step")).cast("int")
+    return boxes.withColumn("step", step).withColumns({"rows": size("north", "south"), "columns": size("east", "west")}).drop("south", "east")
+
+
 def own_grids(swath: DataFrame, keys: list[str], step: Column, reach_m: Column | None = None) -> DataFrame:
     """(*keys, north, west, rows, columns, step, reach_m): for each group of a swath (*keys, lat, lon) the grid over its
     pixels' box, cut to whole steps. Without reach_m it is the group's largest own `threshold`.
@@ -29,9 +35,7 @@ def own_grids(swath: DataFrame, keys: list[str], step: Column, reach_m: Column |
         boxes = boxes.join(placed.groupBy(*keys).agg(F.max("threshold").alias("reach_m")), keys)
     else:
         boxes = boxes.withColumn("reach_m", reach_m)
-    boxes = boxes.withColumn("step", step)
-    size = lambda a, b: ((F.col(a) - F.col(b)) / F.col("step")).cast("int")
-    return boxes.select(*keys, "north", "west", size("north", "south").alias("rows"), size("east", "west").alias("columns"), "step", "reach_m")
+    return grids_of(boxes, keys, step)
 
 
 def pixels(grids: DataFrame, keys: list[str]) -> DataFrame:

@@ -151,9 +151,10 @@ def std_atm_altitude(spark, d):
     return _on_lines(spark, d, h=r6(meteo.std_atm_altitude(F.col("l_quantity") * 20)))
 
 
-@query(f"SELECT CAST(i - 1 AS INT) AS level, round({BARO.format('p')}, 6) AS h FROM (SELECT unnest([5, 10, 20, 30, 50, 70, 100, 150, 200, 250, 300, 400, 500, 620, 700, 780, 850, 920, 950, 1000]) AS p, unnest(range(1, 21)) AS i)")
+@query(f"SELECT event_id, CAST(event_id % 20 AS INT) AS level, round({BARO.format('p')}, 6) AS h FROM (SELECT event_id, [5, 10, 20, 30, 50, 70, 100, 150, 200, 250, 300, 400, 500, 620, 700, 780, 850, 920, 950, 1000][event_id % 20 + 1] AS p FROM events)")
 def mod07_levels(spark, d):
-    return spark.range(1).select(F.posexplode(meteo.profile_heights()).alias("level", "h")).withColumn("h", r6("h"))
+    level = (F.col("event_id") % 20).cast("int")
+    return table(spark, d, "events").select("event_id", level.alias("level"), r6(F.get(meteo.profile_heights(), level)).alias("h"))
 
 
 @query(_sql(h="round((l_extendedprice + l_quantity * 100) / 9.81e0 - l_tax * 1000, 4)"))
@@ -306,9 +307,10 @@ def zone_id(spark, d):
     return _on_lines(spark, d, zone=geo.zone_id(lat, lon, step, size, size))
 
 
-@query("SELECT CAST(i AS INT) AS level, power(2e0, -(8 + i)) AS step FROM range(0, 11) t(i)")
+@query(_sql(level="CAST(l_orderkey % 11 AS INT)", step="power(2e0, -(8 + l_orderkey % 11))"))
 def zoom_step(spark, d):
-    return spark.range(11).select(F.col("id").cast("int").alias("level"), geo.zoom_step(F.col("id")).alias("step"))
+    level = (F.col("l_orderkey") % 11).cast("int")
+    return _on_lines(spark, d, level=level, step=geo.zoom_step(level))
 
 
 @query(_sql(v="round(l_quantity + l_discount * (l_tax - l_quantity) + l_tax * (l_linenumber - l_quantity) + l_discount * l_tax * (l_quantity + l_quantity - l_linenumber - l_tax), 6)"))

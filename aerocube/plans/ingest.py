@@ -34,7 +34,7 @@ def duplicate_antijoin(spark, d):
     return got.select("id")
 
 
-@query("SELECT p_brand AS name, row_number() OVER (ORDER BY p_brand) + 100 AS id FROM (SELECT DISTINCT p_brand FROM part WHERE p_brand <> 'Brand#1' AND p_brand NOT LIKE '%3%')")
+@query("SELECT p_brand AS name, row_number() OVER (ORDER BY substr(md5(p_brand), 1, 3), p_brand) + 100 AS id FROM (SELECT DISTINCT p_brand FROM part WHERE p_brand <> 'Brand#1' AND p_brand NOT LIKE '%3%')")
 def dim_antijoin(spark, d):
     brands = table(spark, d, "part").select(F.col("p_brand").alias("name"))
     known = brands.filter("name = 'Brand#1' or name like '%3%'").distinct().withColumn("id", F.lit(1))
@@ -104,30 +104,56 @@ def read_ground_xml(spark, d):
     return readers.read_ground_xml(spark, path).select("station", _show("t_start").alias("t"), "product", r6("value").alias("value"))
 
 
-@query("SELECT CAST(i + 1 AS BIGINT) AS record, CAST(i * 3 AS BIGINT) AS line, CAST(i * 5 AS BIGINT) AS \"column\", round(i * 0.002e0, 6) AS aot_865, round(i * 0.004e0, 6) AS aot_670, round(90 - (i * 3 - 0.5e0) / 6, 6) AS lat FROM range(1, 101) t(i)")
+def _polarimeter(spark, d, land: bool):
+    """Events as records, a hundred to a file; in each file those after the fiftieth begin a byte early."""
+    k, big = F.col("event_id"), lambda x, n: F.unhex(F.lpad(F.hex(x), 2 * n, "0"))
+    i, zeros = k % 100 + 1, lambda n: F.unhex(F.repeat(F.lit("00"), n))
+    depths = [big(k * 7 % 30_000, 2), zeros(12)] if land else [zeros(10), big(k * 7 % 30_000, 2), big(k * 11 % 30_000, 2)]
+    record = F.concat(big(i + 1, 4), big(F.lit(24), 2), big(k % 1000 * 3, 2), big(k % 1000 * 5, 2), *depths, F.when(i == 50, zeros(3)).otherwise(zeros(4)))
+    files = table(spark, d, "events").groupBy(F.floor(k / 100).alias("file")).agg(F.array_sort(F.collect_list(F.struct(i.alias("i"), record.alias("record")))).alias("all"))
+    body = F.aggregate("all", F.unhex(F.lit("")), lambda s, x: F.concat(s, x["record"]))
+    content = F.concat(zeros(52), big(F.size("all").cast("long"), 4), big(F.lit(28), 4), zeros(120), body)
+    return records.read_polarimeter(files.select(F.concat(F.lit("P3L2-"), F.col("file").cast("string")).alias("path"), content.alias("content")), land=land)
+
+
+@query("""SELECT 'P3L2-' || event_id // 100 AS path, event_id % 100 + 2 AS record, event_id % 1000 * 3 AS line, event_id % 1000 * 5 AS "column", round((event_id * 7 % 30000) * 0.002e0, 6) AS aot_865, round((event_id * 11 % 30000) * 0.002e0, 6) AS aot_670,
+  round(90 - (event_id % 1000 * 3 - 0.5e0) / 6, 6) AS lat FROM events""")
 def read_parasol_sea(spark, d):
-    """100 records, the last half of which begin a byte early."""
-    big = lambda x, n: F.unhex(F.lpad(F.hex(x), 2 * n, "0"))
-    one = lambda i: F.concat(big(i + 1, 4), big(F.lit(24), 2), big(i * 3, 2), big(i * 5, 2), F.unhex(F.repeat(F.lit("00"), 10)), big(i, 2), big(i * 2, 2))
-    body = F.transform(F.sequence(F.lit(1), F.lit(100)), lambda i: F.concat(one(i), F.when(i == 50, F.unhex(F.lit("000000"))).otherwise(F.unhex(F.lit("00000000")))))
-    content = F.concat(F.unhex(F.repeat(F.lit("00"), 52)), big(F.lit(100), 4), big(F.lit(28), 4), F.unhex(F.repeat(F.lit("00"), 120)), F.aggregate(body, F.unhex(F.lit("")), lambda s, x: F.concat(s, x)))
-    files = spark.range(1).select(F.lit("P3L2TOGC").alias("path"), content.alias("content"))
-    return records.read_polarimeter(files, land=False).select("record", "line", "column", r6("aot_865").alias("aot_865"), r6("aot_670").alias("aot_670"), r6("lat").alias("lat"))
+    return _polarimeter(spark, d, False).select("path", "record", "line", "column", r6("aot_865").alias("aot_865"), r6("aot_670").alias("aot_670"), r6("lat").alias("lat"))
+
+
+@query("SELECT 'P3L2-' || event_id // 100 AS path, event_id % 100 + 2 AS record, event_id % 1000 * 3 AS line, round((event_id * 7 % 30000) * 0.002e0, 6) AS aot FROM events")
+def read_parasol_land(spark, d):
+    return _polarimeter(spark, d, True).select("path", "record", "line", r6("aot").alias("aot"))
+
+
+#: Formats of files that lack their first item: those that fit two rules keep the other one's, those without items their own.
+_WITHOUT = {"wrf_so2": "wrf_ash3d", "mod04": "mod04", "cams": "macc"}
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"({i}, {'NULL' if m[0] is None else repr(m[0])})" for i, m in enumerate(fixtures.FILES)) + ") t(nth, format)")
+def _lacking(m) -> str | None:
+    return m[0] if not m[5] else _WITHOUT.get(m[0]) if m in fixtures.FILES[-3:] else None
+
+
+def _quoted(x) -> str:
+    return "CAST(NULL AS VARCHAR)" if x is None else repr(x)
+
+
+@query("SELECT event_id, CASE WHEN event_id % 7 = 3 THEN lacking ELSE format END AS format FROM events JOIN (VALUES " + ", ".join(f"({i}, {_quoted(m[0])}, {_quoted(_lacking(m))})" for i, m in enumerate(fixtures.FILES)) + f") f(nth, format, lacking) ON event_id % {len(fixtures.FILES)} = nth")
 def identify_formats(spark, d):
-    """One file of each format, near misses, and files that fit two."""
-    rows = [(i, *m[1:]) for i, m in enumerate(fixtures.FILES)]
-    made = spark.createDataFrame(rows, "nth int, name string, text string, head binary, container string, items array<string>, attributes array<string>")
-    return identify.identify(made).select("nth", "format")
+    """Each event a file of some format, near misses and files that fit two included; every seventh lacks its first item."""
+    kinds = spark.createDataFrame([(i, *m[1:]) for i, m in enumerate(fixtures.FILES)], "nth int, name string, text string, head binary, container string, items array<string>, attributes array<string>")
+    files = table(spark, d, "events").select("event_id", (F.col("event_id") % len(fixtures.FILES)).cast("int").alias("nth")).join(F.broadcast(kinds), "nth")  # a fixed table
+    files = files.withColumn("items", F.when(F.col("event_id") % 7 == 3, F.slice("items", 2, 1000)).otherwise(F.col("items")))
+    return identify.identify(files).select("event_id", "format")
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"({b!r}, {p!r})" for b, (_, left) in fixtures.BUNDLES.items() for p in left) + ") t(bundle, path)")
+@query("SELECT b || '-' || o_orderkey AS bundle, path FROM orders JOIN (VALUES " + ", ".join(f"({i}, {b!r}, {p!r})" for i, (b, (_, left)) in enumerate(fixtures.BUNDLES.items()) for p in left) + f") f(nth, b, path) ON o_orderkey % {len(fixtures.BUNDLES)} = nth")
 def read_zip(spark, d):
-    """What is left of bundles without side files."""
-    rows = [(b, i, p) for b, (names, _) in fixtures.BUNDLES.items() for i, p in enumerate(names)]
-    return identify.product_files(spark.createDataFrame(rows, "bundle string, nth int, path string"))
+    """Each order a bundle; what is left of it without side files."""
+    kinds = spark.createDataFrame([(k, b, i, p) for k, (b, (names, _)) in enumerate(fixtures.BUNDLES.items()) for i, p in enumerate(names)], "kind int, b string, nth int, path string")
+    orders = table(spark, d, "orders").select("o_orderkey", (F.col("o_orderkey") % len(fixtures.BUNDLES)).cast("int").alias("kind"))
+    return identify.product_files(orders.join(F.broadcast(kinds), "kind").select(F.concat_ws("-", "b", F.col("o_orderkey").cast("string")).alias("bundle"), "nth", "path")).select("bundle", "path")
 
 
 def _stream_table(spark, d, twice: bool):
@@ -156,9 +182,8 @@ def idempotent_ingest(spark, d):
 
 @query("SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS n, round(sum(value), 4) AS s FROM events GROUP BY 1")
 def daily_chunking(spark, d):
-    got = measurements(spark, d).groupBy(F.window("t", "1 day")).agg(F.count("*").alias("n"))
-    sums = table(spark, d, "events").groupBy(F.to_date("ts").alias("day")).agg(F.round(F.sum("value"), 4).alias("s"))
-    return got.select(F.to_date("window.start").alias("day"), "n").join(sums, "day").withColumn("day", F.col("day").cast("string"))
+    got = table(spark, d, "events").groupBy(F.window("ts", "1 day")).agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("s"))
+    return got.select(F.to_date("window.start").cast("string").alias("day"), "n", "s")
 
 
 @query("SELECT event_type AS product, count(*) AS n, round(sum(value), 4) AS s FROM events WHERE event_type IN ('view', 'purchase') GROUP BY 1")
@@ -171,14 +196,3 @@ def fan_out(spark, d):
     streams.fan_out(source, "event_type", sinks, f"{made}-state").awaitTermination()
     found = [spark.read.parquet(folder).select(F.lit(k).alias("product"), "value") for k, folder in sinks.items()]
     return found[0].unionByName(found[1]).groupBy("product").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("s"))
-
-
-@query("SELECT CAST(i + 1 AS BIGINT) AS record, CAST(i * 3 AS BIGINT) AS line, round(i * 0.002e0, 6) AS aot FROM range(1, 51) t(i)")
-def read_parasol_land(spark, d):
-    """50 records of the land product: the depth follows the column."""
-    big = lambda x, n: F.unhex(F.lpad(F.hex(x), 2 * n, "0"))
-    one = lambda i: F.concat(big(i + 1, 4), big(F.lit(24), 2), big(i * 3, 2), big(i * 5, 2), big(i, 2), F.unhex(F.repeat(F.lit("00"), 16)))
-    body = F.transform(F.sequence(F.lit(1), F.lit(50)), one)
-    content = F.concat(F.unhex(F.repeat(F.lit("00"), 52)), big(F.lit(50), 4), big(F.lit(28), 4), F.unhex(F.repeat(F.lit("00"), 120)), F.aggregate(body, F.unhex(F.lit("")), lambda s, x: F.concat(s, x)))
-    files = spark.range(1).select(F.lit("P3L2TLGC").alias("path"), content.alias("content"))
-    return records.read_polarimeter(files, land=True).select("record", "line", r6("aot").alias("aot"))

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from ..functions import geo
 from ..functions.values import num
 from ..operators import nearest, regrid
+from ..operators import swath as swaths
 from ..operators.stats import right_distances
-from .inputs import HAVERSINE, SAMPLES, SWATH, cells, cells_sql, r6, samples, swath
+from .inputs import HAVERSINE, SAMPLES, SWATH, cells, cells_sql, r6, samples, swath, table
 from .registry import query
 
 NORTH, WEST, STEP, ROWS, COLS = 24.0, -18.0, 1.5, 20, 20
@@ -25,10 +26,14 @@ def _map(spark, d, metres=150_000.0):
     return regrid.pixel_map(_target(spark), swath(spark, d), metres)
 
 
-@query(f"WITH {_TARGET} SELECT dst_row, dst_col, lat, lon FROM target")
+@query("""SELECT s_suppkey, CAST(r AS INT) AS dst_row, CAST(c AS INT) AS dst_col, s_suppkey % 140 - 60 - 0.25e0 * r AS lat, s_suppkey * 7 % 300 - 150 + 0.25e0 * c AS lon
+FROM (SELECT *, unnest(range(CAST(trunc((s_suppkey % 5 * 0.4e0 + 0.3e0) / 0.25e0) AS INT))) AS r FROM supplier), range(CAST(trunc((s_suppkey % 3 * 0.7e0 + 0.6e0) / 0.25e0) AS INT)) t(c)""")
 def regrid_bbox_ll(spark, d):
-    rows, columns = regrid.grid_size(NORTH, WEST, NORTH - ROWS * STEP, WEST + COLS * STEP, STEP)
-    return regrid.target_grid(spark, NORTH, WEST, rows, columns, STEP)
+    """A grid for the box of each supplier, cut to whole steps."""
+    k = F.col("s_suppkey")
+    north, west = (k % 140 - 60).cast("double"), (k * 7 % 300 - 150).cast("double")
+    boxes = table(spark, d, "supplier").select(k, north.alias("north"), west.alias("west"), (north - (k % 5 * num(0.4) + num(0.3))).alias("south"), (west + (k % 3 * num(0.7) + num(0.6))).alias("east"))
+    return swaths.pixels(swaths.grids_of(boxes, ["s_suppkey"], num(0.25)), ["s_suppkey"])
 
 
 @query(f"{_NEAR} SELECT dst_row, dst_col, value FROM n WHERE nth = 1 AND dist < 150000")

@@ -104,9 +104,11 @@ def star_join(spark, d):
     return subset.like_product(got, "ppb", "%").select(F.col("mid").alias("id"), "station", "measurement_unit", F.col("lat").alias("latitude"), "value")
 
 
-@query(f"WITH {PRODUCTS} SELECT id, product FROM products WHERE measurement_unit LIKE 'DU' AND product LIKE '%i%'")
+@query(f"WITH {MEASUREMENTS}, {PRODUCTS} SELECT m.id, product, value FROM measurements m JOIN products p USING (product) WHERE measurement_unit LIKE 'DU' AND product LIKE '%i%'")
 def like_product(spark, d):
-    return subset.like_product(products(spark), "DU", "%i%").select("id", "product")
+    """Measurements of the products whose unit and name fit two patterns."""
+    m = measurements(spark, d).select("id", "product", "value").join(products(spark).drop("id"), "product")
+    return subset.like_product(m, "DU", "%i%").select("id", "product", "value")
 
 
 @query("SELECT o_orderkey AS id, CASE o_orderkey % 3 WHEN 0 THEN 'DU' WHEN 1 THEN 'ppb' ELSE '%' END AS measurement_unit, 'A' || (o_orderkey % 3) AS application FROM orders")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo, values
 from ..operators import coords, regrid, subset, tiles
+from ..operators.swath import pixels
 from ..sources import rasters
 from ..streaming.ingest import work_folder
 from .expressions import SLAT, SLON, _at, _on_lines, utm_sql
@@ -40,20 +41,23 @@ def dateline_shift(spark, d):
     return coords.dateline_shift(table(spark, d, "events").select("event_id", (F.col("event_id") % 500 - 250).cast("double").alias("lon")))
 
 
-@query(_lines_sql("10 + l_linenumber * 0.5e0 + l_suppkey * 0.1e0 AS x, 60 + l_linenumber * 0.2e0 - l_suppkey * 0.5e0 AS y, CAST(l_linenumber AS DOUBLE) AS col, CAST(l_suppkey AS DOUBLE) AS row"))
+@query(_lines_sql("round(10 + l_linenumber * 0.5e0 + l_suppkey * 0.1e0, 6) AS x, round(60 + l_linenumber * 0.2e0 - l_suppkey * 0.5e0, 6) AS y, CAST(l_linenumber AS DOUBLE) AS col, CAST(l_suppkey AS DOUBLE) AS row"))
 def affine_coords(spark, d):
     """Pixels to places, and back."""
     transform = F.array(*map(F.lit, (10.0, 0.5, 0.1, 60.0, 0.2, -0.5)))
     x, y = coords.affine_forward(F.col("l_linenumber").cast("double"), F.col("l_suppkey").cast("double"), transform)
     col, row = coords.affine_inverse(x, y, transform)
-    return _on_lines(spark, d, x=x, y=y, col=col, row=row)
+    return _on_lines(spark, d, x=r6(x), y=r6(y), col=col, row=row)
 
 
-@query("SELECT CAST(i // 6 AS INT) AS dst_row, CAST(i % 6 AS INT) AS dst_col, 50 - (i // 6) * 0.5e0 AS lat, -3 + (i % 6) * 0.5e0 AS lon FROM range(0, 24) t(i)")
+@query("""SELECT s_suppkey, CAST(r AS INT) AS dst_row, CAST(c AS INT) AS dst_col, s_suppkey % 140 - 60 - 0.5e0 * r AS lat, s_suppkey * 7 % 300 - 150 + 0.5e0 * c AS lon
+FROM (SELECT *, unnest(range(s_suppkey % 4 + 1)) AS r FROM supplier), range(s_suppkey % 7 + 2) t(c)""")
 def regrid_bbox_px(spark, d):
-    kind, (columns, rows) = coords.extent("6x4")
-    assert kind == "pixels"
-    return regrid.target_grid(spark, 50.0, -3.0, rows, columns, 0.5)
+    """A grid of so many columns and rows for each supplier, from extents as text."""
+    k = F.col("s_suppkey")
+    columns, rows = coords.extent_pixels(F.concat((k % 7 + 2).cast("string"), F.lit("x"), (k % 4 + 1).cast("string")))
+    grids = table(spark, d, "supplier").select(k, (k % 140 - 60).cast("double").alias("north"), (k * 7 % 300 - 150).cast("double").alias("west"), columns.alias("columns"), rows.alias("rows"), F.lit(0.5).alias("step"))
+    return pixels(grids, ["s_suppkey"])
 
 
 @query(_lines_sql("'t_' || printf('%06.2f', lat / 4) || '_' || printf('%07.2f', lon / 4) || '.tif' AS name"))

@@ -43,9 +43,10 @@ CONTENTS = {
 }
 #: The order in which rules are tried.
 ORDER = (
-    "aura_l2_so2 aura_l2_aerosol aura_l3 bira gome_l2 lidar_ext lidar_bsc bascoe wrf_so2 cams macc wrf_ash3d wrf_ashcol aeronet cloudsat evdc flexpart mod04 mod07 eea lidar_bira alaro arome "
-    "sentinel parasol_land parasol_sea scisat osiris"
-).split()
+    "aura_l2_so2", "aura_l2_aerosol", "aura_l3", "bira", "gome_l2", "lidar_ext", "lidar_bsc", "bascoe", "wrf_so2", "cams", "macc", "wrf_ash3d",
+    "wrf_ashcol", "aeronet", "cloudsat", "evdc", "flexpart", "mod04", "mod07", "eea", "lidar_bira", "alaro", "arome", "sentinel", "parasol_land",
+    "parasol_sea", "scisat", "osiris",
+)
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 

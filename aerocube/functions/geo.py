@@ -140,11 +140,13 @@ def utm_zone(lon: Column) -> Column:
     return F.when(lon < 0, ((180 + lon) / 6).cast("int") + 1).otherwise((lon / 6).cast("int") + 31)
 
 
-def utm_forward(lat: Column, lon: Column) -> tuple[Column, Column]:
+def utm_forward(lat: Column, lon: Column, zone: Column | None = None) -> tuple[Column, Column]:
     """Easting and northing (m, negative in the south) on WGS 84: transverse Mercator as a series in the distance from the
-    central meridian, to the third power for the easting and the fourth for the northing."""
+    central meridian, to the third power for the easting and the fourth for the northing. zone: that of the place unless
+    given; one given is reached the short way around."""
     phi = F.radians(lat)
-    d = F.radians(lon - (6 * utm_zone(lon) - 183))
+    off = lon - (6 * (utm_zone(lon) if zone is None else zone) - 183)
+    d = F.radians(off if zone is None else F.when(off > 180, off - 360).when(off < -180, off + 360).otherwise(off))
     second = E2 / (1 - E2)
     nu = num(A) / F.sqrt(1 - E2 * F.pow(F.sin(phi), 2))
     t, c = F.pow(F.tan(phi), 2), second * F.pow(F.cos(phi), 2)

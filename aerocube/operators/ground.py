@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Hexadecimal digits by which keys are dealt: 16 ** 3 parts.
+#: Hexadecimal digits by which keys are dealt.
 DIGITS = 3
 NATURAL_KEY = ["station", "product", "value", "t_start", "t_end"]
 
@@ -29,19 +29,24 @@ def new_measurements(incoming: DataFrame, stored: DataFrame, keys: list[str] = N
     return fresh.join(old, same, "left_anti")
 
 
-def new_dimension_rows(incoming: DataFrame, dimension: DataFrame, key: str, first_id: int) -> DataFrame:
-    """(id, key) of keys that the dimension lacks, with ids after first_id.
+def numbered(rows: DataFrame, key: str, first_id: int, into: str = "id") -> DataFrame:
+    """rows, one per key, with numbers after first_id.
 
-    Ids have no gaps and depend on the new keys alone: keys are dealt into PARTS parts by the first digits of their MD5, and a
-    key's id is what the parts before hold, plus its place in its own part. So a rerun, or another writer who finds the same
-    keys new, gives the same ids, and no task sees all keys."""
-    fresh = incoming.select(key).filter(F.col(key).isNotNull()).distinct().join(dimension.select(key), key, "left_anti")
-    fresh = fresh.withColumn("part", F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, DIGITS), 16, 10).cast("int"))
-    counts = fresh.groupBy("part").agg(F.count("*").alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # PARTS rows at most
-    offsets = counts.select("part", before.alias("before"))
+    Numbers have no gaps and depend on the keys alone: keys are dealt into 16 ** DIGITS parts by the first digits of their MD5,
+    and a key's number is what the parts before hold, plus its place in its own part. So a rerun, or another writer who finds the
+    same keys new, gives the same numbers, and no task sees all keys."""
+    rows = rows.withColumn("part", F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, DIGITS), 16, 10).cast("int"))
+    counts = rows.groupBy("part").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # one row per part
     nth = F.row_number().over(Window.partitionBy("part").orderBy(key))
-    return fresh.join(F.broadcast(offsets), "part").select(key, (F.lit(first_id) + F.col("before") + nth).alias("id"))
+    numbers = rows.select("*", nth.alias("nth")).join(F.broadcast(counts.select("part", before.alias("before"))), "part")
+    return numbers.withColumn(into, F.lit(first_id) + F.col("before") + F.col("nth")).drop("part", "nth", "before")
+
+
+def new_dimension_rows(incoming: DataFrame, dimension: DataFrame, key: str, first_id: int) -> DataFrame:
+    """(id, key) of keys that the dimension lacks, with ids after first_id: those of numbered()."""
+    fresh = incoming.select(key).filter(F.col(key).isNotNull()).distinct().join(dimension.select(key), key, "left_anti")
+    return numbered(fresh, key, first_id)
 
 
 def upsert_stations(stored: DataFrame, incoming: DataFrame, update: bool = True) -> DataFrame:

@@ -46,7 +46,7 @@ def pixels(grids: DataFrame, keys: list[str]) -> DataFrame:
     return filled.select(*keys, *PIXEL, (F.col("north") - F.col("step") * F.col("dst_row")).alias("lat"), (F.col("west") + F.col("step") * F.col("dst_col")).alias("lon"))
 
 
-def _span(low: Column, high: Column, size: Column) -> Column:
+def span(low: Column, high: Column, size: Column) -> Column:
     """The whole numbers from low to high that are places among `size`."""
     first, last = F.greatest(F.ceil(low - SLACK), F.lit(0)).cast("int"), F.least(F.floor(high + SLACK), size - 1).cast("int")
     return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
@@ -61,12 +61,12 @@ def nearest_in_reach(swath: DataFrame, grids: DataFrame, keys: list[str], *carri
     angle = F.least(F.col("reach_m") / EARTH, F.lit(3.2))
     row = (F.col("north") - F.col("slat")) / F.col("step")
     wide = F.degrees(angle) / F.col("step")
-    s = s.withColumn("dst_row", F.explode(_span(row - wide, row + wide, F.col("rows"))))
+    s = s.withColumn("dst_row", F.explode(span(row - wide, row + wide, F.col("rows"))))
     s = s.withColumn("lat", F.col("north") - F.col("step") * F.col("dst_row"))
     # how many degrees of the row's parallel are in reach: the distance's formula, solved for the longitude
     q = (F.pow(F.sin(F.least(angle / 2, F.lit(1.5707963))), 2) - F.pow(F.sin(F.radians(F.col("lat") - F.col("slat")) / 2), 2)) / (F.cos(F.radians("lat")) * F.cos(F.radians("slat")))
     s = s.withColumn("half", F.when(q.between(0, 0.999), F.degrees(2 * F.asin(F.sqrt(q)))).when(q < 0, num(0)).otherwise(num(180)))
-    turned = [_span((F.col("slon") + turn - F.col("half") - F.col("west")) / F.col("step"), (F.col("slon") + turn + F.col("half") - F.col("west")) / F.col("step"), F.col("columns")) for turn in (-360, 0, 360)]
+    turned = [span((F.col("slon") + turn - F.col("half") - F.col("west")) / F.col("step"), (F.col("slon") + turn + F.col("half") - F.col("west")) / F.col("step"), F.col("columns")) for turn in (-360, 0, 360)]
     s = s.withColumn("dst_col", F.explode(F.concat(*turned))).withColumn("lon", F.col("west") + F.col("step") * F.col("dst_col"))
     s = s.withColumn("dist_m", haversine_m(F.col("lat"), F.col("lon"), F.col("slat"), F.col("slon"))).filter(F.col("dist_m") < F.col("reach_m"))
     best = F.min(F.struct("dist_m", (-F.col("src_row")).alias("r"), (-F.col("src_col")).alias("c"), *carried)).alias("b")

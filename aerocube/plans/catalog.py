@@ -113,3 +113,48 @@ def state_machine(spark, d):
     items = table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.lit("uploading").alias("status"))
     event = F.get(F.array(F.lit("fetched"), F.lit("fetch_failed"), F.lit("synced")), (F.col("id") % 4).cast("int"))
     return ops.advance(items, items.select("id", event.alias("event")))
+
+
+_MOVES = ", ".join(f"('{a}', '{e}', '{b}')" for a, e, b in ops.TRANSITIONS)
+_NAMES = "fetched converted loaded synced failed sync_failed fetched".split()
+_EVENTS = f"""items AS (SELECT o_orderkey AS id, 'uploading' AS status FROM orders),
+ev AS (SELECT l_orderkey AS id, TIMESTAMP '2024-01-01' + to_hours(l_linenumber) + to_minutes(CAST(l_suppkey % 50 AS INT)) AS t, [{', '.join(map(repr, _NAMES))}][CASE WHEN l_partkey % 6 = 0 THEN l_partkey % 7 ELSE l_linenumber - 1 END + 1] AS event FROM lineitem),
+e AS (SELECT DISTINCT * FROM ev), n AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY t, event) AS nth FROM e), m(was, event, next) AS (VALUES {_MOVES}),
+f AS (SELECT id, CAST(0 AS BIGINT) AS nth, status, CAST(NULL AS TIMESTAMP) AS since, CAST(0 AS BIGINT) AS moves, CAST(0 AS BIGINT) AS lost FROM items UNION ALL
+  SELECT f.id, n.nth, coalesce(next, status), CASE WHEN next IS NULL THEN since ELSE t END, moves + CASE WHEN next IS NULL THEN 0 ELSE 1 END, lost + CASE WHEN next IS NULL THEN 1 ELSE 0 END FROM f JOIN n ON n.id = f.id AND n.nth = f.nth + 1 LEFT JOIN m ON was = status AND m.event = n.event)"""
+
+
+def _followed(spark, d):
+    """Orders as items, their lines as events: late ones, repeated ones and such as don't fit."""
+    items = table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.lit("uploading").alias("status"))
+    k, n = F.col("l_partkey"), F.col("l_linenumber")
+    name = F.get(F.array(*map(F.lit, _NAMES)), F.when(k % 6 == 0, k % 7).otherwise(n - 1).cast("int"))
+    seconds = F.unix_seconds(F.lit("2024-01-01").cast("timestamp")) + n * 3600 + F.col("l_suppkey") % 50 * 60
+    events = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("id"), F.timestamp_seconds(seconds).alias("t"), name.alias("event"))
+    return ops.follow(items, events)
+
+
+@query(f"WITH RECURSIVE {_EVENTS} SELECT id, arg_max(status, nth) AS status, max(moves) AS n_moves, max(lost) AS n_rejected FROM f GROUP BY id")
+def state_sequences(spark, d):
+    return _followed(spark, d).select("id", "status", (F.size("path") - 1).cast("long").alias("n_moves"), F.size("rejected").cast("long").alias("n_rejected"))
+
+
+@query(f"""WITH RECURSIVE {_EVENTS}, p AS (SELECT id, moves, any_value(status) AS status, any_value(since) AS since FROM f GROUP BY id, moves)
+SELECT status, count(*) AS n, CAST(sum(seconds) AS BIGINT) AS seconds FROM (SELECT *, epoch(lead(since) OVER (PARTITION BY id ORDER BY moves)) - epoch(since) AS seconds FROM p) GROUP BY status""")
+def state_times(spark, d):
+    """How many items were in each state, and how long."""
+    return _followed(spark, d).select(F.explode("path").alias("p")).groupBy("p.status").agg(F.count("*").alias("n"), F.sum("p.seconds").alias("seconds"))
+
+
+@query(f"""WITH {COLLECTIONS}, o AS (SELECT id, 'cov' || CAST(k AS VARCHAR) || '_' || CAST(id % 7 AS VARCHAR) || '_v1_tif' AS c, '/m/' || CAST(k AS VARCHAR) AS loc FROM collections, range(3) t(k) WHERE k < id % 4),
+n AS (SELECT *, count(*) OVER (PARTITION BY id) AS n, row_number() OVER (PARTITION BY id ORDER BY c DESC) AS nth, CAST(id AS VARCHAR) || '/' || c || '/' || loc AS key FROM o),
+x AS (SELECT *, 1000000 + row_number() OVER (ORDER BY substr(md5(key), 1, 3), key) AS new_id FROM n WHERE nth > 1)
+SELECT id, name || CASE WHEN n > 1 THEN ' ' || regexp_replace(c, '_v1_tif$', '') ELSE '' END AS name, coalesce(c, coverage_id) AS coverage_id, coalesce(loc, '/up') AS location, CASE WHEN c IS NULL THEN 'processed' ELSE 'mwcs_processed' END AS status FROM collections LEFT JOIN (SELECT * FROM n WHERE nth = 1) USING (id)
+UNION ALL SELECT new_id, name || ' ' || regexp_replace(c, '_v1_tif$', ''), c, loc, 'mwcs_processed' FROM x JOIN collections USING (id)""")
+def upload_fan_out(spark, d):
+    """Uploads that brought forth none to three coverages."""
+    c = collections(spark, d).select("id", "name", "coverage_id", F.lit("/up").alias("location"), F.lit("processed").alias("status"))
+    k = F.col("k").cast("string")
+    outputs = c.select("id", F.explode(F.array(*map(F.lit, range(3)))).alias("k")).filter("k < id % 4")
+    outputs = outputs.select("id", F.concat(F.lit("cov"), k, F.lit("_"), (F.col("id") % 7).cast("string"), F.lit("_v1_tif")).alias("coverage_id"), F.concat(F.lit("/m/"), k).alias("location"))
+    return ops.fan_rows(c, outputs, 1_000_000, "mwcs_processed")

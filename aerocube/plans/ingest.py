@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import ground
@@ -186,13 +188,13 @@ def daily_chunking(spark, d):
     return got.select(F.to_date("window.start").cast("string").alias("day"), "n", "s")
 
 
-@query("SELECT event_type AS product, count(*) AS n, round(sum(value), 4) AS s FROM events WHERE event_type IN ('view', 'purchase') GROUP BY 1")
+@query("SELECT event_type AS product, count(*) AS n, round(sum(value), 4) AS s FROM events GROUP BY 1")
 def fan_out(spark, d):
     """A stream of events, written by kind to folders of their own, and what these hold."""
     made = f"{streams.work_folder(spark)}/fan-{uuid.uuid4().hex}"
     schema = spark.read.parquet(f"{d}/events.parquet").schema
     source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").option("recursiveFileLookup", "true").parquet(d)
-    sinks = {k: f"{made}/{k}" for k in ("view", "purchase")}
-    streams.fan_out(source, "event_type", sinks, f"{made}-state").awaitTermination()
-    found = [spark.read.parquet(folder).select(F.lit(k).alias("product"), "value") for k, folder in sinks.items()]
-    return found[0].unionByName(found[1]).groupBy("product").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("s"))
+    sinks = {k: f"{made}/{k}" for k in ("click", "view", "purchase", "signup", "error")}
+    streams.fan_out(source, "event_type", sinks, f"{made}/ledger", f"{made}-state").awaitTermination()
+    found = [streams.fanned(spark, folder, f"{made}/ledger").select(F.lit(k).alias("product"), "value") for k, folder in sinks.items()]
+    return functools.reduce(DataFrame.unionByName, found).groupBy("product").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("s"))

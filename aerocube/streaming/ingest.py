@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,18 +61,56 @@ def append_new(stream: DataFrame, store: str, checkpoint: str, keys: list[str] =
     return (writer.trigger(availableNow=True) if seconds is None else writer.trigger(processingTime=f"{seconds} seconds")).start()
 
 
-def fan_out(stream: DataFrame, column: str, sinks: dict[str, str], checkpoint: str) -> StreamingQuery:
-    """Writes each kind of row to its own Parquet folder, from one pass over each batch."""
+def _committed(spark: SparkSession, ledger: str, entry: str):
+    """The file system and path of a ledger's entry, and whether it is there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{ledger}/{entry}")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files, path, files.exists(path)
+
+
+def _commit(spark: SparkSession, ledger: str, entry: str, attempt: str) -> None:
+    """Puts an entry that names an attempt into the ledger, unless another one is there. A file is written apart and renamed, so
+    an entry is there as a whole or not at all."""
+    files, path, _ = _committed(spark, ledger, entry)
+    apart = spark._jvm.org.apache.hadoop.fs.Path(f"{ledger}/_{attempt}")
+    out = files.create(apart, True)
+    out.write(bytearray(attempt.encode()))
+    out.close()
+    if not files.rename(apart, path):
+        files.delete(apart, False)
+
+
+def fan_out(stream: DataFrame, column: str, sinks: dict[str, str], ledger: str, checkpoint: str) -> StreamingQuery:
+    """Writes each kind of row to its own Parquet folder, each batch exactly once and to all folders at once.
+
+    A batch is written to folders of its own, one in each sink, named by the attempt; these become visible together, by a single
+    entry of the ledger that is put there last. A batch that fails between two sinks leaves folders that no entry names,
+    and is written anew; one that is run again after its entry was put there is left alone. Read sinks by fanned(). Rows of
+    other kinds go nowhere. Streams that share a ledger are told apart by their checkpoints."""
 
     def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        entry = f"{hashlib.md5(checkpoint.encode()).hexdigest()}-{number}"
+        if _committed(spark, ledger, entry)[2]:
+            return
+        attempt = f"{entry}-{uuid.uuid4().hex}"
         batch.persist()
-        for kind, folder in sinks.items():
-            batch.filter(F.col(column) == kind).write.mode("append").parquet(folder)
-        batch.unpersist()
+        try:
+            for kind, folder in sinks.items():
+                batch.filter(F.col(column) == kind).write.parquet(f"{folder}/attempt={attempt}")
+            _commit(spark, ledger, entry, attempt)
+        finally:
+            batch.unpersist()
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def fanned(spark: SparkSession, folder: str, ledger: str) -> DataFrame:
+    """What a sink of fan_out() holds: the rows of the attempts that the ledger names."""
+    named = spark.read.text(ledger).select(F.col("value").alias("attempt"))  # files that begin with _ aren't read
+    return spark.read.parquet(folder).join(named, "attempt", "left_semi").drop("attempt")
+
+
 def daily_chunks(stream: DataFrame, t: str, aggregate: Callable[[DataFrame], DataFrame], late: str = "1 day") -> DataFrame:
     """Per day of event time; days close once the watermark passes (the watermark is this library's own addition)."""
     windowed = stream.withColumn(t, F.col(t).cast("timestamp")).withWatermark(t, late)

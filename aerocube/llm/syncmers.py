@@ -17,15 +17,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small
+from .common import small, work_table
 
 # the last code point of all, which the class has anyway, makes Java look behind by code points instead of UTF-16 units
 TOKEN = "((?<=[[^\\x20\\x09-\\x0D]\U0010FFFF]{16})[^\\x20\\x09-\\x0D]|[^\\x20\\x09-\\x0D]{1,4})"
 K = 4
 #: Tokens by which a place may be off: a tenth of the shorter text's, at least so many.
 SLACK = 16
-#: Bytes of text in a range of ids.
-RANGE = 64_000_000
+#: Bytes of text in a range of ids, and ranges at most, since each task holds the orders that cut them: beyond 1.6 TB of text
+#: ranges grow instead.
+RANGE, MOST_RANGES = 16_000_000, 100_000
 _SIDE = 1 << 31  # marks the other text's anchors when both are sorted together
 
 
@@ -133,18 +134,20 @@ def with_next(docs: DataFrame, id_: str, text: str, range_bytes: int = RANGE) ->
     text and anchors, and what likeness() needs of it and of the following row.
 
     After the last row comes the first; rows of one id are ordered by their text's hash, null ids come last. Ids may be
-    numbers or strings; null texts are empty; other columns, of any name, don't matter; an empty table gives no
-    rows. Rows are cut into ranges of about range_bytes of text at orders that a range partitioning of the ids
+    numbers or strings; null texts are empty; very long ones are read whole; other columns, of any name, don't matter; an
+    empty table gives no rows. Rows are cut into ranges of about range_bytes of text at orders that a range partitioning of the ids
     finds, so ranges grow in number and not in size, and many rows of one id or none are cut too. Each range is
     sorted by itself and also gets a copy of the first row of the range below. Texts move once, anchors don't.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0  # one number
     order = F.struct(F.col("id"), F.bitwise_not(F.xxhash64("text")).alias("h"))
-    cuts = _cuts(rows, order, max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // range_bytes + 1))
-    rows = rows.withColumn("order", order).withColumn("range", _range_of(F.col("order"), cuts, rows.schema["id"].dataType.simpleString()))
-    firsts = rows.groupBy("range").agg(F.max("order").alias("first"))
+    orders = work_table(rows.select(order.alias("order"), F.octet_length("text").cast("long").alias("bytes")))  # without the texts
+    size = orders.agg(F.sum("bytes")).first()[0] or 0  # one number
+    cuts = _cuts(orders, F.col("order"), min(max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // range_bytes + 1), MOST_RANGES))
+    ranged = _range_of(F.col("order"), cuts, rows.schema["id"].dataType.simpleString())
+    rows = rows.withColumn("order", order).withColumn("range", ranged)
+    firsts = work_table(orders.groupBy(ranged.alias("range")).agg(F.max("order").alias("first")))
     along = Window.orderBy("range")  # one row per range
     around = F.coalesce(F.lead("range").over(along), F.min("range").over(Window.partitionBy()))
     firsts = small(firsts.select("range", "first", around.alias("to")), 1_000_000)

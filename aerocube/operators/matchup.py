@@ -68,9 +68,9 @@ def point_to_cell(points: DataFrame, x0: float, dx: float, y0: float, dy: float,
     return out.filter(F.col("row").between(0, rows - 1) & F.col("col").between(0, columns - 1))
 
 
-def values_through_time(points: DataFrame, cells: DataFrame) -> DataFrame:
-    """Values of gridded coverages at points (point_id, row, col) over time."""
-    return points.join(cells, ["row", "col"]).select("point_id", "coverage_id", "t", "value")
+def values_through_time(points: DataFrame, cells: DataFrame, *more: str) -> DataFrame:
+    """Values of gridded coverages (coverage_id, row, col, t, value, *more) at points (point_id, row, col) over time."""
+    return points.join(cells, ["row", "col"]).select("point_id", "coverage_id", *more, "t", "value")
 
 
 def volume_values(points: DataFrame, stacks: DataFrame) -> DataFrame:

@@ -126,10 +126,15 @@ def tile_walk(tiles: DataFrame, columns: int) -> DataFrame:
     return tiles.withColumn("nth", F.col("tile_row") * columns + along)
 
 
-def drop_blank_tiles(tiled: DataFrame, blank: float | None = None) -> DataFrame:
-    """Tiles with their numbers of blank pixels; those that are blank all over are left out."""
+def blank_counts(tiled: DataFrame, blank: float | None = None, *keys: str) -> DataFrame:
+    """(*keys, tile_row, tile_col, n, n_blank): tiles with their numbers of pixels and of blank ones."""
     is_blank = F.col("value").isNull() if blank is None else F.col("value").isNull() | (F.col("value") == blank)
-    return tiled.groupBy("tile_row", "tile_col").agg(F.count("*").alias("n"), F.count_if(is_blank).alias("n_blank")).filter("n_blank < n")
+    return tiled.groupBy(*keys, "tile_row", "tile_col").agg(F.count("*").alias("n"), F.count_if(is_blank).alias("n_blank"))
+
+
+def drop_blank_tiles(tiled: DataFrame, blank: float | None = None, *keys: str) -> DataFrame:
+    """blank_counts() without the tiles that are blank all over."""
+    return blank_counts(tiled, blank, *keys).filter("n_blank < n")
 
 
 def allowed_tiles(tiles: DataFrame, allow: DataFrame) -> DataFrame:

@@ -46,10 +46,10 @@ def point_to_cell(spark, d):
 _AT = f"p AS (SELECT id AS point_id, {_CELL} FROM stations), c AS (SELECT coverage_id, row, col, level_idx, CAST(CAST(t AS DATE) AS VARCHAR) AS t, avg(value) AS value FROM samples GROUP BY ALL)"
 
 
-@query(f"WITH {STATIONS}, {SAMPLES}, {_AT} SELECT point_id, coverage_id, t, round(value, 6) AS value FROM p JOIN c USING (row, col) WHERE level_idx = 1")
+@query(f"WITH {STATIONS}, {SAMPLES}, {_AT} SELECT point_id, coverage_id, level_idx, t, round(value, 6) AS value FROM p JOIN c USING (row, col)")
 def wps_values_through_time(spark, d):
-    c = samples(spark, d).filter("level_idx = 1").groupBy("coverage_id", "row", "col", F.to_date("t").cast("string").alias("t")).agg(r6(F.avg("value")).alias("value"))
-    return matchup.values_through_time(_points(spark, d), c)
+    c = samples(spark, d).groupBy("coverage_id", "level_idx", "row", "col", F.to_date("t").cast("string").alias("t")).agg(r6(F.avg("value")).alias("value"))
+    return matchup.values_through_time(_points(spark, d), c, "level_idx")
 
 
 @query(f"WITH {STATIONS}, {SAMPLES}, {_AT} SELECT point_id, coverage_id, t, CAST(row_number() OVER (PARTITION BY point_id, coverage_id, t ORDER BY level_idx) - 1 AS INT) AS level, round(value, 6) AS value FROM p JOIN c USING (row, col)")

@@ -20,4 +20,4 @@ def query(sql: str | None = None, name: str | None = None):
     return register
 
 
-from . import algebra, aligned, catalog, expressions, ingest, matchups, pyramids, readers, regrids, statistics, swaths, tiles  # noqa: E402, F401
+from . import algebra, aligned, catalog, expressions, ingest, matchups, models, pyramids, readers, regrids, statistics, swaths, tiles  # noqa: E402, F401

@@ -120,30 +120,33 @@ def tiepoint_interp(spark, d):
     return regrid.tiepoint_interp(ties, 4, 20, "lon", longitude=True).withColumn("lon", r6("lon"))
 
 
-_TILED = f"WITH {SAMPLES}, {cells_sql('A', 'a')}, t AS (SELECT row // 4 AS tile_row, col // 6 AS tile_col, value FROM a WHERE level_idx = 1)"
+_TILED = f"WITH {SAMPLES}, a AS (SELECT coverage_id, row, col, level_idx, avg(value) AS value FROM samples GROUP BY ALL), t AS (SELECT coverage_id, level_idx, row // 4 AS tile_row, col // 6 AS tile_col, value FROM a)"
+LAYER = ["coverage_id", "level_idx"]
 
 
 def _tiled(spark, d):
-    return regrid.add_tiles(cells(spark, d, "A").filter("level_idx = 1"), 4, 6)
+    """All levels of all coverages, in tiles of 4 by 6 cells."""
+    return regrid.add_tiles(samples(spark, d).groupBy("coverage_id", "row", "col", "level_idx").agg(F.avg("value").alias("value")), 4, 6)
 
 
-@query(f"{_TILED} SELECT tile_row, tile_col, tile_row * 6 + CASE WHEN tile_row % 2 = 0 THEN tile_col ELSE 5 - tile_col END AS nth, count(*) AS n, round(avg(value), 6) AS value FROM t GROUP BY ALL")
+@query(f"{_TILED} SELECT coverage_id, level_idx, tile_row, tile_col, tile_row * 6 + CASE WHEN tile_row % 2 = 0 THEN tile_col ELSE 5 - tile_col END AS nth, count(*) AS n, round(avg(value), 6) AS value FROM t GROUP BY ALL")
 def grid_tiles(spark, d):
-    tiles = _tiled(spark, d).groupBy("tile_row", "tile_col").agg(F.count("*").alias("n"), r6(F.avg("value")).alias("value"))
+    tiles = _tiled(spark, d).groupBy(*LAYER, "tile_row", "tile_col").agg(F.count("*").alias("n"), r6(F.avg("value")).alias("value"))
     return regrid.tile_walk(tiles, 6)
 
 
-@query(f"{_TILED} SELECT tile_row, tile_col, count(*) AS n, count(*) FILTER (WHERE value IS NULL OR value = 0) AS n_blank FROM (SELECT tile_row, tile_col, CASE WHEN tile_row = 1 THEN 0 ELSE value END AS value FROM t) GROUP BY ALL HAVING count(*) FILTER (WHERE value IS NULL OR value = 0) < count(*)")
+@query(f"{_TILED} SELECT coverage_id, level_idx, tile_row, tile_col, count(*) AS n, count(*) FILTER (WHERE value IS NULL OR value = 0) AS n_blank FROM (SELECT coverage_id, level_idx, tile_row, tile_col, CASE WHEN tile_row = 1 THEN 0 ELSE value END AS value FROM t) GROUP BY ALL HAVING count(*) FILTER (WHERE value IS NULL OR value = 0) < count(*)")
 def tile_skip_blank(spark, d):
-    return regrid.drop_blank_tiles(_tiled(spark, d).withColumn("value", F.when(F.col("tile_row") == 1, num(0)).otherwise(F.col("value"))), 0.0)
+    return regrid.drop_blank_tiles(_tiled(spark, d).withColumn("value", F.when(F.col("tile_row") == 1, num(0)).otherwise(F.col("value"))), 0.0, *LAYER)
 
 
-@query(f"{_TILED} SELECT DISTINCT tile_row, tile_col FROM t WHERE tile_row = 2 OR (tile_row = 3 AND tile_col = 1)")
+@query(f"{_TILED} SELECT DISTINCT coverage_id, level_idx, tile_row, tile_col FROM t WHERE tile_row = 2 OR (tile_row = 3 AND tile_col = 1)")
 def good_tile_semi(spark, d):
     allow = spark.createDataFrame([(2, c) for c in range(6)] + [(3, 1), (9, 9)], "tile_row int, tile_col int")
-    return regrid.allowed_tiles(_tiled(spark, d).select("tile_row", "tile_col").distinct(), allow)
+    return regrid.allowed_tiles(_tiled(spark, d).select(*LAYER, "tile_row", "tile_col").distinct(), allow)
 
 
-@query(f"{_TILED} SELECT tile_row, tile_col, count(*) FILTER (WHERE value IS NULL OR value > 30) AS n_blank FROM t GROUP BY ALL")
+@query(f"{_TILED} SELECT coverage_id, level_idx, tile_row, tile_col, count(*) FILTER (WHERE value IS NULL OR value > 30) AS n_blank FROM t GROUP BY ALL")
 def blank_count(spark, d):
-    return _tiled(spark, d).groupBy("tile_row", "tile_col").agg(F.count_if(F.col("value").isNull() | (F.col("value") > 30)).alias("n_blank"))
+    """Blank are missing values and those over 30."""
+    return regrid.blank_counts(_tiled(spark, d).withColumn("value", F.when(F.col("value") <= 30, F.col("value"))), None, *LAYER).drop("n")

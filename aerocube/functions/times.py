@@ -50,5 +50,16 @@ def line_time(start: Column, end: Column, line: Column, lines: Column) -> Column
     return (start + line * span / lines) % 86_400
 
 
+def line_stamp(start: Column, end: Column, line: Column, lines: Column) -> Column:
+    """The time at a scan line as text, from those of the first and last line: `101530` where they are clock times `10:15:30`,
+    `20150601_101530` where they are `2015:06:01:10:15:30`. A pass may cross midnight. Seconds are rounded; NULL for other texts."""
+    clock = lambda t: F.unix_seconds(F.try_to_timestamp(F.concat(F.lit("1970-01-01 "), F.right(t, F.lit(8))), F.lit("yyyy-MM-dd HH:mm:ss")))
+    first, last = clock(start), clock(end)
+    seconds = F.floor(first + line * (F.when(last < first, last + 86_400).otherwise(last) - first) / lines + 0.5).cast("long")
+    day = F.unix_seconds(F.try_to_timestamp(F.left(start, F.lit(10)), F.lit("yyyy:MM:dd")))
+    dated = F.date_format(F.timestamp_seconds(day + seconds), "yyyyMMdd_HHmmss")
+    return F.when(F.length(start) == 8, F.date_format(F.timestamp_seconds(F.pmod(seconds, F.lit(86_400))), "HHmmss")).when(F.length(start) == 19, dated)
+
+
 def iso(text: Column) -> Column:
     return F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mm:ssX"))

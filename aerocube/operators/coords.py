@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import utm_inverse
@@ -32,6 +32,42 @@ def control_points(lines: DataFrame) -> DataFrame:
     return points.select("file", F.when(flat, F.col("a")).otherwise(lon).alias("lon"), F.when(flat, F.col("b")).otherwise(lat).alias("lat"), "x", "y")
 
 
+def point_spacing(points: DataFrame, keys: list[str]) -> DataFrame:
+    """(*keys, wide, high): how many columns and rows lie between neighbouring control points (*keys, row, col) of each grid, 0 where
+    there are no gaps; the least distance along a row and along a column."""
+    gap = lambda along, by: F.col(along) - F.lag(along).over(Window.partitionBy(*keys, by).orderBy(along)) - 1
+    once = points.select(*keys, "row", "col").distinct()
+    gaps = once.select(*keys, gap("col", "row").alias("wide"), gap("row", "col").alias("high"))
+    return gaps.groupBy(*keys).agg(F.coalesce(F.min("wide"), F.lit(0)).alias("wide"), F.coalesce(F.min("high"), F.lit(0)).alias("high"))
+
+
+def densify(points: DataFrame, sizes: DataFrame, keys: list[str]) -> DataFrame:
+    """(*keys, row, col, lat, lon): all pixels of each grid (sizes: *keys, rows, columns) from its control points (*keys, row, col, lat,
+    lon).
+
+    The spacing of a grid's points is measured, and a pixel between them gets the mean of those within so many columns and
+    rows, a point at distance d weighing (1 - d / sum of d) / (n - 1). Means are taken of directions on the sphere, so the date
+    line and poles are as good as any other place. Each point is sent to the pixels around it, so a pixel meets about four of
+    them; its sums are begun before the shuffle. Pixels without a point in reach are missing; of several points of one pixel the
+    one with the greatest lat and lon counts."""
+    known = points.filter("lat is not null and lon is not null").groupBy(*keys, "row", "col").agg(F.max(F.struct("lat", "lon")).alias("p")).select(*keys, "row", "col", "p.*")
+    lat, lon = F.radians("lat"), F.radians("lon")
+    near = known.join(point_spacing(known, keys), keys).join(sizes, keys).withColumns({"x": F.cos(lat) * F.cos(lon), "y": F.cos(lat) * F.sin(lon), "z": F.sin(lat)})
+    around = lambda at, by, size: F.explode(F.sequence(F.greatest(F.col(at) - F.col(by), F.lit(0)).cast("int"), F.least(F.col(at) + F.col(by), F.col(size) - 1).cast("int")))
+    sent = near.withColumn("to_row", around("row", "high", "rows")).withColumn("to_col", around("col", "wide", "columns"))
+    d = F.sqrt(F.pow(F.col("to_row") - F.col("row"), 2) + F.pow(F.col("to_col") - F.col("col"), 2))
+    # sum of v (1 - d / D) / (n - 1) = (sum v - sum v d / D) / (n - 1)
+    sums = [F.sum(v).alias(v) for v in "xyz"] + [F.sum(F.col(v) * d).alias(f"{v}d") for v in "xyz"]
+    got = sent.groupBy(*keys, F.col("to_row").alias("row"), F.col("to_col").alias("col")).agg(F.count("*").alias("n"), F.sum(d).alias("d"), *sums)
+    mean = {v: F.when(F.col("n") == 1, F.col(v)).otherwise((F.col(v) - F.try_divide(f"{v}d", "d")) / (F.col("n") - 1)) for v in "xyz"}
+    got = got.select(*keys, "row", "col", *[c.alias(v) for v, c in mean.items()])
+    got = got.select(*keys, "row", "col", F.degrees(F.atan2(F.col("z"), F.sqrt(F.col("x") ** 2 + F.col("y") ** 2))).alias("mean_lat"), F.degrees(F.atan2("y", "x")).alias("mean_lon"))
+    every = sizes.filter("rows > 0 and columns > 0").withColumn("row", F.explode(F.sequence(F.lit(0), F.col("rows") - 1))).repartition(*keys, "row")
+    every = every.withColumn("col", F.explode(F.sequence(F.lit(0), F.col("columns") - 1))).select(*keys, "row", "col")
+    out = every.join(known, [*keys, "row", "col"], "left").join(got, [*keys, "row", "col"], "left")
+    return out.select(*keys, "row", "col", F.coalesce("lat", "mean_lat").alias("lat"), F.coalesce("lon", "mean_lon").alias("lon"))
+
+
 def dateline_shift(pixels: DataFrame, *keys: str) -> DataFrame:
     """pixels with lon between -180 and 180, and where a group's longitudes then span over 360 degrees the negative ones
     shifted east by 360."""

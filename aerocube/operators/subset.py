@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.geo import utm_forward
 from ..functions.values import num
 
 
@@ -75,18 +76,22 @@ def check_download(df: DataFrame, start: str, end: str, most_days: int = 15, mos
     return out
 
 
-#: Element and attribute names of coverage requests.
-REQUEST = """<wcs:GetCoverage service="WCS" version="2.0.0" xmlns:wcs="http://www.opengis.net/wcs/2.0"><wcs:CoverageId>{}</wcs:CoverageId><wcs:DimensionTrim><wcs:Dimension>x</wcs:Dimension><wcs:TrimLow>{}</wcs:TrimLow><wcs:TrimHigh>{}</wcs:TrimHigh></wcs:DimensionTrim><wcs:DimensionTrim><wcs:Dimension>y</wcs:Dimension><wcs:TrimLow>{}</wcs:TrimLow><wcs:TrimHigh>{}</wcs:TrimHigh></wcs:DimensionTrim><wcs:format>{}</wcs:format></wcs:GetCoverage>"""
+#: Element and attribute names of coverage requests, and the coordinate system of their limits.
+REQUEST = """<wcs:GetCoverage service="WCS" version="2.0.0" xmlns:wcs="http://www.opengis.net/wcs/2.0"><wcs:CoverageId>{}</wcs:CoverageId><wcs:format>{}</wcs:format>{}{}</wcs:GetCoverage>"""
+TRIM = """<wcs:DimensionTrim><wcs:Dimension crs="{}">{}</wcs:Dimension><wcs:TrimLow>{}</wcs:TrimLow><wcs:TrimHigh>{}</wcs:TrimHigh></wcs:DimensionTrim>"""
+OUTPUT = "<wcs:OutputCrs>{}</wcs:OutputCrs>"
+WGS84 = "http://www.opengis.net/def/crs/EPSG/0/4326"
 
 
-def coverage_request(coverage: str, west: float, east: float, south: float, north: float, form: str = "image/tiff") -> str:
+def coverage_request(coverage: str, west: float, east: float, south: float, north: float, form: str = "image/tiff", output_crs: str | None = None, subset_crs: str = WGS84) -> str:
     """The XML text of a request for a coverage within a box."""
     escaped = coverage.replace("&", "&amp;").replace("<", "&lt;")
-    return REQUEST.format(escaped, west, east, south, north, form)
+    trims = TRIM.format(subset_crs, "x", west, east) + TRIM.format(subset_crs, "y", south, north)
+    return REQUEST.format(escaped, form, trims, OUTPUT.format(output_crs) if output_crs else "")
 
 
 def parse_requests(requests: DataFrame) -> DataFrame:
-    """(coverage_id, west, east, south, north, form) of request texts (xml); limits that a text lacks are NULL."""
+    """(coverage_id, west, east, south, north, form, subset_crs, output_crs) of request texts (xml); what a text lacks is NULL."""
     text = lambda name: F.xpath_string("xml", F.lit(f"//*[name()='wcs:{name}']"))
 
     def limit(axis: str, end: str) -> Column:
@@ -94,12 +99,28 @@ def parse_requests(requests: DataFrame) -> DataFrame:
         return found.try_cast("double")
 
     return requests.select(
-        text("CoverageId").alias("coverage_id"), limit("x", "Low").alias("west"), limit("x", "High").alias("east"), limit("y", "Low").alias("south"), limit("y", "High").alias("north"), text("format").alias("form")
-    )
+        text("CoverageId").alias("coverage_id"), limit("x", "Low").alias("west"), limit("x", "High").alias("east"), limit("y", "Low").alias("south"), limit("y", "High").alias("north"), text("format").alias("form"),
+        F.nullif(F.xpath_string("xml", F.lit("//*[name()='wcs:DimensionTrim'][1]/*[name()='wcs:Dimension']/@crs")), F.lit("")).alias("subset_crs"), F.nullif(text("OutputCrs"), F.lit("")).alias("output_crs"),
+    )
+
+
+#: Requests up to which they are broadcast.
+FEW = 10_000
 
 
 def answer_requests(samples: DataFrame, requests: DataFrame) -> DataFrame:
-    """The samples of each request (see parse_requests); a limit that is NULL doesn't limit. Requests are few."""
+    """The samples of each request (see parse_requests) with x and y in the system that it asks for; a limit that is NULL doesn't limit.
+
+    Systems are WGS 84 (EPSG 4326, or none named) and its UTM zones (EPSG 32601 to 32660 and 32701 to 32760); requests whose limits
+    are in another system than WGS 84 have no answer, and in an unknown output system x and y are missing."""
     within = lambda c, low, high: F.coalesce(c >= F.col(low), F.lit(True)) & F.coalesce(c <= F.col(high), F.lit(True))
-    met = samples.join(F.broadcast(requests), "coverage_id")
-    return met.filter(within(F.col("lon"), "west", "east") & within(F.col("lat"), "south", "north")).drop("west", "east", "south", "north", "form")
+    code = lambda c: F.coalesce(F.regexp_extract(c, r"(\d+)$", 1).try_cast("int"), F.when(F.col(c).isNull(), 4326))
+    asked = requests.withColumn("code", code("output_crs")).filter(code("subset_crs") == 4326)
+    asked = F.broadcast(asked) if requests.limit(FEW + 1).count() <= FEW else asked
+    met = samples.join(asked, "coverage_id").filter(within(F.col("lon"), "west", "east") & within(F.col("lat"), "south", "north"))
+    zone, plain = F.col("code") % 100, F.col("code") == 4326
+    metric = F.floor(F.col("code") / 100).isin(326, 327) & zone.between(1, 60)
+    east, north = utm_forward(F.col("lat"), F.col("lon"), zone)
+    south = F.when(F.col("code") >= 32_700, 10_000_000.0).otherwise(0.0)
+    met = met.withColumns({"x": F.when(plain, F.col("lon")).when(metric, east), "y": F.when(plain, F.col("lat")).when(metric, north + south)})
+    return met.drop("west", "east", "south", "north", "form", "subset_crs", "output_crs", "code")

@@ -24,12 +24,19 @@ def zone_name(t: Column, zone: Column, prefix: str = "", suffix: str = "") -> Co
     return F.concat(F.lit(prefix), F.date_format(t, "yyyyMMdd_HHmmss"), F.format_string("_%07d", zone), F.lit(suffix))
 
 
-def tile_times(tiles: DataFrame, source: DataFrame, start: str, end: str, lines: int) -> DataFrame:
+def tile_times(tiles: DataFrame, source: DataFrame, start: str, end: str, lines: int, tags: DataFrame | None = None) -> DataFrame:
     """tiles (tile_row, tile_col, lat, lon of the corner) with `t`, the time at the line of the nearest source pixel.
 
-    start, end: UTC times of the first and the last of the lines; a pass may cross midnight. Rounded to seconds."""
+    start, end: UTC times of the first and the last of the lines; a pass may cross midnight. Rounded to seconds. tags: track tags
+    (nth, line, src_row, src_col) of a raster that was cut from a longer pass; then only the tagged pixels count, of equally
+    near ones the first, and the line is that of the pass."""
     named = {"tile_row": "dst_row", "tile_col": "dst_col"}
+    if tags is not None:
+        # numbered backwards, since ties go to the larger number
+        source = tags.join(source, ["src_row", "src_col"]).select((-F.col("nth")).alias("src_row"), F.lit(0).alias("src_col"), "lat", "lon", "line")
     near = nearest_pixels(tiles.withColumnsRenamed(named), source).withColumnsRenamed({v: k for k, v in named.items()})
+    if tags is not None:
+        near = near.join(source.select("src_row", "line"), "src_row").drop("src_row").withColumnRenamed("line", "src_row")
     begin, finish = (F.unix_seconds(F.lit(x).cast("timestamp")) for x in (start, end))
     offset = line_time(begin % 86_400, finish % 86_400, F.col("src_row"), F.lit(lines)) - begin % 86_400
     offset = F.when(offset < 0, offset + 86_400).otherwise(offset)

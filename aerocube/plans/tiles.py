@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions import geo, values
+from ..functions.times import line_stamp
 from ..operators import coords, regrid, subset, tiles
 from ..operators.swath import pixels
 from ..sources import rasters
@@ -122,12 +123,21 @@ def mgrs_tiles(spark, d):
     return tiles.military_tiles(rows, 1000.0, 1.0).select("name", "n", "n_blank", r6("value").alias("value"))
 
 
-@query(f"WITH {SAMPLES} SELECT coverage_id, count(*) AS n, round(sum(value), 4) AS s FROM samples WHERE (coverage_id = 'A' AND lon BETWEEN -20 AND 40 AND lat BETWEEN 10 AND 60) OR (coverage_id = 'R' AND lon BETWEEN 100 AND 170.5) GROUP BY ALL")
+_ASKED = utm_sql("SELECT DISTINCT lat, lon FROM samples WHERE lon BETWEEN 6 AND 12")
+
+
+@query(f"""WITH {SAMPLES}, u AS ({_ASKED}), a AS (SELECT coverage_id, lon AS x, lat AS y, value FROM samples WHERE (coverage_id = 'A' AND lon BETWEEN -20 AND 40 AND lat BETWEEN 10 AND 60) OR (coverage_id = 'R' AND lon BETWEEN 100 AND 170.5)
+UNION ALL SELECT coverage_id, east, north, value FROM samples JOIN u USING (lat, lon) WHERE coverage_id = 'N' AND lon BETWEEN 6 AND 11.9 AND lat BETWEEN -30 AND 60)
+SELECT coverage_id, count(*) AS n, round(sum(value), 4) AS s, round(avg(x), 4) AS x, round(avg(y), 4) AS y FROM a GROUP BY ALL""")
 def wcs_get_coverage_xml(spark, d):
-    """Two requests as XML texts, one of which limits longitudes only."""
-    texts = [subset.coverage_request("A", -20.0, 40.0, 10.0, 60.0), subset.coverage_request("R", 100.0, 170.5, -90.0, 90.0).replace("<wcs:TrimLow>-90.0</wcs:TrimLow>", "")]
+    """Three requests as XML texts, one of which limits longitudes only and one asks for UTM."""
+    texts = [
+        subset.coverage_request("A", -20.0, 40.0, 10.0, 60.0), subset.coverage_request("R", 100.0, 170.5, -90.0, 90.0).replace("<wcs:TrimLow>-90.0</wcs:TrimLow>", ""),
+        subset.coverage_request("N", 6.0, 11.9, -30.0, 60.0, output_crs="http://www.opengis.net/def/crs/EPSG/0/32632"),
+    ]
     requests = subset.parse_requests(spark.createDataFrame([(t,) for t in texts], "xml string"))
-    return subset.answer_requests(samples(spark, d), requests).groupBy("coverage_id").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("s"))
+    got = subset.answer_requests(samples(spark, d), requests)
+    return got.groupBy("coverage_id").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("s"), F.round(F.avg("x"), 4).alias("x"), F.round(F.avg("y"), 4).alias("y"))
 
 
 _GRIDDED = f"WITH {SAMPLES}, g AS (SELECT coverage_id, date_trunc('month', t) AS t, row, col, level_idx, avg(value) AS value FROM samples GROUP BY ALL)"
@@ -180,3 +190,42 @@ def decimal_digits(spark, d):
 @query("SELECT l_orderkey, l_linenumber, round(sqrt(power(l_suppkey - l_partkey, 2) + power(l_linenumber - l_quantity, 2)), 6) AS m FROM lineitem")
 def output_meters(spark, d):
     return _on_lines(spark, d, m=r6(geo.flat_m(F.col("l_partkey"), F.col("l_quantity"), F.col("l_suppkey"), F.col("l_linenumber"))))
+
+
+@query(
+    f"""WITH {SWATH}, tg AS (SELECT i // 4 AS tile_row, i % 4 AS tile_col, 20e0 - (i // 4) * 10 AS lat, -15e0 + (i % 4) * 10 AS lon FROM range(0, 16) t(i)),
+n AS (SELECT tile_row, tile_col, src_row * 7 + 3 AS line, row_number() OVER (PARTITION BY tile_row, tile_col ORDER BY {HAVERSINE}, src_row * 5 + src_col) AS nth FROM tg, (SELECT src_row, src_col, lat AS slat, lon AS slon FROM swath WHERE (src_row * 5 + src_col) % 3 = 0))
+SELECT CAST(tile_row AS INT) AS tile_row, CAST(tile_col AS INT) AS tile_col, {STAMP.format("TIMESTAMP '2015-06-01 23:50:00' + to_seconds(CAST(floor(line * 1201 / 50e0 + 0.5) AS INT))")} AS t FROM n WHERE nth = 1"""
+)
+def tile_time_tags(spark, d):
+    """Every third pixel is tagged with its line in a longer pass."""
+    grid = regrid.target_grid(spark, 20.0, -15.0, 4, 4, 10.0).withColumnsRenamed({"dst_row": "tile_row", "dst_col": "tile_col"})
+    nth = F.col("src_row") * 5 + F.col("src_col")
+    tags = swath(spark, d).filter(nth % 3 == 0).select(nth.alias("nth"), (F.col("src_row") * 7 + 3).alias("line"), "src_row", "src_col")
+    return tiles.tile_times(grid, swath(spark, d), "2015-06-01 23:50:00", "2015-06-02 00:10:01", 50, tags).select("tile_row", "tile_col", _show("t").alias("t"))
+
+
+@query("SELECT event_id, strftime(TIMESTAMP '2015-12-31 23:50:00' + to_seconds(CAST(floor((event_id % 200) * 1203 / 200e0 + 0.5) AS INT)), '%Y%m%d_%H%M%S') AS dated, strftime(TIMESTAMP '2015-12-31 23:50:00' + to_seconds(CAST(floor((event_id % 200) * 1203 / 200e0 + 0.5) AS INT)), '%H%M%S') AS clock FROM events")
+def line_stamps(spark, d):
+    """Times of lines as texts, of a pass over the turn of the year."""
+    line = F.col("event_id") % 200
+    return table(spark, d, "events").select("event_id", line_stamp(F.lit("2015:12:31:23:50:00"), F.lit("2016:01:01:00:10:03"), line, F.lit(200)).alias("dated"), line_stamp(F.lit("23:50:00"), F.lit("00:10:03"), line, F.lit(200)).alias("clock"))
+
+
+_POINTS = """q AS (SELECT event_id % 3 AS kind, event_id // 288 * 3 + event_id % 3 AS file, event_id % 288 // 3 AS n FROM events), s AS (SELECT *, [1, 5, 10][kind + 1] AS sp FROM q),
+pt AS (SELECT file, sp, n // 12 * sp AS row, n % 12 * sp AS col FROM s), pts AS (SELECT *, radians(40 + row * 0.02e0) AS la, radians(179.2e0 + col * 0.03e0) AS lo FROM pt),
+sz AS (SELECT DISTINCT file, sp, 7 * sp + 1 AS h, 11 * sp + 1 AS w FROM pt), px AS (SELECT file, sp, r, c FROM (SELECT *, unnest(range(h)) AS r FROM sz), range(111) t(c) WHERE c < w),
+m AS (SELECT px.file, r, c, la, lo, sqrt(power(row - r, 2) + power(col - c, 2)) AS d FROM px LEFT JOIN pts ON pts.file = px.file AND row BETWEEN r - (px.sp - 1) AND r + px.sp - 1 AND col BETWEEN c - (px.sp - 1) AND c + px.sp - 1),
+t AS (SELECT *, count(la) OVER w AS n, sum(d) OVER w AS t FROM m WINDOW w AS (PARTITION BY file, r, c)), v AS (SELECT *, CASE WHEN n = 1 THEN 1 ELSE (1 - d / t) / (n - 1) END AS g FROM t),
+x AS (SELECT file, r, c, sum(g * cos(la) * cos(lo)) AS x, sum(g * cos(la) * sin(lo)) AS y, sum(g * sin(la)) AS z FROM v GROUP BY ALL)"""
+
+
+@query(f"WITH {_POINTS} SELECT file, CAST(r AS INT) AS row, CAST(c AS INT) AS col, round(degrees(atan2(z, sqrt(x * x + y * y))), 6) AS lat, round(degrees(atan2(y, x)), 6) AS lon FROM x")
+def gcp_coords(spark, d):
+    """Grids whose control points stand 1, 5 or 10 pixels apart and cross the date line: the place of every pixel."""
+    k = F.col("event_id")
+    rows = table(spark, d, "events").select((F.floor(k / 288) * 3 + k % 3).alias("file"), F.get(F.array(*map(F.lit, (1, 5, 10))), (k % 3).cast("int")).alias("sp"), F.floor(k % 288 / 3).alias("n"))
+    row, col, lon = (F.floor(F.col("n") / 12) * F.col("sp")).cast("int"), (F.col("n") % 12 * F.col("sp")).cast("int"), F.col("col") * values.num(0.03) + values.num(179.2)
+    points = rows.select("file", "sp", row.alias("row"), col.alias("col")).withColumns({"lat": F.col("row") * values.num(0.02) + 40, "lon": F.when(lon > 180, lon - 360).otherwise(lon)})
+    sizes = rows.select("file", (7 * F.col("sp") + 1).alias("rows"), (11 * F.col("sp") + 1).alias("columns")).distinct()
+    return coords.densify(points, sizes, ["file"]).withColumns({"lat": r6("lat"), "lon": r6("lon")})

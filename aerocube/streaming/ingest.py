@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import re
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -12,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.folders import work_folder  # noqa: F401
 from ..operators.ground import NATURAL_KEY, new_measurements
 from ..sources.identify import file_inventory, identify
 
@@ -115,12 +114,3 @@ def daily_chunks(stream: DataFrame, t: str, aggregate: Callable[[DataFrame], Dat
     """Per day of event time; days close once the watermark passes (the watermark is this library's own addition)."""
     windowed = stream.withColumn(t, F.col(t).cast("timestamp")).withWatermark(t, late)
     return aggregate(windowed.groupBy(F.window(t, "1 day")))
-
-
-def work_folder(spark: SparkSession) -> str:
-    """The shared folder for files between steps: spark.checkpoint.dir. Where that is unset, a temporary one in local mode
-    (tests), an error on a cluster, whose executors wouldn't see it."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return folder or tempfile.mkdtemp(prefix="aerocube-")

@@ -75,3 +75,20 @@ def test_ids_without_gaps(spark):
     got = {r["name"]: r["id"] for r in ground.new_dimension_rows(df.repartition(7), known, "name", 50).collect()}
     assert sorted(got.values()) == list(range(51, 51 + 4998)) and "key 5" not in got
     assert got == {r["name"]: r["id"] for r in ground.new_dimension_rows(df.orderBy("name"), known, "name", 50).collect()}
+
+
+def test_crowded_sources(spark):
+    """A third of all sources within a degree: cells are divided until none has many; the nearest is exact anywhere."""
+    rng = random.Random(6)
+    places = [(40 + rng.random(), 8 + rng.random()) for _ in range(20_000)] + [(rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(300)]
+    source = spark.createDataFrame([(0, i, *p) for i, p in enumerate(places)], "src_row int, src_col int, lat double, lon double")
+    finest, depth = nearest._cells_of(source)
+    assert nearest._level(finest, depth).agg(F.max("n")).first()[0] <= nearest.LEAF and finest.agg(F.sum("n")).first()[0] == len(places)
+    assert nearest._level(finest, depth - nearest.STRIDE).agg(F.max("n")).first()[0] > nearest.LEAF
+    targets = [(40 + rng.random(), 8 + rng.random()) for _ in range(30)] + [(rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(30)] + [(90.0, 0.0), (-90.0, 5.0), (0.0, 180.0)]
+    got = nearest.nearest_pixels(spark.createDataFrame([(0, i, *t) for i, t in enumerate(targets)], "dst_row int, dst_col int, lat double, lon double"), source)
+    want = {i: min(plain_distance(*t, *p) for p in places) for i, t in enumerate(targets)}
+    assert {r["dst_col"]: round(r["dist_m"], 4) for r in got.collect()} == {i: round(d, 4) for i, d in want.items()}
+    copies = spark.createDataFrame([(0, i, 1.0, 1.0) for i in range(100)], "src_row int, src_col int, lat double, lon double")
+    assert nearest._cells_of(copies)[1] == nearest.DEEPEST
+    assert nearest.nearest_pixels(spark.createDataFrame([(0, 0, 1.0, 2.0)], "dst_row int, dst_col int, lat double, lon double"), copies).first()["src_col"] == 99

@@ -20,7 +20,7 @@ def rows(df: pd.DataFrame) -> list[tuple]:
         if isinstance(x, bool) or type(x).__name__ == "bool_":
             return str(bool(x))
         try:
-            return f"{float(x):.6f}".replace("-0.000000", "0.000000")
+            return repr(float(x) + 0.0)  # every bit counts, but for the sign of 0
         except (TypeError, ValueError):
             return str(x)
 

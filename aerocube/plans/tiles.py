@@ -164,17 +164,15 @@ def upload_collection(spark, d):
     return got.drop("location").withColumns(days | {c: r6(c) for c in ("min_value", "max_value")})
 
 
-@query("SELECT r_regionkey AS nth, 'f' || r_regionkey || '.tif' AS name FROM region")
+@query("SELECT DISTINCT CAST(c_nationkey AS INT) AS nth, 'txt' AS kind FROM customer")
 def scan_collection_dir(spark, d):
-    """A folder tree with a .tif for each region among other files."""
+    """A folder tree with a text file for each nation among other files."""
     path = f"{work_folder(spark)}/scan-{uuid.uuid4().hex}"
-    fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    for r in table(spark, d, "region").select("r_regionkey").collect():  # five rows
-        for name in (f"d{r[0] % 2}/f{r[0]}.tif", f"d{r[0] % 2}/f{r[0]}.xml"):
-            out = fs.create(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}"))
-            out.writeBytes("x")  # empty files aren't listed
-            out.close()
-    return rasters.scan_collection(spark, path).select(F.regexp_extract("name", r"(\d+)", 1).cast("int").alias("nth"), "name")
+    rows = table(spark, d, "customer").select(F.col("c_nationkey").alias("nth"), F.col("c_name").alias("value")).repartition("nth")
+    rows.write.partitionBy("nth").text(f"{path}/text")
+    rows.write.partitionBy("nth").parquet(f"{path}/other")
+    found = rasters.scan_collection(spark, path, "*.txt").filter("length > 0")
+    return found.select(F.regexp_extract("path", r"/nth=(\d+)/", 1).cast("int").alias("nth"), F.substring_index("name", ".", -1).alias("kind"))
 
 
 @query(_lines_sql("CASE " + " ".join(f"WHEN lat >= {s} THEN {s}" for b, s in reversed(geo.SOUTH_BANDS + geo.NORTH_BANDS)) + " END AS degree"))

@@ -73,3 +73,18 @@ def test_curtains(spark, n):
     assert all(abs(r["track_lat"] - 10 - c * 9 - x) < 1e-9 and -180 <= r["track_lon"] <= 180 for (c, _, x), r in cells.items())
     for r in chunks.collect():
         assert [p["col"] for p in r["nodes"]] == sorted({0, r["columns"] - 1}) and r["levels"] == [200.0, 300.0] and r["columns"] <= 10
+
+
+def test_publishing_again(spark, tmp_path):
+    """A rerun replaces the days that it writes and leaves the others."""
+    import datetime as dt
+
+    from aerocube.sources import rasters
+
+    cells = spark.createDataFrame([("a", dt.datetime(2024, 1, d), 0, c, 1, float(d * c)) for d in (1, 2) for c in (1, 2, 3)], "coverage_id string, t timestamp, row int, col int, level_idx int, value double")
+    known, folder = spark.createDataFrame([("a", "unit")], "coverage_id string, measurement_unit string"), str(tmp_path / "c")
+    for _ in range(2):
+        got = rasters.publish(cells, folder, known).first()
+    assert rasters.read_raster(spark, folder).count() == 6 and (got["min_value"], got["max_value"]) == (1.0, 6.0)
+    got = rasters.publish(cells.filter("t = '2024-01-02'").withColumn("value", F.col("value") * 10), folder, known).first()
+    assert rasters.read_raster(spark, folder).count() == 6 and (got["min_value"], got["max_value"], str(got["start_date"])) == (1.0, 60.0, "2024-01-01")

@@ -83,7 +83,7 @@ def thresholds(rows: DataFrame, weights=WEIGHTS, most: int = MOST, most_sources:
 def copies(docs: DataFrame, id_: str, text: str, source: str, weights=WEIGHTS, most: int = MOST, most_sources: int = 100_000) -> DataFrame:
     """(id, size, source_size, target, copies) for each row of docs; a row's words are taken `copies` times.
 
-    size is the number of words; null and empty texts have none. Every row of a source is taken target / source_size
+    size is the number of words; null and empty texts have none, very long ones are counted whole. Every row of a source is taken target / source_size
     times rounded down, and rows whose hash lies below the source's threshold once more, so that the words taken come
     within one hash value (a document) of the target. Rows with the same id share their hash and so their fate; a null
     id hashes like an empty one. Sources up to most_sources are broadcast, more are shuffled. Reruns agree. An empty
@@ -98,7 +98,8 @@ def copies(docs: DataFrame, id_: str, text: str, source: str, weights=WEIGHTS, m
 def mix(docs: DataFrame, id_: str = "doc_id", text: str = "text", source: str = "source", weights=WEIGHTS, most: int = MOST, most_sources: int = 100_000) -> DataFrame:
     """docs with each row as often as copies() says, maybe not at all; columns, of any name, as before.
 
-    The text is only read: its words are counted in one pass, and in another each row is repeated where it lies."""
+    Null, empty and very long texts, rows of one id and empty tables: as there. The text is only read: its words are counted in
+    one pass, and in another each row is repeated where it lies."""
     rows = work_table(docs.select(n_words(F.col(text)).alias("size"), F.col(source).alias("source"), _hash(F.col(id_)).alias("hash")))
     plan = thresholds(rows, weights, most, most_sources).select(F.col("source").alias("of"), "once", "lower")
     own = F.col("once") + (F.col("hash") < F.col("lower")).cast("long")

@@ -47,7 +47,7 @@ def assign_shards(docs: DataFrame, key: str, text: str, shards: int, parts_per_s
     of these few counts (shards x parts) give each part its first slot, and only within a part rows are sorted. The
     text itself is never shuffled. parts_per_shard: parts that a shard's rows are sorted in; by default four times
     the shuffle partitions, so that it follows the cluster's own setting. Null and repeated keys keep a row each, with a
-    slot of its own; other columns of docs, of any name, don't matter. An empty table gives no rows.
+    slot of its own, in no certain order among equal ones; very long texts are measured whole; other columns of docs, of any name, don't matter. An empty table gives no rows.
     """
     spark = docs.sparkSession
     parts = parts_per_shard or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))

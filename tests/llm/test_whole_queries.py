@@ -106,7 +106,7 @@ def test_op7(spark, tables):
     assert plain_rows(duck.sql(queries.ORACLE_SQL["op7_host_rules"]).df()) == plain_rows(queries.QUERIES["op7_host_rules"](spark, tables).toPandas())
 
 
-def test_a_bad_corpus_alone_condemns_no_host(spark):
+def test_hosts_are_condemned_by_their_own_failures(spark):
     from aerocube.llm import quality
 
     rows = [(i, i % 10 > 0, f"s{i % 7}") for i in range(700)] + [(1000 + i, False, "good") for i in range(3)]

@@ -111,7 +111,7 @@ def test_hosts_are_condemned_by_their_own_failures(spark):
 
     rows = [(i, i % 10 > 0, f"s{i % 7}") for i in range(700)] + [(1000 + i, False, "good") for i in range(3)]
     judged = spark.createDataFrame(rows, "doc_id long, failed boolean, source string")
-    assert {r["__bad_source"] for r in quality.bad_hosts(judged).collect()} == {f"s{i}" for i in range(7)}
+    assert {r["of"] for r in quality.bad_hosts(judged).collect()} == {f"s{i}" for i in range(7)}
 
 
 def test_op8(spark, tables):

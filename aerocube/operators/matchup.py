@@ -6,6 +6,8 @@ a coverage sample lies in exactly one, and the exact ranges are checked on what
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,6 +51,34 @@ def ground_coverage_matchup(obs: DataFrame, cover: DataFrame, degrees: float = 1
     return out.withColumn("d", F.col("ground") - F.col("cover"))
 
 
+def dense_matchup(obs: DataFrame, cover: DataFrame, degrees: float = 1.0, minutes: float = 60.0, parts: int = 4) -> DataFrame:
+    """What ground_coverage_matchup() gives, for coverages that are dense beside the tolerances: with some dozen samples in a cube of
+    one tolerance or more.
+
+    Samples are summed by cells of a tolerance's `parts`-th part, once for all observations. An observation adds up the cells
+    that lie within its box and span as wholes and looks at samples only in cells that its faces cut, so the number of rows
+    that it meets is bounded by cells and its faces, not by its volume."""
+    seconds, s = minutes * 60, lambda c: F.unix_micros(F.col(c).cast("timestamp")) / 1e6
+    o = obs.select("obs_id", "t_start", F.col("lon").alias("olon"), F.col("lat").alias("olat"), F.col("value").alias("ground"), s("t_start").alias("s0"), s("t_end").alias("s1"))
+    cover = _in_reach(o, cover, degrees, seconds).select("lon", "lat", "value", s("t").alias("s"))
+    size = {"lon": degrees / parts, "lat": degrees / parts, "s": seconds / parts}
+    cells = cover.withColumns({f"k_{c}": F.floor(F.col(c) / z) for c, z in size.items()})
+    keys = [f"k_{c}" for c in size]
+    sums = cells.groupBy(*keys).agg(F.sum("value").alias("v"), F.count("value").alias("n"), F.count("*").alias("m"))
+    ends = {"lon": (F.col("olon") - degrees, F.col("olon") + degrees), "lat": (F.col("olat") - degrees, F.col("olat") + degrees), "s": (F.col("s0") - seconds, F.col("s1") + seconds)}
+    whole = {c: (F.ceil(a / size[c] + 1e-9), F.floor(b / size[c] - 1e-9) - 1) for c, (a, b) in ends.items()}
+    o = o.withColumns({f"low_{c}": a for c, (a, _) in whole.items()} | {f"high_{c}": b for c, (_, b) in whole.items()})
+    every = o
+    for c, (a, b) in ends.items():
+        every = every.withColumn(f"k_{c}", F.explode(F.sequence(F.floor(a / size[c]), F.floor(b / size[c]))))
+    inside = functools.reduce(lambda x, y: x & y, [F.col(f"k_{c}").between(F.col(f"low_{c}"), F.col(f"high_{c}")) for c in size])
+    exact = functools.reduce(lambda x, y: x & y, [F.col(c).between(*ends[c]) for c in size])
+    full = every.filter(inside).join(sums, keys).select("obs_id", "t_start", "ground", "v", "n", "m")
+    cut = every.filter(~inside).join(cells, keys).filter(exact).select("obs_id", "t_start", "ground", F.col("value").alias("v"), F.col("value").isNotNull().cast("long").alias("n"), F.lit(1).cast("long").alias("m"))
+    out = full.unionByName(cut).groupBy("obs_id").agg(F.any_value("t_start").alias("t_start"), F.any_value("ground").alias("ground"), F.try_divide(F.sum("v"), F.sum("n")).alias("cover"), F.sum("m").alias("n"))
+    return out.withColumn("d", F.col("ground") - F.col("cover"))
+
+
 def footprint_profile(sites: DataFrame, cover: DataFrame, degrees: float = 1.1) -> DataFrame:
     """Per site, period and level the mean of the coverage's samples in the footprint: sites (site_id, lon, lat, period),
     cover (period, lon, lat, level_idx, value)."""

@@ -10,7 +10,7 @@ from .inputs import HAVERSINE, SAMPLES, r6, samples
 from .registry import query
 
 FINE, COARSE = Grid(90.0, -180.0, 18, 36, 10.0), Grid(90.0, -180.0, 12, 24, 15.0)
-WORLD, EUROPE = Box(75.0, -170.0, -65.0, 150.0), Box(70.0, -12.0, 30.0, 38.0)
+WORLD, EUROPE, TROPICS = Box(75.0, -170.0, -65.0, 150.0), Box(70.0, -12.0, 30.0, 38.0), Box(25.0, -62.0, -45.0, 98.0)
 
 
 def gridded(spark, d, coverage: str, grid: Grid, *keys):
@@ -81,9 +81,9 @@ def subtract(spark, d):
     return align.subtract(_both(spark, d)).withColumn("value", r6("value"))
 
 
-@query(_sql("SELECT dst_row, dst_col, level_idx, round(va - vb, 6) AS value FROM pair", EUROPE))
+@query(_sql("SELECT dst_row, dst_col, level_idx, round(va - vb, 6) AS value FROM pair", TROPICS))
 def wps_coverage_difference(spark, d):
-    return align.subtract(_both(spark, d, EUROPE)).withColumn("value", r6("value"))
+    return align.subtract(_both(spark, d, TROPICS)).withColumn("value", r6("value"))
 
 
 @query(_sql(f"SELECT {STATS} FROM (SELECT va - vb AS d FROM pair WHERE level_idx = 1)"))

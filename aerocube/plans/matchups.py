@@ -9,14 +9,24 @@ from .inputs import COVERAGE_POINTS, MEASUREMENTS, OBSERVATIONS, SAMPLES, STATIO
 from .registry import query
 
 
-@query(
-    f"""WITH {MEASUREMENTS}, {OBSERVATIONS}, {COVERAGE_POINTS}
-SELECT obs_id, round(max(obs.value), 6) AS ground, round(avg(cov.value), 6) AS cover, round(max(obs.value) - avg(cov.value), 6) AS d, count(*) AS n FROM obs JOIN cov
-ON cov.lon BETWEEN obs.lon - 1 AND obs.lon + 1 AND cov.lat BETWEEN obs.lat - 1 AND obs.lat + 1 AND cov.t BETWEEN t0 - INTERVAL 60 MINUTE AND t1 + INTERVAL 60 MINUTE GROUP BY obs_id"""
-)
+_MATCHED = f"""WITH {MEASUREMENTS}, {OBSERVATIONS}, {COVERAGE_POINTS}
+SELECT obs_id, round(max(obs.value), @r) AS ground, round(avg(cov.value), @r) AS cover, round(max(obs.value) - avg(cov.value), @r) AS d, count(*) AS n FROM obs JOIN cov
+ON cov.lon BETWEEN obs.lon - @d AND obs.lon + @d AND cov.lat BETWEEN obs.lat - @d AND obs.lat + @d AND cov.t BETWEEN t0 - INTERVAL @m MINUTE AND t1 + INTERVAL @m MINUTE GROUP BY obs_id"""
+
+
+def _shown(got, digits: int):
+    return got.select("obs_id", *[F.round(c, digits).alias(c) for c in ("ground", "cover", "d")], "n")
+
+
+@query(_MATCHED.replace("@d", "1").replace("@m", "60").replace("@r", "6"))
 def ground_coverage_matchup(spark, d):
-    got = matchup.ground_coverage_matchup(observations(spark, d), coverage_points(spark, d))
-    return got.select("obs_id", r6("ground").alias("ground"), r6("cover").alias("cover"), r6("d").alias("d"), "n")
+    return _shown(matchup.ground_coverage_matchup(observations(spark, d), coverage_points(spark, d)), 6)
+
+
+@query(_MATCHED.replace("@d", "20").replace("@m", "2880").replace("@r", "9"))
+def dense_matchup(spark, d):
+    """Within 20 degrees and two days, so that an observation meets many samples."""
+    return _shown(matchup.dense_matchup(observations(spark, d), coverage_points(spark, d), 20.0, 2880.0), 9)
 
 
 @query(

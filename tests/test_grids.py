@@ -92,3 +92,20 @@ def test_crowded_sources(spark):
     copies = spark.createDataFrame([(0, i, 1.0, 1.0) for i in range(100)], "src_row int, src_col int, lat double, lon double")
     assert nearest._cells_of(copies)[1] == nearest.DEEPEST
     assert nearest.nearest_pixels(spark.createDataFrame([(0, 0, 1.0, 2.0)], "dst_row int, dst_col int, lat double, lon double"), copies).first()["src_col"] == 99
+
+
+def test_dense_matchups(spark):
+    """The same as the matchup by samples, on samples that stand at cells' edges too."""
+    import datetime as dt
+
+    from aerocube.operators import matchup
+
+    rng, begin = random.Random(8), dt.datetime(2024, 1, 1)
+    cover = [(begin + dt.timedelta(minutes=rng.randrange(0, 600)), rng.choice((rng.uniform(-4, 4), rng.randrange(-16, 17) / 4)), rng.choice((rng.uniform(-4, 4), rng.randrange(-16, 17) / 4)), None if i % 50 == 0 else float(rng.randrange(100))) for i in range(3000)]
+    obs = [(i, begin + dt.timedelta(minutes=rng.randrange(0, 600)), rng.choice((rng.uniform(-5, 5), float(rng.randrange(-4, 5)))), rng.uniform(-5, 5), None if i % 9 == 0 else 1.0 * i) for i in range(60)] + [(60, begin, 100.0, 0.0, 1.0)]
+    c = spark.createDataFrame(cover, "t timestamp, lon double, lat double, value double")
+    o = spark.createDataFrame([(i, t, t + dt.timedelta(minutes=i % 3 * 20), lon, lat, v) for i, t, lon, lat, v in obs], "obs_id int, t_start timestamp, t_end timestamp, lon double, lat double, value double")
+    shown = lambda df: sorted((r["obs_id"], r["n"], r["ground"], None if r["cover"] is None else round(r["cover"], 9)) for r in df.collect())
+    for degrees, minutes in ((1.0, 60.0), (2.5, 45.0)):
+        got, want = shown(matchup.dense_matchup(o, c, degrees, minutes)), shown(matchup.ground_coverage_matchup(o, c, degrees, minutes))
+        assert got == want and len(got) > 40

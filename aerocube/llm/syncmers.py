@@ -154,7 +154,8 @@ def with_next(docs: DataFrame, id_: str, text: str, range_bytes: int = RANGE) ->
     copies = rows.join(firsts, "range").filter(F.col("order") == F.col("first")).select("id", "text", "order", F.col("to").alias("range"))
     every = rows.withColumn("copy", F.lit(False)).unionByName(copies.withColumn("copy", F.lit(True)))
     # sorted before anchors are made, so that neither exchange nor sort carries them
-    dealt = every.repartition("range").sortWithinPartitions("range", "copy", F.desc("order")).withColumn("found", anchors(F.col("text")))
+    # each range to a task of its own, not by a hash, which would give some tasks several
+    dealt = every.repartitionById(len(cuts) + 1, F.col("range")).sortWithinPartitions("range", "copy", F.desc("order")).withColumn("found", anchors(F.col("text")))
     dealt = dealt.withColumn("placed", placed(F.col("found")))
     down = Window.partitionBy("range").orderBy("copy", F.desc("order"))
     following = [F.lead(c).over(down).alias(f"next_{c}") for c in ("id", "text", "placed")]

@@ -64,6 +64,16 @@ def visible_to(df: DataFrame, user: int, admin: bool, **options) -> DataFrame:
     return df if admin or user == 1 else visible_union(visible_mine(df, F.lit(user)), visible_open(df, F.lit(user), **options))
 
 
+def user_profiles(users: DataFrame, profiles: DataFrame, key: str = "user_id") -> DataFrame:
+    """users with their profile; a user without one is left out. Profiles should be one per user."""
+    return users.join(profiles, key)
+
+
+def distinct_outputs(outputs: DataFrame, path: str) -> DataFrame:
+    """The folders that outputs went to, each once."""
+    return outputs.select(path).filter(F.col(path).isNotNull()).distinct()
+
+
 def queue_pick(df: DataFrame, *keys: str) -> DataFrame:
     """The next item of each state: the smallest id."""
     return df.groupBy(*keys).agg(F.min("id").alias("id"))

@@ -25,6 +25,7 @@ def temporal_average(df: DataFrame) -> DataFrame:
 
 
 def band_statistics(df: DataFrame, *keys: str) -> DataFrame:
+    """Extremes, mean and population deviation of value by keys, without keys of all cells; missing values don't count."""
     return df.groupBy(*keys).agg(F.min("value").alias("v_min"), F.max("value").alias("v_max"), F.avg("value").alias("v_mean"), F.stddev_pop("value").alias("v_std"))
 
 

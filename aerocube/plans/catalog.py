@@ -82,7 +82,7 @@ def queue_pick(spark, d):
 def user_profile_join(spark, d):
     profiles = table(spark, d, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("group"))
     owned = table(spark, d, "orders").select(F.col("o_custkey").alias("user_id"), F.col("o_orderkey").alias("id"))
-    return profiles.join(owned, "user_id")
+    return ops.user_profiles(owned, profiles).select("user_id", "name", "group", "id")
 
 
 @query("SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, count(*) AS n FROM orders GROUP BY 1 ORDER BY 1")
@@ -92,7 +92,7 @@ def sort_starttime(spark, d):
 
 @query("SELECT DISTINCT 'SO2_' || (o_orderkey % 9) AS dir FROM orders")
 def distinct_outputs(spark, d):
-    return table(spark, d, "orders").select(F.concat(F.lit("SO2_"), (F.col("o_orderkey") % 9).cast("string")).alias("dir")).distinct()
+    return ops.distinct_outputs(table(spark, d, "orders").select(F.concat(F.lit("SO2_"), (F.col("o_orderkey") % 9).cast("string")).alias("dir")), "dir")
 
 
 @query(f"WITH {COLLECTIONS} SELECT id, access, coverage_id FROM collections UNION ALL SELECT id + 10000000, 'P', 'new' FROM collections")

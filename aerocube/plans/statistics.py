@@ -34,17 +34,17 @@ def global_min_max(spark, d):
 
 @query(f"WITH {SAMPLES} SELECT min(value) AS v FROM samples")
 def min_data(spark, d):
-    return samples(spark, d).agg(F.min("value").alias("v"))
+    return stats.band_statistics(samples(spark, d)).select(F.col("v_min").alias("v"))
 
 
 @query(f"WITH {SAMPLES} SELECT max(value) AS v FROM samples")
 def max_data(spark, d):
-    return samples(spark, d).agg(F.max("value").alias("v"))
+    return stats.band_statistics(samples(spark, d)).select(F.col("v_max").alias("v"))
 
 
 @query(f"WITH {SAMPLES} SELECT round(stddev_pop(value), 6) AS v FROM samples")
 def std(spark, d):
-    return samples(spark, d).agg(r6(F.stddev_pop("value")).alias("v"))
+    return stats.band_statistics(samples(spark, d)).select(r6("v_std").alias("v"))
 
 
 @query(f"WITH {SAMPLES} SELECT coverage_id, level_idx, {STAT.format('value')} FROM samples GROUP BY ALL")

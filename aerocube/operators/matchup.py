@@ -46,7 +46,7 @@ def ground_coverage_matchup(obs: DataFrame, cover: DataFrame, degrees: float = 1
         & F.col("lat").between(F.col("olat") - degrees, F.col("olat") + degrees)
         & F.col("s").between(F.col("s0") - seconds, F.col("s1") + seconds)
     )
-    met = o.join(c, ["xb", "yb", "tb"]).filter(near)
+    met = o.join(c.hint("merge"), ["xb", "yb", "tb"]).filter(near)  # exploded observations aren't to be broadcast
     out = met.groupBy("obs_id").agg(F.any_value("t_start").alias("t_start"), F.any_value("ground").alias("ground"), F.avg("value").alias("cover"), F.count("*").alias("n"))
     return out.withColumn("d", F.col("ground") - F.col("cover"))
 
@@ -56,8 +56,9 @@ def dense_matchup(obs: DataFrame, cover: DataFrame, degrees: float = 1.0, minute
     one tolerance or more.
 
     Samples are summed by cells of a tolerance's `parts`-th part, once for all observations. An observation adds up the cells
-    that lie within its box and span as wholes and looks at samples only in cells that its faces cut, so the number of rows
-    that it meets is bounded by cells and its faces, not by its volume."""
+    that lie within its box and span as wholes and looks at samples only in cells that its faces cut. Both sides meet in blocks
+    of a tolerance: an observation goes to the blocks of time that it touches and stays in one block of space, cells and samples
+    go to the blocks of space around theirs; so copies are counted in dozens, not in the cells of a box."""
     seconds, s = minutes * 60, lambda c: F.unix_micros(F.col(c).cast("timestamp")) / 1e6
     o = obs.select("obs_id", "t_start", F.col("lon").alias("olon"), F.col("lat").alias("olat"), F.col("value").alias("ground"), s("t_start").alias("s0"), s("t_end").alias("s1"))
     cover = _in_reach(o, cover, degrees, seconds).select("lon", "lat", "value", s("t").alias("s"))
@@ -68,13 +69,20 @@ def dense_matchup(obs: DataFrame, cover: DataFrame, degrees: float = 1.0, minute
     ends = {"lon": (F.col("olon") - degrees, F.col("olon") + degrees), "lat": (F.col("olat") - degrees, F.col("olat") + degrees), "s": (F.col("s0") - seconds, F.col("s1") + seconds)}
     whole = {c: (F.ceil(a / size[c] + 1e-9), F.floor(b / size[c] - 1e-9) - 1) for c, (a, b) in ends.items()}
     o = o.withColumns({f"low_{c}": a for c, (a, _) in whole.items()} | {f"high_{c}": b for c, (_, b) in whole.items()})
-    every = o
-    for c, (a, b) in ends.items():
-        every = every.withColumn(f"k_{c}", F.explode(F.sequence(F.floor(a / size[c]), F.floor(b / size[c]))))
+    blocks = lambda low, high: F.explode(F.sequence(F.floor(low - 1e-9), F.floor(high + 1e-9)))
+    o = o.withColumns({"xb": F.floor(F.col("olon") / degrees), "yb": F.floor(F.col("olat") / degrees)}).withColumn("tb", blocks(*[x / seconds for x in ends["s"]]))
+
+    def around(rows: DataFrame) -> DataFrame:
+        for b, k in (("xb", F.col("k_lon")), ("yb", F.col("k_lat"))):
+            rows = rows.withColumn(b, blocks(k / parts - 1, (k + 1) / parts + 1))
+        return rows.withColumn("tb", F.floor(F.col("k_s") / parts))
+
     inside = functools.reduce(lambda x, y: x & y, [F.col(f"k_{c}").between(F.col(f"low_{c}"), F.col(f"high_{c}")) for c in size])
     exact = functools.reduce(lambda x, y: x & y, [F.col(c).between(*ends[c]) for c in size])
-    full = every.filter(inside).join(sums, keys).select("obs_id", "t_start", "ground", "v", "n", "m")
-    cut = every.filter(~inside).join(cells, keys).filter(exact).select("obs_id", "t_start", "ground", F.col("value").alias("v"), F.col("value").isNotNull().cast("long").alias("n"), F.lit(1).cast("long").alias("m"))
+    # the size of exploded rows isn't known when a join is planned, so none of them is to be broadcast
+    meet = lambda rows: o.join(around(rows).hint("merge"), ["xb", "yb", "tb"])
+    full = meet(sums).filter(inside).select("obs_id", "t_start", "ground", "v", "n", "m")
+    cut = meet(cells).filter(exact & ~inside).select("obs_id", "t_start", "ground", F.col("value").alias("v"), F.col("value").isNotNull().cast("long").alias("n"), F.lit(1).cast("long").alias("m"))
     out = full.unionByName(cut).groupBy("obs_id").agg(F.any_value("t_start").alias("t_start"), F.any_value("ground").alias("ground"), F.try_divide(F.sum("v"), F.sum("n")).alias("cover"), F.sum("m").alias("n"))
     return out.withColumn("d", F.col("ground") - F.col("cover"))
 
@@ -87,7 +95,7 @@ def footprint_profile(sites: DataFrame, cover: DataFrame, degrees: float = 1.1)
     o = o.withColumn("xb", _bins(F.col("olon") - degrees, F.col("olon") + degrees, size)).withColumn("yb", _bins(F.col("olat") - degrees, F.col("olat") + degrees, size))
     c = cover.withColumns({"xb": F.floor(F.col("lon") / size), "yb": F.floor(F.col("lat") / size)})
     near = F.col("lon").between(F.col("olon") - degrees, F.col("olon") + degrees) & F.col("lat").between(F.col("olat") - degrees, F.col("olat") + degrees)
-    return o.join(c, ["period", "xb", "yb"]).filter(near).groupBy("site_id", "period", "level_idx").agg(F.avg("value").alias("value"), F.count("*").alias("n"))
+    return o.join(c.hint("merge"), ["period", "xb", "yb"]).filter(near).groupBy("site_id", "period", "level_idx").agg(F.avg("value").alias("value"), F.count("*").alias("n"))
 
 
 def point_to_cell(points: DataFrame, x0: float, dx: float, y0: float, dy: float, rows: int, columns: int) -> DataFrame:

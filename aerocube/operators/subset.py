@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import utm_forward
@@ -76,6 +76,22 @@ def check_download(df: DataFrame, start: str, end: str, most_days: int = 15, mos
     return out
 
 
+def downloads(df: DataFrame, start: str, end: str, most_days: int = 15, most_rows: int = 432_000) -> DataFrame:
+    """df within the interval, all of it, with `download`: the numbers (period, part) of as many downloads as keep each within the
+    limits, in order of time.
+
+    Rows are counted by hour and numbered within their hour, so no window but the hours' sees more than an hour. Where all
+    fit one download, it is what check_download() gives."""
+    at = lambda x: F.lit(x).cast("timestamp")
+    hour = F.floor(F.unix_seconds("t") / 3600)
+    rows = df.filter(F.col("t").between(at(start), at(end))).withColumns({"period": F.floor(F.datediff("t", at(start)) / most_days), "hour": hour})
+    before = Window.partitionBy("period").orderBy("hour").rowsBetween(Window.unboundedPreceding, -1)
+    hours = rows.groupBy("period", "hour").agg(F.count("*").alias("n")).select("period", "hour", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    rows = rows.join(hours, ["period", "hour"]).withColumn("nth", F.row_number().over(Window.partitionBy("period", "hour").orderBy("t")))
+    part = F.floor((F.col("before") + F.col("nth") - 1) / most_rows)
+    return rows.withColumn("download", F.struct("period", part.alias("part"))).drop("period", "hour", "before", "nth")
+
+
 #: Element and attribute names of coverage requests, and the coordinate system of their limits.
 REQUEST = """<wcs:GetCoverage service="WCS" version="2.0.0" xmlns:wcs="http://www.opengis.net/wcs/2.0"><wcs:CoverageId>{}</wcs:CoverageId><wcs:format>{}</wcs:format>{}{}</wcs:GetCoverage>"""
 TRIM = """<wcs:DimensionTrim><wcs:Dimension crs="{}">{}</wcs:Dimension><wcs:TrimLow>{}</wcs:TrimLow><wcs:TrimHigh>{}</wcs:TrimHigh></wcs:DimensionTrim>"""

@@ -81,7 +81,7 @@ def wps_get_time_data(spark, d):
 @query("SELECT event_id, epoch(date_trunc('second', ts)) AS epoch, value FROM events WHERE event_type IN ('view', 'click') AND ts BETWEEN TIMESTAMP '2024-01-03' AND TIMESTAMP '2024-01-09'")
 def wps_retrieve_data(spark, d):
     e = table(spark, d, "events").filter(F.col("event_type").isin("view", "click")).withColumn("t", F.col("ts").cast("timestamp"))
-    return subset.check_download(e, "2024-01-03", "2024-01-09").select("event_id", F.unix_seconds("t").cast("double").alias("epoch"), "value")
+    return subset.downloads(e, "2024-01-03", "2024-01-09").select("event_id", F.unix_seconds("t").cast("double").alias("epoch"), "value")
 
 
 @query("SELECT event_id, value FROM events WHERE event_type = 'view' AND value BETWEEN 10 AND 90 AND user_id BETWEEN 5 AND 50")

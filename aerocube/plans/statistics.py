@@ -145,7 +145,7 @@ def range_filters(spark, d):
 
 @query("SELECT event_id FROM events WHERE ts BETWEEN TIMESTAMP '2024-01-02' AND TIMESTAMP '2024-01-12'")
 def download_limits(spark, d):
-    return subset.check_download(table(spark, d, "events").withColumn("t", F.col("ts").cast("timestamp")), "2024-01-02", "2024-01-12").select("event_id")
+    return subset.downloads(table(spark, d, "events").withColumn("t", F.col("ts").cast("timestamp")), "2024-01-02", "2024-01-12").select("event_id")
 
 
 @query(f"WITH {SAMPLES} SELECT coverage_id, count(DISTINCT (row, col)) = 1 AS same_bbox FROM samples GROUP BY ALL")

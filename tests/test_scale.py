@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from aerocube.functions.values import num
-from aerocube.operators import matchup
+from aerocube.operators import matchup, subset
 
 
 def plan(df) -> str:
@@ -18,3 +18,14 @@ def test_dense_matchup_broadcasts_no_observations(spark):
     assert "Broadcast" not in plan(got) and "Broadcast" not in plan(matchup.ground_coverage_matchup(o, c))
     want = {i: [x for x in range(200) if abs(x - i * 20) <= 20] for i in range(5)}  # samples on the edges of blocks count
     assert {r["obs_id"]: (r["n"], r["cover"]) for r in got.collect()} == {i: (len(v), sum(v) / len(v)) for i, v in want.items()}
+
+
+def test_downloads_give_all_rows(spark):
+    df = spark.range(50).withColumn("t", (F.lit("2020-01-01").cast("timestamp").cast("long") + F.col("id") * 50_000).cast("timestamp"))
+    got = subset.downloads(df, "2020-01-01", "2020-03-01", most_days=15, most_rows=7).select("id", "t", "download.*").collect()
+    assert sorted(r["id"] for r in got) == list(range(50))
+    parts = {}
+    for r in got:
+        parts.setdefault((r["period"], r["part"]), []).append(r["t"])
+    assert max(map(len, parts.values())) == 7 and all((max(x) - min(x)).days < 15 for x in parts.values())
+    assert all(max(parts[a]) < min(parts[b]) for a, b in zip(sorted(parts), sorted(parts)[1:], strict=False))

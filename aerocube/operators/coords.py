@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from ..functions.geo import utm_inverse
 
 
+#: Pixels that a task has on average at most.
+TASK = 2_000_000
+
+
 def swath_coords(values: DataFrame, latitudes: DataFrame, longitudes: DataFrame, on: tuple[str, ...] = ("row", "col")) -> DataFrame:
     """values (row, col, value) with lat and lon from two bands (row, col, value) of the coordinates' file."""
     band = lambda df, name: df.select(*on, F.col("value").alias(name))
@@ -47,25 +51,32 @@ def densify(points: DataFrame, sizes: DataFrame, keys: list[str]) -> DataFrame:
 
     The spacing of a grid's points is measured, and a pixel between them gets the mean of those within so many columns and
     rows, a point at distance d weighing (1 - d / sum of d) / (n - 1). Means are taken of directions on the sphere, so the date
-    line and poles are as good as any other place. Each point is sent to the pixels around it, so a pixel meets about four of
-    them; its sums are begun before the shuffle. Pixels without a point in reach are missing; of several points of one pixel the
+    line and poles are as good as any other place. Each point is sent to the rows of pixels around it and spread over their columns
+    there, so a pixel meets about four of them and no pixel is shuffled. Pixels without a point in reach are missing; of several points of one pixel the
     one with the greatest lat and lon counts."""
     known = points.filter("lat is not null and lon is not null").groupBy(*keys, "row", "col").agg(F.max(F.struct("lat", "lon")).alias("p")).select(*keys, "row", "col", "p.*")
     lat, lon = F.radians("lat"), F.radians("lon")
     near = known.join(point_spacing(known, keys), keys).join(sizes, keys).withColumns({"x": F.cos(lat) * F.cos(lon), "y": F.cos(lat) * F.sin(lon), "z": F.sin(lat)})
     around = lambda at, by, size: F.explode(F.sequence(F.greatest(F.col(at) - F.col(by), F.lit(0)).cast("int"), F.least(F.col(at) + F.col(by), F.col(size) - 1).cast("int")))
-    sent = near.withColumn("to_row", around("row", "high", "rows")).withColumn("to_col", around("col", "wide", "columns"))
+    sent = near.withColumn("to_row", around("row", "high", "rows")).select(*keys, "to_row", "columns", "row", "col", "wide", "lat", "lon", *"xyz")
+    sizes = sizes.filter("rows > 0 and columns > 0")
+    every = sizes.select(*keys, F.explode(F.sequence(F.lit(0), (F.col("rows") - 1).cast("int"))).alias("to_row"), "columns")
+    # rows of pixels and the points that reach them meet before either is spread over columns
+    number = sizes.agg(F.sum(F.col("rows").cast("long") * F.col("columns"))).first()[0] or 0
+    dealt = max(int(sizes.sparkSession.conf.get("spark.sql.shuffle.partitions")), number // TASK)
+    met = every.unionByName(sent, allowMissingColumns=True).repartition(dealt, *keys, "to_row")
+    alone = F.col("row").isNull()
+    first, last = F.greatest(F.col("col") - F.col("wide"), F.lit(0)).cast("int"), F.least(F.col("col") + F.col("wide"), F.col("columns") - 1).cast("int")
+    met = met.withColumn("to_col", F.explode(F.when(alone, F.sequence(F.lit(0), (F.col("columns") - 1).cast("int"))).otherwise(F.sequence(first, last))))
     d = F.sqrt(F.pow(F.col("to_row") - F.col("row"), 2) + F.pow(F.col("to_col") - F.col("col"), 2))
     # sum of v (1 - d / D) / (n - 1) = (sum v - sum v d / D) / (n - 1)
     sums = [F.sum(v).alias(v) for v in "xyz"] + [F.sum(F.col(v) * d).alias(f"{v}d") for v in "xyz"]
-    got = sent.groupBy(*keys, F.col("to_row").alias("row"), F.col("to_col").alias("col")).agg(F.count("*").alias("n"), F.sum(d).alias("d"), *sums)
+    own = (F.col("to_row") == F.col("row")) & (F.col("to_col") == F.col("col"))
+    got = met.groupBy(*keys, F.col("to_row").alias("row"), F.col("to_col").alias("col")).agg(F.count("row").alias("n"), F.sum(d).alias("d"), F.count_if(alone).alias("pixels"), *[F.max(F.when(own, F.col(c))).alias(c) for c in ("lat", "lon")], *sums)
     mean = {v: F.when(F.col("n") == 1, F.col(v)).otherwise((F.col(v) - F.try_divide(f"{v}d", "d")) / (F.col("n") - 1)) for v in "xyz"}
-    got = got.select(*keys, "row", "col", *[c.alias(v) for v, c in mean.items()])
-    got = got.select(*keys, "row", "col", F.degrees(F.atan2(F.col("z"), F.sqrt(F.col("x") ** 2 + F.col("y") ** 2))).alias("mean_lat"), F.degrees(F.atan2("y", "x")).alias("mean_lon"))
-    every = sizes.filter("rows > 0 and columns > 0").withColumn("row", F.explode(F.sequence(F.lit(0), F.col("rows") - 1))).repartition(*keys, "row")
-    every = every.withColumn("col", F.explode(F.sequence(F.lit(0), F.col("columns") - 1))).select(*keys, "row", "col")
-    out = every.join(known, [*keys, "row", "col"], "left").join(got, [*keys, "row", "col"], "left")
-    return out.select(*keys, "row", "col", F.coalesce("lat", "mean_lat").alias("lat"), F.coalesce("lon", "mean_lon").alias("lon"))
+    got = got.filter("pixels > 0").select(*keys, "row", "col", "lat", "lon", *[F.when(F.col("n") > 0, c).alias(v) for v, c in mean.items()])
+    middle = {"lat": F.degrees(F.atan2(F.col("z"), F.sqrt(F.col("x") ** 2 + F.col("y") ** 2))), "lon": F.degrees(F.atan2("y", "x"))}
+    return got.select(*keys, "row", "col", *[F.coalesce(c, m).alias(c) for c, m in middle.items()])
 
 
 def dateline_shift(pixels: DataFrame, *keys: str) -> DataFrame:

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from aerocube.functions.values import num
-from aerocube.operators import matchup, subset
+from aerocube.operators import coords, matchup, subset
 
 
 def plan(df) -> str:
@@ -29,3 +29,12 @@ def test_downloads_give_all_rows(spark):
         parts.setdefault((r["period"], r["part"]), []).append(r["t"])
     assert max(map(len, parts.values())) == 7 and all((max(x) - min(x)).days < 15 for x in parts.values())
     assert all(max(parts[a]) < min(parts[b]) for a, b in zip(sorted(parts), sorted(parts)[1:], strict=False))
+
+
+def test_control_points_shuffle_no_pixels(spark):
+    points = spark.createDataFrame([("a", r, c, 40.0 + r, 5.0 + c) for r in (0, 5, 10) for c in (0, 5, 10)] + [("b", 0, 0, 1.0, 2.0)], "k string, row int, col int, lat double, lon double")
+    sizes = spark.createDataFrame([("a", 11, 11), ("b", 1, 3)], "k string, rows int, columns int")
+    got = coords.densify(points, sizes, ["k"])
+    assert not any("Exchange" in line and "to_col" in line for line in plan(got).splitlines())
+    rows = {(r["k"], r["row"], r["col"]): (r["lat"], r["lon"]) for r in got.collect()}
+    assert len(rows) == 124 and rows["a", 5, 10] == (45.0, 15.0) and rows["b", 0, 2] == (None, None)

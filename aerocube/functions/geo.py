@@ -71,7 +71,8 @@ def vincenty_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column, rounds: i
         steps = F.aggregate(
             F.sequence(F.lit(1), F.lit(rounds)),
             zero,
-            lambda s, _: F.transform(F.array(next_lambda(g, s["lam"])), lambda n: F.struct(n.alias("lam"), F.abs(n - s["lam"]).alias("moved")))[0],
+            # what doesn't move any more stays, so further rounds cost nothing
+            lambda s, _: F.when(s["moved"] == 0, s).otherwise(F.transform(F.array(next_lambda(g, s["lam"])), lambda n: F.struct(n.alias("lam"), F.abs(n - s["lam"]).alias("moved")))[0]),
         )
         return F.transform(F.array(steps), lambda s: F.when(s["moved"] < 1e-9, distance(g, s["lam"])))[0]
 

@@ -9,6 +9,8 @@ from .inputs import HAVERSINE, r6, table
 from .registry import query
 
 LINE = ["l_orderkey", "l_linenumber"]
+#: Distinct places up to which what is worked out for them is broadcast.
+PLACES = 200_000
 
 
 def _lines(spark, d):
@@ -241,7 +243,11 @@ SELECT l_orderkey, l_linenumber, m FROM lineitem JOIN m ON lat = {SLAT} AND lon
 @query(_VINCENTY)
 def vincenty_m(spark, d):
     lat, lon = _at()
-    return _on_lines(spark, d, m=geo.vincenty_m(lat, lon, F.lit(10.0), F.lit(20.0)))
+    rows = _on_lines(spark, d, lat=lat, lon=lon)
+    places = rows.select("lat", "lon").distinct()
+    metres = places.withColumn("m", geo.vincenty_m(F.col("lat"), F.col("lon"), F.lit(10.0), F.lit(20.0)))
+    metres = F.broadcast(metres) if places.limit(PLACES + 1).count() <= PLACES else metres
+    return rows.join(metres, ["lat", "lon"], "left").select(*LINE, "m")
 
 
 @query(_sql(deg=f"round((degrees(atan2(sin(radians(20 - {SLON})) * cos(radians(10)), cos(radians({SLAT})) * sin(radians(10)) - sin(radians({SLAT})) * cos(radians(10)) * cos(radians(20 - {SLON})))) + 360) % 360, 6)"))

@@ -1,9 +1,15 @@
 """What joins and searches meet, so that it grows no faster than their inputs."""
 
+import os
+
+import pytest
 from pyspark.sql import functions as F
 
 from aerocube.functions.values import num
 from aerocube.operators import coords, matchup, subset
+from aerocube.plans import registry
+
+D = "/root/testdata/sf0.001"
 
 
 def plan(df) -> str:
@@ -38,3 +44,8 @@ def test_control_points_shuffle_no_pixels(spark):
     assert not any("Exchange" in line and "to_col" in line for line in plan(got).splitlines())
     rows = {(r["k"], r["row"], r["col"]): (r["lat"], r["lon"]) for r in got.collect()}
     assert len(rows) == 124 and rows["a", 5, 10] == (45.0, 15.0) and rows["b", 0, 2] == (None, None)
+
+
+@pytest.mark.skipif(not os.path.isdir(D), reason="no tables")
+def test_vincenty_once_a_place(spark):
+    assert "HashAggregate(keys=[lat" in plan(registry.QUERIES["vincenty_m"](spark, D)).replace("knownfloatingpointnormalized(normalizenanandzero(lat", "lat")

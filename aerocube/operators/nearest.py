@@ -25,7 +25,8 @@ STRIDE, FIXED, DEEPEST, LEAF = 2, 4, 20, 32
 AXES = "xyz"
 
 
-def _space(lat: Column, lon: Column) -> list[Column]:
+def space(lat: Column, lon: Column) -> list[Column]:
+    """The place on the unit sphere."""
     return [F.cos(F.radians(lat)) * F.cos(F.radians(lon)), F.cos(F.radians(lat)) * F.sin(F.radians(lon)), F.sin(F.radians(lat))]
 
 
@@ -41,7 +42,7 @@ def _level(finest: DataFrame, level: int) -> DataFrame:
 def _cells_of(source: DataFrame) -> tuple[DataFrame, int]:
     """The deepest cells (fx, fy, fz, n, one) that have sources, and the first level at which no cell has more than LEAF of them (the
     deepest, if there is none)."""
-    places = source.select(*[p.alias(f"s{a}") for a, p in zip(AXES, _space(F.col("lat"), F.col("lon")), strict=True)])
+    places = source.select(*[p.alias(f"s{a}") for a, p in zip(AXES, space(F.col("lat"), F.col("lon")), strict=True)])
     finest = places.groupBy(*[_cell(F.col(f"s{a}"), DEEPEST).alias(f"f{a}") for a in AXES]).agg(F.count("*").alias("n"), F.min(F.struct(*[f"s{a}" for a in AXES])).alias("one"))
     if source.limit(LEAF + 1).count() <= LEAF:
         return finest, STRIDE
@@ -62,9 +63,9 @@ def nearest_pixels(target: DataFrame, source: DataFrame) -> DataFrame:
     cells of a large source are written to the shared folder once, and all levels are made from there."""
     axes = AXES
     finest, depth = _cells_of(source)
-    points = source.select("src_row", "src_col", F.col("lat").alias("slat"), F.col("lon").alias("slon"), *[p.alias(f"s{a}") for a, p in zip(axes, _space(F.col("lat"), F.col("lon")), strict=True)])
+    points = source.select("src_row", "src_col", F.col("lat").alias("slat"), F.col("lon").alias("slon"), *[p.alias(f"s{a}") for a, p in zip(axes, space(F.col("lat"), F.col("lon")), strict=True)])
     points = points.withColumns({f"c{a}": _cell(F.col(f"s{a}"), depth) for a in axes})
-    looking = target.select(*PIXEL, "lat", "lon", *[p.alias(f"t{a}") for a, p in zip(axes, _space(F.col("lat"), F.col("lon")), strict=True)], *[F.lit(0).cast("long").alias(f"c{a}") for a in axes])
+    looking = target.select(*PIXEL, "lat", "lon", *[p.alias(f"t{a}") for a, p in zip(axes, space(F.col("lat"), F.col("lon")), strict=True)], *[F.lit(0).cast("long").alias(f"c{a}") for a in axes])
     of_pixel = Window.partitionBy(*PIXEL)
     for level in range(STRIDE, depth + 1, STRIDE):
         cells = _level(finest, level)

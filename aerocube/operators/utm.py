@@ -1,6 +1,6 @@
 """Rasters in UTM, one per zone, by nearest search in metres.
 
-Pixels are regular in metres, so as on geographic grids a point knows by arithmetic which pixels it reaches.
+Pixels are regular in metres, so as on geographic grids a cell of points knows by arithmetic which pixels it reaches.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from ..functions.geo import flat_m, haversine_m, lat_band, utm_forward, utm_zone
 from ..functions.values import num
 from .nearest import PIXEL
 from .stats import right_distances
-from .swath import SLACK, span
+from .swath import CELL, SLACK, boxes_of, in_cells, needed, span
 from .tiles import utm_step
 
 
@@ -57,11 +57,16 @@ def utm_rasters(swath: DataFrame, reach_m: float | None = None, least_step: floa
     grids = zone_grids(points, keys, step, reach_m)
     limit = F.col("threshold") if reach_m is None else num(reach_m)
     s = points.select(*keys, "row", "col", "easting", "northing", limit.alias("limit"), "value").join(grids, keys)
-    place, wide = (F.col("north") - F.col("northing")) / step, F.col("reach_m") / step
-    s = s.withColumn("dst_row", F.explode(span(place - wide, place + wide, F.col("rows")))).withColumn("y", F.col("north") - F.col("dst_row") * step)
-    half = F.sqrt(F.greatest(F.pow("reach_m", 2) - F.pow(F.col("y") - F.col("northing"), 2), num(0))) / step
-    place = (F.col("easting") - F.col("west")) / step
-    s = s.withColumn("dst_col", F.explode(span(place - half - SLACK, place + half + SLACK, F.col("columns")))).withColumn("x", F.col("west") + F.col("dst_col") * step)
+    wide = F.col("reach_m") / step
+    s = in_cells(s, keys, (F.col("north") - F.col("northing")) / step, (F.col("easting") - F.col("west")) / step, wide)
+    cells = boxes_of(s, keys, grids, "easting", "northing")
+    cells = cells.withColumn("dst_row", F.explode(span((F.col("north") - F.col("high_northing")) / step - wide, (F.col("north") - F.col("low_northing")) / step + wide, F.col("rows"))))
+    cells = cells.repartition(*keys, "dst_row").withColumn("y", F.col("north") - F.col("dst_row") * step)
+    off = F.greatest(num(0), F.col("low_northing") - F.col("y"), F.col("y") - F.col("high_northing"))
+    half = F.sqrt(F.greatest(F.pow("reach_m", 2) - F.pow(off, 2), num(0))) / step + SLACK
+    cells = cells.withColumn("dst_col", F.explode(span((F.col("low_easting") - F.col("west")) / step - half, (F.col("high_easting") - F.col("west")) / step + half, F.col("columns"))))
+    found = needed(cells, keys, lambda up, across: [up, across], ["northing", "easting"], [F.col("y"), F.col("west") + F.col("dst_col") * step], F.col("reach_m"))
+    s = s.join(found, [*keys, *CELL]).withColumns({"y": F.col("north") - F.col("dst_row") * step, "x": F.col("west") + F.col("dst_col") * step})
     s = s.withColumn("dist_m", flat_m(F.col("x"), F.col("y"), F.col("easting"), F.col("northing"))).filter(F.col("dist_m") < F.col("reach_m"))
     best = F.min(F.struct("dist_m", (-F.col("row")).alias("r"), (-F.col("col")).alias("c"), "limit", "value")).alias("b")
     found = s.groupBy(*keys, *PIXEL).agg(best).filter("b.dist_m < b.limit").select(*keys, *PIXEL, "b.value")

@@ -1,12 +1,13 @@
 """What joins and searches meet, so that it grows no faster than their inputs."""
 
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from aerocube.functions.values import num
-from aerocube.operators import coords, matchup, subset
+from aerocube.operators import coords, matchup, subset, swath
 from aerocube.plans import registry
 
 D = "/root/testdata/sf0.001"
@@ -49,3 +50,18 @@ def test_control_points_shuffle_no_pixels(spark):
 @pytest.mark.skipif(not os.path.isdir(D), reason="no tables")
 def test_vincenty_once_a_place(spark):
     assert "HashAggregate(keys=[lat" in plan(registry.QUERIES["vincenty_m"](spark, D)).replace("knownfloatingpointnormalized(normalizenanandzero(lat", "lat")
+
+
+def test_sources_meet_few_pixels_however_far_the_reach(spark):
+    rng = random.Random(3)
+    rows = [("a", i // 50, i % 50, rng.uniform(10, 13), rng.choice((178.5, 180.5)) + rng.uniform(0, 1)) for i in range(3000)]
+    s = spark.createDataFrame(rows, "k string, src_row int, src_col int, lat double, lon double")
+    grids = swath.own_grids(s, ["k"], num(0.1), num(500_000.0))
+    pairs = swath.pairs_in_reach(s, grids, ["k"]).count()
+    assert pairs < 60 * len(rows)  # a grid has 850 pixels or so, all within reach of all sources
+    pixels = swath.pixels(grids, ["k"]).withColumnsRenamed({"dst_row": "r", "dst_col": "c", "lat": "plat", "lon": "plon"})
+    d = swath.haversine_m(F.col("plat"), F.col("plon"), F.col("lat"), F.col("lon"))
+    best = pixels.crossJoin(s.drop("k")).groupBy("k", "r", "c").agg(F.min(F.struct(d.alias("d"), (-F.col("src_row")).alias("sr"), (-F.col("src_col")).alias("sc"))).alias("b"))
+    want = {(x["k"], x["r"], x["c"]): (-x["b"]["sr"], -x["b"]["sc"], x["b"]["d"]) for x in best.collect()}
+    got = {(x["k"], x["dst_row"], x["dst_col"]): (x["src_row"], x["src_col"], x["dist_m"]) for x in swath.nearest_in_reach(s, grids, ["k"]).collect()}
+    assert got == want and len(got) > 700

@@ -28,8 +28,8 @@ from .common import all_but, bucket_table
 #: Bytes of text in a block, lists that its words are dealt into, and blocks that share one table of distinct words (64 GB of
 #: text): so a list has some hundred words and a task some million, whatever the size of the corpus or cluster.
 BLOCK, PARTS, SHARING = 16_000_000, 256, 4096
-#: Words that a task's table holds before it starts a new one.
-TABLE = 2_000_000
+#: Words that a task's table holds before it starts a new one, and words that are encoded at once.
+TABLE, FEW = 2_000_000, 1_000
 RARE = 255
 WHITE = " \t\n\x0b\x0c\r"
 
@@ -127,8 +127,11 @@ def pack_blocks(docs: DataFrame, size: int = BLOCK) -> DataFrame:
                 if block.size >= size:
                     yield block.packed(number, kind)
                     number, block = number + 1, _Block()
+                    pa.default_memory_pool().release_unused()
         if block.rows:
             yield block.packed(number, kind)
+        del block
+        pa.default_memory_pool().release_unused()  # workers stay for what comes next
 
     row = docs.schema["row"].dataType.simpleString()
     return docs.mapInArrow(pack, f"block long, rows array<{row}>, lens array<int>, codes binary, rare binary, top binary, lists array<struct<part: int, words: binary>>")
@@ -136,16 +139,19 @@ def pack_blocks(docs: DataFrame, size: int = BLOCK) -> DataFrame:
 
 def _encode_lists(tokenizer_path: str):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, table = _tokenizer(tokenizer_path), {}
+        tokenizer, table, of = _tokenizer(tokenizer_path), {}, None
         for batch in batches:
             answers = []
-            for packed in batch.column("words").to_pylist():
-                words = _unzip(packed).split(b" ")
+            for part, packed in zip(batch.column("part").to_pylist(), batch.column("words"), strict=True):
+                words = _unzip(packed.as_py()).split(b" ")
+                if part != of:  # rows come part by part, and parts share no words
+                    table, of = {}, part
                 if fresh := [w for w in words if w not in table]:
                     if len(table) > TABLE:
                         table, fresh = {}, words
-                    found = tokenizer.encode_batch_fast([w.decode() for w in fresh], add_special_tokens=False)
-                    table.update((w, np.array(x.ids, "<i4").tobytes()) for w, x in zip(fresh, found, strict=True))
+                    for a in range(0, len(fresh), FEW):
+                        found = tokenizer.encode_batch_fast([w.decode() for w in fresh[a : a + FEW]], add_special_tokens=False)
+                        table.update((w, np.array(x.ids, "<i4").tobytes()) for w, x in zip(fresh[a : a + FEW], found, strict=True))
                 ids = [table[w] for w in words]
                 sizes = np.fromiter(map(len, ids), "<i4", len(ids)) // 4
                 answers.append(_zip(np.array([len(ids)], "<i4").tobytes() + sizes.tobytes() + b"".join(ids)))
@@ -219,7 +225,7 @@ def encode(docs: DataFrame, id_: str, text: str, tokenizer_path: str, block: int
     blocks = bucket_table(pack_blocks(docs.select(F.col(id_).alias("row"), words.alias("words")), block), "block")
     asked = blocks.select("block", F.explode("lists").alias("x")).select("block", "x.part", "x.words")
     sharing = F.pmod(F.xxhash64("block"), F.lit(blocks.count() // SHARING + 1))
-    answers = asked.repartition("part", sharing).mapInArrow(_encode_lists(tokenizer_path), "block long, part int, ids binary")
+    answers = asked.repartition("part", sharing).sortWithinPartitions("part", sharing).mapInArrow(_encode_lists(tokenizer_path), "block long, part int, ids binary")
     answers = answers.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("part", "ids"))).alias("got")).select("block", F.col("got.ids").alias("ids"))
     answers = bucket_table(answers, "block")  # read twice, and by block
     used = answers.mapInArrow(_used, "block long, used array<int>").select("block", F.explode("used").alias("id"))
